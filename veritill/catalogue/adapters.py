@@ -6,7 +6,7 @@ in ``oracle`` produce the same rows.  No row of a table is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,24 +34,67 @@ LINE_ORDER = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+#: Schemas of the tables read here; with them a read needs no job to look into the files.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,
+        props string""",
+}
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
 
-
-def _divides(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    name = F.coalesce(lookup(_text(F.col("n_nationkey")), NATION_NAMES), F.col("n_name"))
+    name = F.coalesce(lookup(F.col("n_nationkey").cast("string"), NATION_NAMES), "n_name")
     return nation.select("n_nationkey", name.alias("country"))
 
 
+_TRANSACTION_COLUMNS = (
+    "cast(l_orderkey as string) as InvoiceNo",
+    "cast(l_partkey as string) as StockCode",
+    """case l_partkey % 3
+         when 0 then upper(p_name)
+         when 1 then concat('  ', p_name, ' ')
+         else concat(replace(p_name, ' ', '-'), ' 3d') end as Description""",
+    """case when l_orderkey % 101 = 0 then 'dozen'
+            when l_returnflag = 'R' then cast(-cast(l_quantity as int) as string)
+            else cast(cast(l_quantity as int) as string) end as Quantity""",
+    """case when l_orderkey % 83 = 0 then 'not-a-date'
+            when l_orderkey % 79 = 0 then '2099-01-01'
+            when l_linenumber = 7 then date_format(l_shipdate, 'yyyy-MM-dd')
+            else concat(date_format(l_shipdate, 'yyyy-MM-dd'), ' ',
+                        lpad(cast((l_orderkey + 5 * l_linenumber) % 24 as string), 2, '0'), ':15:00')
+       end as InvoiceDate""",
+    """case when l_orderkey % 97 = 0 then null
+            when l_orderkey % 89 = 0 then '-1.50'
+            else cast(cast((cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) * 0.01
+                           as decimal(14, 2)) as string) end as UnitPrice""",
+    """case when o_custkey % 31 = 0 then null
+            when o_custkey % 29 = 0 then concat('GHOST', o_custkey)
+            when l_linenumber = 3 then concat(' ', o_custkey, '  ')
+            else cast(o_custkey as string) end as CustomerID""",
+    "country as Country",
+    """case when o_custkey % 23 = 0 then 'On Hold'
+            when l_orderkey % 11 = 0 then null
+            when l_orderkey % 7 = 0 then ' Completed'
+            when o_orderstatus = 'O' then 'done'
+            when o_orderstatus = 'F' then 'VOID '
+            else 'return' end as Status""",
+    "if(l_linestatus = 'O', 'card', ' PayPal') as PaymentMethod",
+    f"struct({', '.join(LINE_ORDER)}) as {ROW_ID}",
+)
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as a raw transactions export: all text, with dirty values."""
     line = table(spark, sf_dir, "lineitem")
@@ -59,113 +102,61 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     joined = (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    )
-
-    quantity = F.col("l_quantity").cast("int")
-    cents = F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
-    price = (cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(14,2)")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
-    hour = F.lpad(_text((F.col("l_orderkey") + 5 * F.col("l_linenumber")) % 24), 2, "0")
-
-    description = (
-        F.when(_divides("l_partkey", 3), F.upper("p_name"))
-        .when(F.col("l_partkey") % 3 == 1, F.concat(F.lit("  "), "p_name", F.lit(" ")))
-        .otherwise(F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(" 3d")))
-    )
-    status = (
-        F.when(_divides("o_custkey", 23), "On Hold")
-        .when(_divides("l_orderkey", 11), F.lit(None))
-        .when(_divides("l_orderkey", 7), " Completed")
-        .when(F.col("o_orderstatus") == "O", "done")
-        .when(F.col("o_orderstatus") == "F", "VOID ")
-        .otherwise("return")
-    )
-    customer_id = (
-        F.when(_divides("o_custkey", 31), F.lit(None))
-        .when(_divides("o_custkey", 29), F.concat(F.lit("GHOST"), _text(F.col("o_custkey"))))
-        .when(F.col("l_linenumber") == 3, F.concat(F.lit(" "), _text(F.col("o_custkey")), F.lit("  ")))
-        .otherwise(_text(F.col("o_custkey")))
-    )
-    return joined.select(
-        _text(F.col("l_orderkey")).alias("InvoiceNo"),
-        _text(F.col("l_partkey")).alias("StockCode"),
-        description.alias("Description"),
-        F.when(_divides("l_orderkey", 101), "dozen")
-        .when(F.col("l_returnflag") == "R", _text(-quantity))
-        .otherwise(_text(quantity))
-        .alias("Quantity"),
-        F.when(_divides("l_orderkey", 83), "not-a-date")
-        .when(_divides("l_orderkey", 79), "2099-01-01")
-        .when(F.col("l_linenumber") == 7, day)
-        .otherwise(F.concat(day, F.lit(" "), hour, F.lit(":15:00")))
-        .alias("InvoiceDate"),
-        F.when(_divides("l_orderkey", 97), F.lit(None))
-        .when(_divides("l_orderkey", 89), "-1.50")
-        .otherwise(_text(price))
-        .alias("UnitPrice"),
-        customer_id.alias("CustomerID"),
-        F.col("country").alias("Country"),
-        status.alias("Status"),
-        F.when(F.col("l_linestatus") == "O", "card").otherwise(" PayPal").alias("PaymentMethod"),
-        F.struct(*LINE_ORDER).alias(ROW_ID),
+        line.join(orders, F.expr("l_orderkey = o_orderkey"), "left")
+        .join(customer, F.expr("o_custkey = c_custkey"), "left")
+        .join(_nations(spark, sf_dir), F.expr("c_nationkey = n_nationkey"), "left")
+        .join(part, F.expr("l_partkey = p_partkey"), "left")
     )
+    return joined.selectExpr(*_TRANSACTION_COLUMNS)
+
+
+_CUSTOMER_COLUMNS = (
+    """case when c_custkey % 53 = 0 then null
+            when c_custkey % 7 = 0 then concat('  ', c_custkey, ' ')
+            else cast(c_custkey as string) end as CustomerID""",
+    """case when c_custkey % 50 = 1 then upper(country)
+            when c_custkey % 50 = 2 then 'uk'
+            when c_custkey % 50 = 3 then 'EIRE'
+            when copy = 1 then lower(country)
+            else country end as Country""",
+    """case when c_custkey % 61 = 0 then 'bad-date'
+            when c_custkey % 67 = 0 then null
+            else cast(date_add(date'1995-01-01', cast(c_custkey % 1800 as int)) as string) end as SignupDate""",
+    "if(c_custkey % 43 = 0, null, concat(' ', c_mktsegment)) as Segment",
+    """case when c_custkey % 59 = 0 then 'maybe'
+            when c_acctbal < 0 then 'false'
+            when c_custkey % 2 = 0 then 'True'
+            else '1' end as IsActive""",
+    f"c_custkey * 2 + copy as {ROW_ID}",
+)
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as a raw export: all text, with dirty values and second copies."""
-    key = F.col("c_custkey")
-    copies = F.when(key % 41 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     customer = table(spark, sf_dir, "customer").join(
-        _nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    copied = customer.withColumn("copy", F.explode(copies))
-    return copied.select(
-        F.when(key % 53 == 0, F.lit(None))
-        .when(key % 7 == 0, F.concat(F.lit("  "), _text(key), F.lit(" ")))
-        .otherwise(_text(key))
-        .alias("CustomerID"),
-        F.when(key % 50 == 1, F.upper("country"))
-        .when(key % 50 == 2, "uk")
-        .when(key % 50 == 3, "EIRE")
-        .when(F.col("copy") == 1, F.lower("country"))
-        .otherwise(F.col("country"))
-        .alias("Country"),
-        F.when(key % 61 == 0, "bad-date")
-        .when(key % 67 == 0, F.lit(None))
-        .otherwise(_text(F.date_add(F.lit("1995-01-01").cast("date"), (key % 1800).cast("int"))))
-        .alias("SignupDate"),
-        F.when(key % 43 == 0, F.lit(None)).otherwise(F.concat(F.lit(" "), "c_mktsegment")).alias("Segment"),
-        F.when(key % 59 == 0, "maybe")
-        .when(F.col("c_acctbal") < 0, "false")
-        .when(key % 2 == 0, "True")
-        .otherwise("1")
-        .alias("IsActive"),
-        (key * 2 + F.col("copy")).alias(ROW_ID),
+        _nations(spark, sf_dir), F.expr("c_nationkey = n_nationkey"), "left"
     )
+    copied = customer.withColumn("copy", F.expr("explode(if(c_custkey % 41 = 0, array(0, 1), array(0)))"))
+    return copied.selectExpr(*_CUSTOMER_COLUMNS)
 
 
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calendar drawn from the order dates: some days of a month, some with several names."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(
-        _nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    joined = orders.join(customer, F.expr("o_custkey = c_custkey"), "left").join(
+        _nations(spark, sf_dir), F.expr("c_nationkey = n_nationkey"), "left"
     )
-    return (
-        joined.select(
-            lookup(F.col("country"), COUNTRY_ISO2).alias("country_code"),
-            F.to_date("o_orderdate").alias("date"),
-            F.concat(F.lit("jour "), "o_orderpriority").alias("local_name"),
-            F.concat(F.lit("Day "), "o_orderpriority").alias("name"),
-            F.when(F.col("o_orderpriority") != "5-LOW", F.lit(True)).alias("is_global"),
-        )
-        .where(F.dayofmonth("date").isin(1, 15, 25))
-        .distinct()
+    days = joined.where("day(o_orderdate) in (1, 15, 25)").withColumn(
+        "country_code", lookup(F.col("country"), COUNTRY_ISO2)
     )
+    return days.selectExpr(
+        "country_code",
+        "to_date(o_orderdate) as date",
+        "concat('jour ', o_orderpriority) as local_name",
+        "concat('Day ', o_orderpriority) as name",
+        "if(o_orderpriority <> '5-LOW', true, null) as is_global",
+    ).distinct()
 
 
 # --------------------------------------------------------------------------- output form

@@ -47,10 +47,17 @@ def capitalise_words(c: Column) -> Column:
     return F.when(c.rlike(r"[^\p{L}\p{N} ]"), _capitalise_runs(c, _WORD_RUNS)).otherwise(F.initcap(c))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(mapping: Mapping[str, str]) -> Column:
+    return F.expr("map(" + ", ".join(_quoted(part) for pair in mapping.items() for part in pair) + ")")
+
+
 def lookup(c: Column, mapping: Mapping[str, str]) -> Column:
     """Value of a literal map, null for other keys."""
-    pairs = [F.lit(part) for pair in mapping.items() for part in pair]
-    return F.create_map(*pairs)[c]
+    return F.try_element_at(literal_map(mapping), c)
 
 
 def normalise_status(c: Column) -> Column:

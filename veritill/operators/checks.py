@@ -75,7 +75,8 @@ def result_struct(position: int, stage: str, rule: Rule, verdict: Verdict, run_d
         "details": _details(verdict.details),
         "checked_at": as_timestamp(as_of),
     }
-    return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in RESULTS.fields])
+    fields = [part for f in RESULTS.fields for part in (F.lit(f.name), values[f.name])]
+    return F.named_struct(*fields).cast(RESULTS)
 
 
 def _rows(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:

@@ -39,12 +39,8 @@ def _is_text(df: DataFrame, column: str) -> bool:
 
 def trim_text(df: DataFrame) -> DataFrame:
     """Strip every text column; other columns pass through."""
-    return df.select(
-        *[
-            strip(F.col(f"`{c}`")).alias(c) if _is_text(df, c) else F.col(f"`{c}`")
-            for c in df.columns
-        ]
-    )
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: strip(F.col(f"`{c}`")) for c in texts})
 
 
 def _typed_number(df: DataFrame, column: str) -> Column:

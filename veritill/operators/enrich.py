@@ -34,7 +34,7 @@ def join_customers(
     transactions: DataFrame,
     customers: DataFrame,
     strict_reference: bool = False,
-    shuffle: bool | None = None,
+    salted: bool = False,
 ) -> DataFrame:
     """Every transaction with its customer's columns and ``is_known_customer``.
 
@@ -42,7 +42,7 @@ def join_customers(
     without a segment counts as unknown.
     """
     keyed = transactions.withColumn("CustomerID", strip(F.col("CustomerID").cast("string")))
-    joined = left_lookup(keyed, customer_dimension(customers), ["CustomerID"], shuffle=shuffle)
+    joined = left_lookup(keyed, customer_dimension(customers), ["CustomerID"], salted=salted)
     known = F.col("CustomerSegment").isNotNull() if strict_reference else F.col("_matched").isNotNull()
     order = [*transactions.columns, *_CUSTOMER_COLUMNS.values()]
     return joined.select(*order, known.alias("is_known_customer"))
@@ -61,14 +61,14 @@ def enrich_holidays(
     df: DataFrame,
     holidays: DataFrame | None,
     iso2: Mapping[str, str] = COUNTRY_ISO2,
-    shuffle: bool | None = None,
+    salted: bool = False,
 ) -> DataFrame:
     """``is_holiday`` and ``holiday_name`` by invoice day and transaction country."""
     if holidays is None:
         return df.withColumns({"is_holiday": F.lit(False), "holiday_name": F.lit(None).cast("string")})
     country = lookup(F.col("Country"), iso2) if "Country" in df.columns else F.lit(None).cast("string")
     keyed = df.withColumns({"_iso2": country, "_day": F.to_date("InvoiceDate")})
-    matched = left_lookup(keyed, holiday_lookup(holidays), ["_iso2", "_day"], shuffle=shuffle)
+    matched = left_lookup(keyed, holiday_lookup(holidays), ["_iso2", "_day"], salted=salted)
     return matched.select(*df.columns, F.col("holiday_name").isNotNull().alias("is_holiday"), "holiday_name")
 
 
@@ -90,11 +90,11 @@ def build_fact(
     holidays: DataFrame | None = None,
     iso2: Mapping[str, str] = COUNTRY_ISO2,
     strict_reference: bool = False,
-    shuffle: bool | None = None,
+    salted: bool = False,
 ) -> DataFrame:
     """The 25-column fact table; it has exactly the rows of ``transactions``."""
-    joined = join_customers(transactions, customers, strict_reference, shuffle)
-    return derive_columns(enrich_holidays(joined, holidays, iso2, shuffle), iso2)
+    joined = join_customers(transactions, customers, strict_reference, salted)
+    return derive_columns(enrich_holidays(joined, holidays, iso2, salted), iso2)
 
 
 def orphan_rate(fact: DataFrame) -> DataFrame:

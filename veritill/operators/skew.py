@@ -55,37 +55,38 @@ def left_lookup(
     facts: DataFrame,
     dim: DataFrame,
     keys: Sequence[str],
+    salted: bool = False,
     salts: int = SALTS,
     hot_share: float = HOT_SHARE,
-    shuffle: bool | None = None,
 ) -> DataFrame:
     """``facts LEFT JOIN dim`` on equal keys; ``dim`` holds each key once, null matches nothing.
 
-    A dimension within the broadcast threshold is joined as it is.  Any other one is joined by
-    a shuffle in which no key can fill a task: rows with a null key are spread over all salts
-    (they match nothing wherever they land), and rows of a hot key are spread over ``salts``
-    buckets, for which only that key's dimension row is repeated.  All other keys have one
-    bucket, so the dimension grows by at most ``salts / hot_share`` rows.
+    Spark broadcasts a dimension it knows to be within the session's threshold.  Any other one
+    is shuffled, and there rows with a null key, which match nothing wherever they land, are
+    spread over all partitions.  Hot keys are left to adaptive execution, which splits a skewed
+    partition of the left side at run time.
 
-    Finding hot keys reads the key columns of ``facts`` once more: pass a stored table.
+    ``salted`` does not wait for that: rows of a hot key are spread over ``salts`` buckets, for
+    which only that key's dimension row is repeated, so the dimension grows by at most
+    ``salts / hot_share`` rows.  Finding the hot keys reads the key columns of ``facts`` once
+    more, so pass a stored table.
     """
     keys = list(keys)
-    if shuffle is None:
-        shuffle = not fits_broadcast(dim)
-    if not shuffle:
+    if fits_broadcast(dim) and not salted:
         return facts.join(dim, keys, "left")
+    no_key = _any_null(keys)
+    if not salted:
+        spread = facts.withColumn("_salt", F.when(no_key, _bucket(facts.columns, salts)).otherwise(F.lit(0)))
+        return spread.join(dim.withColumn("_salt", F.lit(0)), [*keys, "_salt"], "left").drop("_salt")
 
     hot = F.broadcast(hot_keys(facts, keys, hot_share).withColumn("_hot", F.lit(True)))
-    spread = F.col("_hot").isNotNull() | _any_null(keys)
+    is_hot = F.col("_hot").isNotNull()
     salted_facts = facts.join(hot, keys, "left").withColumn(
-        "_salt", F.when(spread, _bucket(facts.columns, salts)).otherwise(F.lit(0))
+        "_salt", F.when(is_hot | no_key, _bucket(facts.columns, salts)).otherwise(F.lit(0))
     )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_dim = dim.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot").isNotNull(), every_salt).otherwise(F.array(F.lit(0))))
-    )
-    return (
-        salted_facts.drop("_hot")
-        .join(salted_dim.drop("_hot"), [*keys, "_salt"], "left")
-        .drop("_salt")
+        "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
     )
+    joined = salted_facts.drop("_hot").join(salted_dim.drop("_hot"), [*keys, "_salt"], "left")
+    return joined.drop("_salt")

@@ -14,6 +14,7 @@ from veritill.operators.anomalies import run_anomaly_detection
 from veritill.operators.cleaning import clean_customers, clean_transactions
 from veritill.operators.enrich import build_fact
 from veritill.operators.checks import dq_table
+from veritill.operators.skew import fits_broadcast
 from veritill.operators.quality import run_quality_checks
 from veritill.operators.validation import validate_raw
 from veritill.plans.report import counts_table, report_tables, run_verdict, save_report
@@ -100,7 +101,8 @@ def _run(
 
     tx = stored(f"{interim}/transactions_clean")
     cu = stored(f"{interim}/customers_clean")
-    counts["fact"] = sinks.save_fact(build_fact(tx, cu, holidays), f"{out}/processed/fct_transactions")
+    fact_rows = build_fact(tx, cu, holidays, salted=not fits_broadcast(cu))
+    counts["fact"] = sinks.save_fact(fact_rows, f"{out}/processed/fct_transactions")
     fact = stored(f"{out}/processed/fct_transactions")
 
     loads: dict[str, int] = {}
