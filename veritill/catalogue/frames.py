@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 
 from veritill.catalogue import adapters
 from veritill.catalogue.adapters import AS_OF
 from veritill.operators import cleaning, enrich
+from veritill.session import scratch_dir
+from veritill.sources.sinks import save_layer
 
 
 def typed_tx(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,3 +40,24 @@ def clean_cu(spark: SparkSession, sf: str) -> DataFrame:
 def fact(spark: SparkSession, sf: str, holidays: bool = True) -> DataFrame:
     calendar = adapters.holidays(spark, sf) if holidays else None
     return enrich.build_fact(clean_tx(spark, sf), clean_cu(spark, sf), calendar)
+
+
+class Layers(NamedTuple):
+    transactions: DataFrame
+    customers: DataFrame
+    fact: DataFrame
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows of a frame as a stored table in the shared scratch folder."""
+    path = scratch_dir(df.sparkSession, label)
+    save_layer(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_layers(spark: SparkSession, sf: str) -> Layers:
+    """Clean and fact tables as a run stores them, for suites that read each several times."""
+    tx = stored(clean_tx(spark, sf), "transactions")
+    cu = stored(clean_cu(spark, sf), "customers")
+    fact_rows = enrich.build_fact(tx, cu, adapters.holidays(spark, sf))
+    return Layers(tx, cu, stored(fact_rows, "fact"))

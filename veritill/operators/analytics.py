@@ -94,13 +94,8 @@ def weekday_hours(df: DataFrame, date_col: str = "InvoiceDate") -> DataFrame:
     """Rows per weekday and two-hour bin; weekdays Monday first, empty bins zero."""
     date = F.col(date_col)
     two_hours = F.format_string("%02d:00", (F.floor(F.hour(date) / 2) * 2).cast("int"))
-    grid = (
-        df.where(date.isNotNull())
-        .groupBy((F.weekday(date) + 1).alias("weekday"))
-        .pivot(two_hours.alias("hour_bin"), list(HOUR_BINS))
-        .count()
-        .na.fill(0)
-    )
+    placed = df.where(date.isNotNull()).select((F.weekday(date) + 1).alias("weekday"), two_hours.alias("hour_bin"))
+    grid = placed.groupBy("weekday").pivot("hour_bin", list(HOUR_BINS)).count().na.fill(0)
     names = F.array(*[F.lit(d) for d in WEEKDAYS])
     return grid.select("weekday", names[F.col("weekday") - 1].alias("dow"), *HOUR_BINS).orderBy("weekday")
 
