@@ -59,55 +59,78 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.select("n_nationkey", name.alias("country"))
 
 
-_TRANSACTION_COLUMNS = (
+_LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_linenumber",
     "cast(l_orderkey as string) as InvoiceNo",
     "cast(l_partkey as string) as StockCode",
-    """case l_partkey % 3
-         when 0 then upper(p_name)
-         when 1 then concat('  ', p_name, ' ')
-         else concat(replace(p_name, ' ', '-'), ' 3d') end as Description""",
     """case when l_orderkey % 101 = 0 then 'dozen'
             when l_returnflag = 'R' then cast(-cast(l_quantity as int) as string)
             else cast(cast(l_quantity as int) as string) end as Quantity""",
     """case when l_orderkey % 83 = 0 then 'not-a-date'
             when l_orderkey % 79 = 0 then '2099-01-01'
-            when l_linenumber = 7 then date_format(l_shipdate, 'yyyy-MM-dd')
-            else concat(date_format(l_shipdate, 'yyyy-MM-dd'), ' ',
+            when l_linenumber = 7 then cast(cast(l_shipdate as date) as string)
+            else concat(cast(cast(l_shipdate as date) as string), ' ',
                         lpad(cast((l_orderkey + 5 * l_linenumber) % 24 as string), 2, '0'), ':15:00')
        end as InvoiceDate""",
     """case when l_orderkey % 97 = 0 then null
             when l_orderkey % 89 = 0 then '-1.50'
             else cast(cast((cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) * 0.01
                            as decimal(14, 2)) as string) end as UnitPrice""",
-    """case when o_custkey % 31 = 0 then null
-            when o_custkey % 29 = 0 then concat('GHOST', o_custkey)
-            when l_linenumber = 3 then concat(' ', o_custkey, '  ')
-            else cast(o_custkey as string) end as CustomerID""",
-    "country as Country",
+    "if(l_linestatus = 'O', 'card', ' PayPal') as PaymentMethod",
+    f"struct({', '.join(LINE_ORDER)}) as {ROW_ID}",
+)
+_ORDER_COLUMNS = (
+    "o_orderkey",
     """case when o_custkey % 23 = 0 then 'On Hold'
-            when l_orderkey % 11 = 0 then null
-            when l_orderkey % 7 = 0 then ' Completed'
+            when o_orderkey % 11 = 0 then null
+            when o_orderkey % 7 = 0 then ' Completed'
             when o_orderstatus = 'O' then 'done'
             when o_orderstatus = 'F' then 'VOID '
             else 'return' end as Status""",
-    "if(l_linestatus = 'O', 'card', ' PayPal') as PaymentMethod",
-    f"struct({', '.join(LINE_ORDER)}) as {ROW_ID}",
+    """case when o_custkey % 31 = 0 then null
+            when o_custkey % 29 = 0 then concat('GHOST', o_custkey)
+            else cast(o_custkey as string) end as customer_id""",
+    "country as Country",
+    "o_custkey % 31 <> 0 and o_custkey % 29 <> 0 as plain_id",
+)
+_PART_COLUMNS = (
+    "p_partkey",
+    """case p_partkey % 3
+         when 0 then upper(p_name)
+         when 1 then concat('  ', p_name, ' ')
+         else concat(replace(p_name, ' ', '-'), ' 3d') end as Description""",
+)
+_TRANSACTION_COLUMNS = (
+    "InvoiceNo",
+    "StockCode",
+    "Description",
+    "Quantity",
+    "InvoiceDate",
+    "UnitPrice",
+    "if(l_linenumber = 3 and plain_id, concat(' ', customer_id, '  '), customer_id) as CustomerID",
+    "Country",
+    "Status",
+    "PaymentMethod",
+    ROW_ID,
 )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as a raw transactions export: all text, with dirty values."""
-    line = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    joined = (
-        line.join(orders, F.expr("l_orderkey = o_orderkey"), "left")
-        .join(customer, F.expr("o_custkey = c_custkey"), "left")
+    orders = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"), "left")
         .join(_nations(spark, sf_dir), F.expr("c_nationkey = n_nationkey"), "left")
-        .join(part, F.expr("l_partkey = p_partkey"), "left")
     )
-    return joined.selectExpr(*_TRANSACTION_COLUMNS)
+    return (
+        table(spark, sf_dir, "lineitem")
+        .selectExpr(*_LINE_COLUMNS)
+        .join(orders.selectExpr(*_ORDER_COLUMNS), F.expr("l_orderkey = o_orderkey"), "left")
+        .join(table(spark, sf_dir, "part").selectExpr(*_PART_COLUMNS), F.expr("l_partkey = p_partkey"), "left")
+        .selectExpr(*_TRANSACTION_COLUMNS)
+    )
 
 
 _CUSTOMER_COLUMNS = (

@@ -110,7 +110,7 @@ def c04(spark, sf):
     with_ctes("""SELECT "InvoiceNo", "StockCode", "_reject_reason" FROM tagged_tx WHERE "_reject_reason" <> '' """, "tagged_tx"),
 )
 def c09(spark, sf):
-    rejected = cleaning.rejected_transactions(frames.tagged_tx(spark, sf))
+    rejected = cleaning.rejected_transactions(frames.typed_tx(spark, sf), AS_OF)
     return rejected.select("InvoiceNo", "StockCode", "_reject_reason")
 
 
@@ -240,7 +240,7 @@ def c24(spark, sf):
     ),
 )
 def c25(spark, sf):
-    tx = cleaning.transaction_counters(frames.tagged_tx(spark, sf))
+    tx = cleaning.transaction_counters(frames.typed_tx(spark, sf), AS_OF)
     cu = cleaning.customer_counters(cleaning.type_customers(adapters.raw_customers(spark, sf)))
     named = lambda df, name: df.select(F.lit(name).alias("source"), "*")
     return named(tx, "transactions").unionByName(named(cu, "customers"))

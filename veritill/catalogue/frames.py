@@ -17,10 +17,6 @@ def typed_tx(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.type_transactions(adapters.raw_transactions(spark, sf))
 
 
-def tagged_tx(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.tag_transactions(adapters.raw_transactions(spark, sf), AS_OF)
-
-
 def split_tx(spark: SparkSession, sf: str) -> cleaning.Split:
     return cleaning.clean_transactions(adapters.raw_transactions(spark, sf), AS_OF)
 

@@ -217,6 +217,15 @@ FACT_COLUMNS = f'''{CLEAN_COLUMNS}, {JOINED_COLUMNS}, CAST(is_holiday AS VARCHAR
   customer_tenure_days, "TxWeek", "CountryISO2"'''
 
 
+def exact_ratio(total: str, n: str, scale: int, digits: int) -> str:
+    """``total / n`` rounded half away from zero in whole numbers; ``total`` has ``scale`` decimals."""
+    units = f"CAST(({total}) * {10**scale} AS HUGEINT)"
+    step = f"({n}) * CAST({10 ** max(scale - digits, 0)} AS HUGEINT)"
+    scaled = f"abs({units}) * {10 ** max(digits - scale, 0)}"
+    rounded = f"((2 * {scaled} + {step}) // (2 * {step}))"
+    return f"CAST(sign({units}) * {rounded} AS DOUBLE) / {10**digits}"
+
+
 def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
     """``body`` after the named CTEs and whatever they build on."""
     needed: list[str] = []

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from veritill.catalogue import adapters, frames
 from veritill.catalogue.adapters import AS_OF, RUN_DATE, brief, plain
-from veritill.catalogue.oracle import NOW, check_row, day_text, union, with_ctes
+from veritill.catalogue.oracle import NOW, check_row, day_text, exact_ratio, union, with_ctes
 from veritill.catalogue.registry import query
 from veritill.operators import quality, views
 from veritill.operators.cleaning import type_customers
@@ -210,8 +210,7 @@ def q12(spark, sf):
     _sql(
         "SELECT "
         + ", ".join(
-            f"""CAST(ROUND(SUM(CASE WHEN "{c}" IS NULL THEN 1 ELSE 0 END)::DOUBLE / COUNT(*), 4) AS DOUBLE)
-                AS "null_rate_{c}" """
+            f"""{exact_ratio(f'COUNT(*) - COUNT("{c}")', "COUNT(*)", 0, 4)} AS "null_rate_{c}" """
             for c in ("InvoiceNo", "InvoiceDate", "UnitPrice", "CustomerID")
         )
         + " FROM typed_tx",
@@ -254,7 +253,7 @@ def q17(spark, sf):
     _sql(
         f"""SELECT {day_text('"InvoiceDate"')} AS tx_date, COUNT(*) AS tx_count,
               CAST(SUM(CAST("LineTotal" AS DECIMAL(14, 4))) AS DOUBLE) AS daily_revenue,
-              ROUND(CAST(SUM(CAST("UnitPrice" AS DECIMAL(12, 4))) AS DOUBLE) / COUNT("UnitPrice"), 4) AS avg_unit_price
+              {exact_ratio('SUM(CAST("UnitPrice" AS DECIMAL(12, 4)))', 'COUNT("UnitPrice")', 4, 4)} AS avg_unit_price
             FROM fact GROUP BY 1 ORDER BY 1"""
     ),
 )

@@ -8,7 +8,7 @@ from veritill.catalogue import adapters, anomalies, frames
 from veritill.catalogue import quality as dq
 from veritill.catalogue import raw_checks as raw
 from veritill.catalogue.adapters import AS_OF, RUN_DATE, plain
-from veritill.catalogue.oracle import NOW, day_text, ts_text, union, with_ctes
+from veritill.catalogue.oracle import NOW, day_text, exact_ratio, ts_text, union, with_ctes
 from veritill.catalogue.registry import query
 from veritill.model import HOUR_BINS, WEEKDAYS
 from veritill.operators import analytics, cleaning, quality, validation
@@ -27,7 +27,7 @@ def _fact(body: str) -> str:
     _fact(
         f"""SELECT COUNT(*) AS tx_rows, CAST(ROUND({_REVENUE}, 2) AS DOUBLE) AS total_revenue,
               COUNT(DISTINCT "CustomerID") AS unique_customers,
-              ROUND(CAST({_REVENUE} AS DOUBLE) / COUNT("LineTotal"), 2) AS avg_order_value,
+              {exact_ratio(_REVENUE, 'COUNT("LineTotal")', 4, 2)} AS avg_order_value,
               round_even(COUNT(*) FILTER (WHERE "Status" = 'cancelled')::DOUBLE / COUNT(*) * 100, 1) AS cancel_pct,
               COUNT(DISTINCT "Country") AS countries,
               {ts_text('MIN("InvoiceDate")')} AS date_min, {ts_text('MAX("InvoiceDate")')} AS date_max,
@@ -130,7 +130,7 @@ def r07(spark, sf):
     "r08_segment_revenue",
     _fact(
         f"""SELECT "CustomerSegment", CAST({_REVENUE} AS DOUBLE) AS total_revenue, COUNT("LineTotal") AS tx_count,
-              ROUND(CAST({_REVENUE} AS DOUBLE) / COUNT("LineTotal"), 2) AS avg_order_value
+              {exact_ratio(_REVENUE, 'COUNT("LineTotal")', 4, 2)} AS avg_order_value
             FROM fact WHERE "CustomerSegment" IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1"""
     ),
 )
@@ -262,7 +262,7 @@ _AUDIT = """
 
 @query("r17_layer_audit", _fact(_AUDIT))
 def r17(spark, sf):
-    tx = cleaning.transaction_counters(frames.tagged_tx(spark, sf))
+    tx = cleaning.transaction_counters(frames.typed_tx(spark, sf), AS_OF)
     cu = cleaning.customer_counters(cleaning.type_customers(adapters.raw_customers(spark, sf)))
     return analytics.layer_audit(tx, cu, frames.fact(spark, sf))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from veritill.catalogue import frames
 from veritill.catalogue.adapters import AS_OF, plain
-from veritill.catalogue.oracle import NOW, day_text, ts_text, with_ctes, words
+from veritill.catalogue.oracle import NOW, day_text, exact_ratio, ts_text, with_ctes, words
 from veritill.catalogue.registry import query
 from veritill.operators import views
 from veritill.model import LOADED_AT
@@ -15,10 +15,10 @@ _AMOUNT = f'CAST("Quantity" AS DECIMAL(14, 4)) * {_PRICE}'
 DAILY = f"""SELECT {ts_text("date_trunc('day', " + '"InvoiceDate")')} AS tx_date, COUNT(*) AS tx_count,
     COUNT(DISTINCT "CustomerID") AS unique_customers, COUNT(DISTINCT "InvoiceNo") AS unique_invoices,
     CAST(CAST(SUM({_AMOUNT}) AS DECIMAL(28, 2)) AS DOUBLE) AS gross_revenue,
-    ROUND(CAST(SUM({_PRICE}) AS DOUBLE) / COUNT("UnitPrice"), 4) AS avg_unit_price,
+    {exact_ratio(f"SUM({_PRICE})", 'COUNT("UnitPrice")', 4, 4)} AS avg_unit_price,
     COUNT(*) FILTER (WHERE "Status" = 'cancelled') AS cancelled_count,
     COUNT(*) FILTER (WHERE "Status" = 'refunded') AS refunded_count,
-    ROUND(CAST(100 * COUNT(*) FILTER (WHERE "Status" = 'cancelled') AS DOUBLE) / COUNT(*), 2) AS cancellation_rate_pct
+    {exact_ratio("""100 * COUNT(*) FILTER (WHERE "Status" = 'cancelled')""", "COUNT(*)", 0, 2)} AS cancellation_rate_pct
   FROM clean_tx GROUP BY 1 ORDER BY 1"""
 
 
@@ -72,7 +72,7 @@ def g03(spark, sf):
     "g04_segments",
     with_ctes(
         f"""SELECT {_plain_text('"Segment"')} AS segment, COUNT(*) AS customer_count,
-              CAST(ROUND(100.0 * COUNT(*) / SUM(COUNT(*)) OVER (), 2) AS DOUBLE) AS pct_of_total,
+              {exact_ratio("100 * COUNT(*)", "SUM(COUNT(*)) OVER ()", 0, 2)} AS pct_of_total,
               COUNT(*) FILTER (WHERE "IsActive") AS active_count,
               {day_text('MIN("SignupDate")')} AS earliest_signup, {day_text('MAX("SignupDate")')} AS latest_signup
             FROM clean_cu GROUP BY 1 ORDER BY 2 DESC, 1""",
@@ -89,7 +89,7 @@ def g04(spark, sf):
         f"""SELECT {words('trim("Country")')} AS country, COUNT(*) AS tx_count,
               COUNT(DISTINCT "CustomerID") AS unique_customers,
               CAST(CAST(SUM({_AMOUNT}) AS DECIMAL(28, 2)) AS DOUBLE) AS total_revenue,
-              ROUND(CAST(SUM({_AMOUNT}) AS DOUBLE) / COUNT({_AMOUNT}), 4) AS avg_order_value,
+              {exact_ratio(f"SUM({_AMOUNT})", f"COUNT({_AMOUNT})", 8, 4)} AS avg_order_value,
               CAST(RANK() OVER (ORDER BY SUM({_AMOUNT}) DESC) AS INTEGER) AS revenue_rank
             FROM clean_tx WHERE "UnitPrice" >= 0 GROUP BY 1 ORDER BY 4 DESC, 1""",
         "clean_tx",

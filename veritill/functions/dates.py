@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veritill.model import DATE_FORMATS
+from veritill.model import DATE_SHAPE
 
 
-def parse_timestamp(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits, else null."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats])
+def parse_timestamp(c: Column, shape: str = DATE_SHAPE) -> Column:
+    """Timestamp of a text of the declared shape between any white space, else null.
+
+    Matching the shape and casting is faster than a formatter, and raises nothing inside.
+    """
+    return F.regexp_extract(c, rf"(?U)^\s*+({shape})\s*+$", 1).try_cast("timestamp")
 
 
 def as_timestamp(value: str | datetime | Column) -> Column:

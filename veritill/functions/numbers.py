@@ -6,19 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A decimal number between any white space.  A Spark cast alone would also read Java literals
+# (``1d``, ``0x1p3``) and keep NaN as a value; none of them is a number here.
+_DECIMAL = r"([+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?|[+-]?(?i:inf(?:inity)?))"
+_NUMBER = rf"(?U)^\s*+{_DECIMAL}\s*+$"
+
+
 def number(c: Column, text: bool = True) -> Column:
-    """Double of a text number, null for anything else.
+    """Double of a text number, null for anything else, NaN included.
 
-    A Spark cast also reads Java literals (``1d``, ``0x1p3``) and keeps NaN as a value; both
-    count as unreadable here.
+    The input is named once only, so the optimizer may copy the expression into filters.
     """
     if not text:
         value = c.cast("double")
         return F.when(~F.isnan(value), value)
-    plain = F.lower(F.btrim(c))
-    suffix = F.right(plain, F.lit(1)).isin("d", "f") & ~plain.endswith("inf")
-    value = c.try_cast("double")
-    return F.when(~(suffix | plain.contains("x") | F.isnan(value)), value)
+    return F.regexp_extract(c, _NUMBER, 1).try_cast("double")
 
 
 def rounded_product(a: Column, b: Column) -> Column:

@@ -19,8 +19,14 @@ _WORD_RUNS = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
 
 
 def strip(c: Column) -> Column:
-    """Drop white space of any kind at both ends (plain ``trim`` only drops spaces)."""
-    return F.btrim(c, F.lit(_SPACE))
+    """Drop white space of any kind at both ends.
+
+    Trimming spaces is much cheaper than trimming a set; the set is only tried on text that
+    then still begins or ends outside printable ASCII.
+    """
+    plain = F.trim(c)
+    printable = F.ascii(plain).between(33, 126) & F.ascii(F.right(plain, F.lit(1))).between(33, 126)
+    return F.when(printable, plain).otherwise(F.btrim(c, F.lit(_SPACE)))
 
 
 def lower_strip(c: Column) -> Column:

@@ -75,8 +75,8 @@ CANCELLATION_THRESHOLD = 0.20
 # Countries whose holiday calendars a run reads by default.
 HOLIDAY_COUNTRIES = ("GB", "DE", "FR", "US")
 
-# Timestamp formats accepted in the exports.
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+# Shape of the timestamps in the exports, the time of day optional.
+DATE_SHAPE = "[0-9]{4}-[0-9]{2}-[0-9]{2}(?: [0-9]{2}:[0-9]{2}:[0-9]{2})?+"
 
 # Weekday order and two-hour bins of the heat map.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")

@@ -37,10 +37,10 @@ def _is_text(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.StringType)
 
 
-def trim_text(df: DataFrame) -> DataFrame:
-    """Strip every text column; other columns pass through."""
+def trim_text(df: DataFrame, besides: Sequence[str] = ()) -> DataFrame:
+    """Strip every text column; other columns, and those named, pass through."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: strip(F.col(f"`{c}`")) for c in texts})
+    return df.withColumns({c: strip(F.col(f"`{c}`")) for c in texts if c not in besides})
 
 
 def _typed_number(df: DataFrame, column: str) -> Column:
@@ -65,14 +65,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
 # --------------------------------------------------------------------------- transactions
 def type_transactions(raw: DataFrame) -> DataFrame:
     """Trimmed text, parsed InvoiceDate, numeric UnitPrice and Quantity."""
-    text = trim_text(raw)
-    return text.withColumns(
-        {
-            "InvoiceDate": _typed_timestamp(text, "InvoiceDate"),
-            "UnitPrice": _typed_number(text, "UnitPrice"),
-            "Quantity": _typed_number(text, "Quantity"),
-        }
-    )
+    typed = {
+        "InvoiceDate": _typed_timestamp(raw, "InvoiceDate"),
+        "UnitPrice": _typed_number(raw, "UnitPrice"),
+        "Quantity": _typed_number(raw, "Quantity"),
+    }
+    return trim_text(raw, besides=list(typed)).withColumns(typed)
 
 
 def reject_rules(as_of) -> dict[str, Column]:
@@ -87,26 +85,32 @@ def reject_rules(as_of) -> dict[str, Column]:
     }
 
 
-def tag_transactions(raw: DataFrame, as_of) -> DataFrame:
-    """Typed transactions with every failed rule in ``_reject_reason`` (empty = accepted)."""
+def is_accepted(as_of) -> Column:
+    """No rule failed.  A comparison with null is not true, so each column is named once."""
+    return (
+        (F.col("UnitPrice") >= 0) & (F.col("InvoiceDate") <= as_timestamp(as_of)) & F.col("Quantity").isNotNull()
+    )
+
+
+def with_reason(typed: DataFrame, as_of) -> DataFrame:
+    """Every failed rule in ``_reject_reason``, empty for accepted rows."""
     labels = [F.when(failed, F.lit(label)) for label, failed in reject_rules(as_of).items()]
-    return type_transactions(raw).withColumn(REJECT_REASON, F.concat_ws("|", *labels))
+    return typed.withColumn(REJECT_REASON, F.concat_ws("|", *labels))
 
 
-def rejected_transactions(tagged: DataFrame) -> DataFrame:
-    """The quarantined side."""
-    return tagged.where(F.col(REJECT_REASON) != "").drop(ROW_ID)
+def rejected_transactions(typed: DataFrame, as_of) -> DataFrame:
+    """The quarantined side; labels are only built for its rows."""
+    refused = typed.where(~F.coalesce(is_accepted(as_of), F.lit(False)))
+    return with_reason(refused, as_of).drop(ROW_ID)
 
 
-def accepted_transactions(tagged: DataFrame, order_by: Sequence[str | Column] | None = None) -> DataFrame:
+def accepted_transactions(
+    typed: DataFrame, as_of, order_by: Sequence[str | Column] | None = None
+) -> DataFrame:
     """The accepted side, de-duplicated, normalised and with derived columns."""
-    kept = keep_first(
-        tagged.where(F.col(REJECT_REASON) == "").drop(REJECT_REASON), TRANSACTION_KEY, order_by
-    ).drop(ROW_ID)
-    if "Description" in kept.columns:
-        kept = kept.withColumn("Description", title_case(F.col("Description")))
-    if "Status" in kept.columns:
-        kept = kept.withColumn("Status", normalise_status(F.col("Status")))
+    kept = keep_first(typed.where(is_accepted(as_of)), TRANSACTION_KEY, order_by).drop(ROW_ID)
+    texts = {"Description": title_case, "Status": normalise_status}
+    kept = kept.withColumns({c: step(F.col(c)) for c, step in texts.items() if c in kept.columns})
     return with_date_parts(with_line_total(kept))
 
 
@@ -130,8 +134,8 @@ def with_date_parts(df: DataFrame) -> DataFrame:
 
 def clean_transactions(raw: DataFrame, as_of, order_by: Sequence[str | Column] | None = None) -> Split:
     """Rejects leave before de-duplication, so a rejected row never shadows a good one."""
-    tagged = tag_transactions(raw, as_of)
-    return Split(accepted_transactions(tagged, order_by), rejected_transactions(tagged))
+    typed = type_transactions(raw)
+    return Split(accepted_transactions(typed, as_of, order_by), rejected_transactions(typed, as_of))
 
 
 def reject_histogram(rejected: DataFrame) -> DataFrame:
@@ -145,8 +149,8 @@ def reject_histogram(rejected: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- customers
 def normalise_country(c: Column) -> Column:
-    """Title case, then alias to the full name."""
-    titled = title_case(strip(c))
+    """Title case of a trimmed name, then alias to the full name."""
+    titled = title_case(c)
     return F.coalesce(lookup(titled, COUNTRY_ALIASES), titled)
 
 
@@ -187,8 +191,8 @@ def cleaning_counters(accepted: DataFrame, keys: Sequence[str], is_rejected: Col
     )
 
 
-def transaction_counters(tagged: DataFrame) -> DataFrame:
-    return cleaning_counters(tagged, TRANSACTION_KEY, F.col(REJECT_REASON) != "")
+def transaction_counters(typed: DataFrame, as_of) -> DataFrame:
+    return cleaning_counters(typed, TRANSACTION_KEY, ~F.coalesce(is_accepted(as_of), F.lit(False)))
 
 
 def customer_counters(typed: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot leaves methods above this size uncompiled; Spark then splits the work instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
