@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from veritill.functions import as_timestamp, at_scale, rate
+from veritill.functions import as_timestamp, at_scale, number, rate
 from veritill.model import HOUR_BINS, WEEKDAYS
 from veritill.operators.anomalies import daily_counts
 from veritill.operators.checks import surplus_rows
@@ -120,10 +120,12 @@ def histogram(df: DataFrame, value: Column, bins: int, low: float | None = None,
         F.when(flat, F.max("x") + 0.5).otherwise(F.max("x")).alias("high"),
     )
     reach = xs.agg(ends.alias("r"))
-    span = reach.scalar()
-    start, end = span.getField("low"), span.getField("high")
-    place = F.floor((F.col("x") - start) / ((end - start) / bins)).cast("int")
-    counted = xs.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(_rows().alias("row_count"))
+    place = F.expr(f"cast(floor((x - r.low) / ((r.high - r.low) / {bins})) as int)")
+    counted = (
+        xs.select("x", reach.scalar().alias("r"))
+        .groupBy(F.least(place, F.lit(bins - 1)).alias("bin"))
+        .agg(_rows().alias("row_count"))
+    )
 
     width = (F.col("r.high") - F.col("r.low")) / bins
     grid = (
@@ -203,7 +205,7 @@ def describe(df: DataFrame, columns: Sequence[str] = ("UnitPrice", "Quantity"))
     columns = list(columns)
 
     def figures(c: str) -> Column:
-        x = F.col(c).cast("double")
+        x = number(F.col(c), text=False)
         return F.struct(
             F.lit(c).alias("column"),
             F.count(x).alias("row_count"),

@@ -48,7 +48,8 @@ def zscore(df: DataFrame, column: str, into: str = "z_score") -> DataFrame:
     """A1: sample z-score of a numeric column; null amounts have none."""
     value = _amount(df, column)
     moments = df.agg(_moments(value).alias("m")).scalar()
-    return df.withColumn(into, _z(value, moments.getField("mean"), moments.getField("std")))
+    scored = df.withColumn("_m", moments)
+    return scored.withColumn(into, _z(value, F.col("_m.mean"), F.col("_m.std"))).drop("_m")
 
 
 # --------------------------------------------------------------------------- daily volume
@@ -142,8 +143,8 @@ def amount_profile(df: DataFrame, column: str, z_threshold: float) -> DataFrame:
     value = _amount(df, column)
     amounts = df.select(value.alias("amount")).where(F.col("amount").isNotNull())
     moments = amounts.agg(_moments(F.col("amount")).alias("m")).scalar()
-    z = _z(F.col("amount"), moments.getField("mean"), moments.getField("std"))
-    return amounts.agg(
+    z = _z(F.col("amount"), F.col("m.mean"), F.col("m.std"))
+    return amounts.select("amount", moments.alias("m")).agg(
         F.count_if(F.abs(z) > z_threshold).alias("outliers"),
         F.avg("amount").alias("mean"),
         F.stddev_samp("amount").alias("std"),

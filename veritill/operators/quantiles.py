@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from veritill.functions import number
+
 #: Sketch accuracy: ranks are off by at most ``rows / ACCURACY``.
 ACCURACY = 10_000
 
@@ -22,43 +24,40 @@ ACCURACY = 10_000
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], quantiles: Sequence[float], accuracy: int = ACCURACY
 ) -> DataFrame:
-    """Rows ``(column, quantile, value)``; nulls are ignored, a column of nulls has no rows."""
+    """Rows ``(column, quantile, value)``; nulls and NaN are ignored, a column without values has no rows."""
     columns, quantiles = list(columns), [float(q) for q in quantiles]
     margin = 2.0 / accuracy
     low = F.array(*[F.lit(max(0.0, q - margin)) for q in quantiles])
     high = F.array(*[F.lit(min(1.0, q + margin)) for q in quantiles])
 
+    numbers = df.select(*[number(F.col(c), text=False).alias(c) for c in columns])
+
     def bracket(column: str) -> Column:
-        value = F.col(column).cast("double")
         return F.struct(
-            F.count(value).alias("n"),
-            F.percentile_approx(value, low, accuracy).alias("low"),
-            F.percentile_approx(value, high, accuracy).alias("high"),
+            F.count(column).alias("n"),
+            F.percentile_approx(column, low, accuracy).alias("low"),
+            F.percentile_approx(column, high, accuracy).alias("high"),
         ).alias(column)
 
-    brackets = df.agg(F.struct(*[bracket(c) for c in columns]).alias("b")).scalar()
-
-    def places(column: str) -> list[Column]:
-        """For one value: its place relative to each quantile's bracket (null when above)."""
-        own = brackets.getField(column)
-        n, value = own.getField("n"), F.col(column).cast("double")
-        out = []
-        for i, q in enumerate(quantiles):
-            # few rows: the whole column is its own bracket; the ends of the range stay open
-            small = n < F.lit(4 * accuracy)
-            below = ~small & (F.lit(q) > margin) & (value < own.getField("low")[i])
-            above = ~small & (F.lit(q) < 1.0 - margin) & (value > own.getField("high")[i])
-            place = F.struct(
-                F.lit(column).alias("column"),
-                F.lit(q).alias("quantile"),
-                n.alias("n"),
-                F.when(~below, value).alias("value"),
-            )
-            out.append(F.when(value.isNotNull() & ~above, place))
-        return out
-
-    placed = df.select(F.explode(F.array_compact(F.array(*[p for c in columns for p in places(c)]))).alias("p"))
-    counted = placed.groupBy("p.column", "p.quantile", "p.n", "p.value").agg(F.count(F.lit(1)).alias("rows"))
+    # the one-row subquery becomes a column of its own, so it is planned once
+    brackets = numbers.agg(F.struct(*[bracket(c) for c in columns]).alias("b")).scalar()
+
+    def place(column: str, i: int, q: float) -> str:
+        """A value's place relative to a quantile's bracket; null when above it.
+
+        Few rows are their own bracket, and the ends of the range stay open.
+        """
+        own, wide = f"_b.`{column}`", f"_b.`{column}`.n >= {4 * accuracy}"
+        below = f"{wide} and `{column}` < {own}.low[{i}]" if q > margin else "false"
+        above = f"{wide} and `{column}` > {own}.high[{i}]" if q < 1.0 - margin else "false"
+        return (
+            f"if(`{column}` is null or ({above}), null, named_struct('column', '{column}', "
+            f"'quantile', double({q}), 'n', {own}.n, 'value', if({below}, null, `{column}`)))"
+        )
+
+    places = ", ".join(place(c, i, q) for c in columns for i, q in enumerate(quantiles))
+    placed = numbers.select("*", brackets.alias("_b")).selectExpr(f"inline(array_compact(array({places})))")
+    counted = placed.groupBy("column", "quantile", "n", "value").agg(F.count(F.lit(1)).alias("rows"))
 
     # values below the bracket come first (null sorts first), then the bracket in order
     ordered = Window.partitionBy("column", "quantile").orderBy(F.asc_nulls_first("value"))
