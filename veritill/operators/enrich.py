@@ -61,14 +61,13 @@ def enrich_holidays(
     df: DataFrame,
     holidays: DataFrame | None,
     iso2: Mapping[str, str] = COUNTRY_ISO2,
-    salted: bool = False,
 ) -> DataFrame:
     """``is_holiday`` and ``holiday_name`` by invoice day and transaction country."""
     if holidays is None:
         return df.withColumns({"is_holiday": F.lit(False), "holiday_name": F.lit(None).cast("string")})
     country = lookup(F.col("Country"), iso2) if "Country" in df.columns else F.lit(None).cast("string")
     keyed = df.withColumns({"_iso2": country, "_day": F.to_date("InvoiceDate")})
-    matched = left_lookup(keyed, holiday_lookup(holidays), ["_iso2", "_day"], salted=salted)
+    matched = left_lookup(keyed, holiday_lookup(holidays), ["_iso2", "_day"])
     return matched.select(*df.columns, F.col("holiday_name").isNotNull().alias("is_holiday"), "holiday_name")
 
 
@@ -92,9 +91,12 @@ def build_fact(
     strict_reference: bool = False,
     salted: bool = False,
 ) -> DataFrame:
-    """The 25-column fact table; it has exactly the rows of ``transactions``."""
+    """The 25-column fact table; it has exactly the rows of ``transactions``.
+
+    ``salted`` concerns the customer join; pass stored ``transactions`` with it.
+    """
     joined = join_customers(transactions, customers, strict_reference, salted)
-    return derive_columns(enrich_holidays(joined, holidays, iso2, salted), iso2)
+    return derive_columns(enrich_holidays(joined, holidays, iso2), iso2)
 
 
 def orphan_rate(fact: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritill.operators.checks import anomaly_table, dq_table, validation_table
+from veritill.sources.sinks import in_parallel
 
 
 def run_verdict(results: DataFrame) -> DataFrame:
@@ -71,5 +73,8 @@ def stage_summary(results: DataFrame) -> DataFrame:
 
 def save_report(sections: Mapping[str, DataFrame], folder: str, run_date: str) -> None:
     """Write every section under ``<folder>/<section>/run_date=<day>``."""
-    for name, table in sections.items():
+
+    def save(name: str, table: DataFrame) -> None:
         table.drop("run_date").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}/run_date={run_date}")
+
+    in_parallel(*[partial(save, name, table) for name, table in sections.items()])

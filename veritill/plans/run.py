@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from datetime import date, datetime, timezone
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 
 from veritill.model import HOLIDAY_COUNTRIES
 from veritill.operators.anomalies import run_anomaly_detection
+from veritill.operators.checks import dq_table
 from veritill.operators.cleaning import clean_customers, clean_transactions
 from veritill.operators.enrich import build_fact
-from veritill.operators.checks import dq_table
-from veritill.operators.skew import fits_broadcast
 from veritill.operators.quality import run_quality_checks
+from veritill.operators.skew import fits_broadcast
 from veritill.operators.validation import validate_raw
 from veritill.plans.report import counts_table, report_tables, run_verdict, save_report
 from veritill.sources import files, sinks
@@ -68,19 +69,19 @@ def _run(
     raw, interim = f"{out}/raw", f"{out}/interim"
 
     # land the exports as they are; columnar from here on
-    counts = {
-        "transactions": sinks.land_raw(files.read_transactions(spark, source_dir), f"{raw}/transactions", day),
-        "customers": sinks.land_raw(files.read_customers(spark, source_dir), f"{raw}/customers", day),
-        "holidays": 0,
+    exports = {
+        "transactions": files.read_transactions(spark, source_dir),
+        "customers": files.read_customers(spark, source_dir),
     }
-    holidays: DataFrame | None = None
     if holidays_path is not None:
         year = holiday_year or int(day[:4])
-        calendar = files.read_holidays(spark, holidays_path, holiday_countries, year)
-        counts["holidays"] = sinks.land_raw(calendar, f"{raw}/holidays", day)
-        if counts["holidays"]:
-            holidays = stored(f"{raw}/holidays/run_date={day}")
-            sinks.save_layer(holidays, f"{interim}/holidays")
+        exports["holidays"] = files.read_holidays(spark, holidays_path, holiday_countries, year)
+    landings = [partial(sinks.land_raw, df, f"{raw}/{name}", day) for name, df in exports.items()]
+    counts = {"holidays": 0} | dict(zip(exports, sinks.in_parallel(*landings)))
+    holidays: DataFrame | None = None
+    if counts["holidays"]:
+        holidays = stored(f"{raw}/holidays/run_date={day}")
+        sinks.save_layer(holidays, f"{interim}/holidays")
     sinks.write_manifest(spark, f"{out}/manifest", day, counts, now)
     ingested = dict(counts)
 
@@ -88,8 +89,10 @@ def _run(
     cu_raw = stored(f"{raw}/customers/run_date={day}")
     validation = validate_raw(tx_raw, cu_raw, now, day)
 
-    tx_counts = sinks.save_clean_split(*clean_transactions(tx_raw, now), interim, "transactions")
-    cu_counts = sinks.save_clean_split(*clean_customers(cu_raw), interim, "customers")
+    tx_counts, cu_counts = sinks.in_parallel(
+        partial(sinks.save_clean_split, *clean_transactions(tx_raw, now), interim, "transactions"),
+        partial(sinks.save_clean_split, *clean_customers(cu_raw), interim, "customers"),
+    )
     counts |= {
         "transactions_clean": tx_counts.clean,
         "transactions_rejected": tx_counts.rejected,

@@ -49,7 +49,8 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     """Every column of a CSV export as text, plus ``_row_id``.
 
     The header names the columns, so the name checks see what was really delivered.  ``_row_id``
-    orders rows by file, then block, then position, whatever order Spark packs the splits in.
+    orders rows by file name, then block, then position, whatever order Spark packs the splits
+    in; the folder only enters as a hash, as the column travels through the cleaning shuffle.
     ``multiline`` accepts line breaks inside quotes, at the price of unsplittable files.
     """
     raw = (
@@ -62,7 +63,8 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     names = raw.columns
     present = [F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in names]
     position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("file"),
+        F.xxhash64("_metadata.file_path").alias("folder"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
