@@ -14,10 +14,10 @@ CU_SCHEMA = "CustomerID string, Country string, SignupDate string, Segment strin
 def dirty_transactions(spark):
     uk = "United Kingdom"
     data = [
-        ("I1", "S1", "widget a", "5", "2023-01-15 10:00:00", "2.5", "C1", uk, "done", "card", 1),
+        ("I1", "S1", "blue kettle", "5", "2023-01-15 10:00:00", "2.5", "C1", uk, "done", "card", 1),
         ("I2", "S2", "T-LIGHT 3d o'neil", "-2", "2023-02-20", "1.0", "C2", f" {uk} ", " VOID ", "card", 2),
-        ("I3", "S3", "WIDGET C", "10", "not-a-date", "3.0", "C3", uk, "return", "card", 3),
-        ("I4", "S4", "Widget D", "3", "2023-03-01 09:00:00", "-1.5", "C4", uk, "completed", "card", 4),
+        ("I3", "S3", "OAK SHELF", "10", "not-a-date", "3.0", "C3", uk, "return", "card", 3),
+        ("I4", "S4", "Tin lamp", "3", "2023-03-01 09:00:00", "-1.5", "C4", uk, "completed", "card", 4),
         ("I1", "S1", "second copy", "5", "2023-01-15 10:00:00", "2.5", "C1", uk, "completed", "card", 5),
         ("I5", "S5", None, "x", "2099-01-01", None, None, uk, None, "card", 6),
         ("I6", "S6", "free", "1", "2023-04-01", "0", None, "Atlantis", "On Hold", "card", 7),
@@ -57,12 +57,12 @@ def steady_fact(spark, days: int = 60):
     start = datetime(2023, 1, 1)
     data = [
         (
-            f"INV{i:04d}",
+            f"N{i}",
             f"S{i}",
             f"C{i % 20}",
-            2.5 + (i % 5) * 0.5,
-            1 + i % 10,
-            (2.5 + (i % 5) * 0.5) * (1 + i % 10),
+            4.0 + i % 3,
+            2 + i % 6,
+            (4.0 + i % 3) * (2 + i % 6),
             start + timedelta(days=i),
             "United Kingdom",
             "cancelled" if i % 10 == 0 else "completed",

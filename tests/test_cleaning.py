@@ -24,7 +24,7 @@ def test_clean_rows(split, rows):
     clean = {(r["InvoiceNo"], r["StockCode"]): r for r in rows(split.clean)}
     assert set(clean) == {("I1", "S1"), ("I2", "S2"), ("I6", "S6"), (None, "S7")}
     first = clean["I1", "S1"]
-    assert first["Description"] == "Widget A"  # the first copy wins
+    assert first["Description"] == "Blue Kettle"  # the first copy wins
     assert first["LineTotal"] == 12.5
     assert (first["TxYear"], first["TxMonth"], first["TxDay"], first["TxDOW"]) == (2023, 1, 15, "Sunday")
     assert clean["I2", "S2"]["Description"] == "T-Light 3D O'Neil"
@@ -52,7 +52,7 @@ def test_optional_columns_may_be_absent(spark, as_of):
 def test_keep_first_does_not_depend_on_partitions(spark, as_of, parts, rows):
     raw = dirty_transactions(spark).repartition(parts)
     kept = rows(cleaning.clean_transactions(raw, as_of).clean.where("InvoiceNo = 'I1'"))
-    assert [r["Description"] for r in kept] == ["Widget A"]
+    assert [r["Description"] for r in kept] == ["Blue Kettle"]
     cu = rows(cleaning.clean_customers(dirty_customers(spark).repartition(parts)).clean.where("CustomerID = 'C1'"))
     assert [r["Country"] for r in cu] == ["United Kingdom"]
 
@@ -94,3 +94,9 @@ def test_counters_add_up(spark, as_of, rows):
 
 def test_reject_histogram(split, rows):
     assert [r["row_count"] for r in rows(cleaning.reject_histogram(split.rejected))] == [1, 1, 1]
+
+
+def test_without_row_ids_the_other_columns_decide(spark, as_of, rows):
+    raw = dirty_transactions(spark).drop("_row_id")
+    kept = [rows(cleaning.clean_transactions(raw.repartition(n), as_of).clean, "InvoiceNo") for n in (1, 8)]
+    assert kept[0] == kept[1] and len(kept[0]) == 4

@@ -55,9 +55,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
     """First row of every key in source order; null keys equal each other.
 
     ``row_number() = 1`` lets Spark drop all but one row per key and map task before the
-    shuffle, so a key with many copies never gathers in one task.
+    shuffle, so a key with many copies never gathers in one task.  A frame without ``_row_id``
+    has no source order; all its other columns then decide, which is deterministic as well.
     """
-    order = list(order_by or [ROW_ID])
+    others = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    order = list(order_by or ([ROW_ID] if ROW_ID in df.columns else others)) or list(keys)
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_nth", nth).where(F.col("_nth") == 1).drop("_nth")
 
