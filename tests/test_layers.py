@@ -132,3 +132,18 @@ def test_run_without_exports_gives_two(spark, tmp_path):
 def test_scratch_folders_are_new_and_shared(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_run_with_a_customer_table_beyond_broadcast(spark, delivery, as_of):
+    """No table fits: the run takes the salted join and builds the same fact."""
+    out = {n: str(delivery / n) for n in ("plain", "salted")}
+    run = lambda path: run_pipeline(spark, str(delivery), path, "2024-06-30", as_of, warehouse=False)
+    plain = run(out["plain"])
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        salted = run(out["salted"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert salted.code == plain.code == 1 and salted.counts == plain.counts
+    facts = [spark.read.parquet(f"{path}/processed/fct_transactions") for path in out.values()]
+    assert facts[0].exceptAll(facts[1]).count() == 0 and facts[1].exceptAll(facts[0]).count() == 0
