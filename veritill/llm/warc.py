@@ -17,6 +17,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +28,7 @@ from veritill.llm.common import stored
 from veritill.session import scratch_dir
 
 BREAK = "\r\n"
-#: Bytes of payload per WARC file, about; one file is one task when read.
+#: Bytes of payload per WARC file, about.
 FILE_BYTES = 32 << 20
 
 
@@ -84,16 +85,8 @@ def store(
         .withColumn("record_type", record_type)
         .select("page_id", "record_type", _header(F.col("record_type")).alias("header"), "sha256", "bytes")
     )
-    # joined on id and digest, so that only the holder's row meets anything
-    held = holders.select(F.col("sha256").alias("key"), F.col("bytes").alias("key_bytes"), "holder")
-    payloads = (
-        digested.join(
-            held,
-            (F.col("sha256") == F.col("key")) & (F.col("bytes") == F.col("key_bytes")) & F.col("page_id").eqNullSafe(F.col("holder")),
-        )
-        .select("sha256", "bytes", "payload")
-        .dropDuplicates(["sha256", "bytes"])
-    )
+    # equal digests are equal bytes: one copy per map task is shuffled, and one stays
+    payloads = digested.groupBy("sha256", "bytes").agg(F.first("payload").alias("payload"))
     return stored(headers, "warc-headers"), stored(payloads, "warc-payloads")
 
 
@@ -107,15 +100,16 @@ def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
 
 
 def export(headers: DataFrame, payloads: DataFrame, path: str | None = None) -> str:
-    """Write WARC files with Spark's own writer and return their folder.
+    """Write compressed WARC files with Spark's own writer and return their folder.
 
     A record ends with two line breaks, which are the separator the text writer is given.
     """
     spark = headers.sparkSession
     path = path or scratch_dir(spark, "warc")
-    total = payloads.agg(F.sum(F.col("bytes") + 1)).first()[0] or 0
+    n, total = payloads.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     lines = records(headers, payloads).select(F.concat("header", F.lit(BREAK * 2), "body").alias("value"))
-    lines.repartition(max(1, -(-total // FILE_BYTES))).write.option("lineSep", BREAK * 2).text(path)
+    writer = lines.write.option("lineSep", BREAK * 2).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", max(1, FILE_BYTES * n // max(1, total))).text(path)
     return path
 
 
@@ -151,7 +145,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 rows, size = [], 0
-                for fields, body in _parse(batch.column(0)[i].as_py()):
+                for fields, body in _parse(gzip.decompress(batch.column(0)[i].as_py())):
                     rows.append((
                         number(fields["WARC-Record-ID"]), fields["WARC-Type"], number(fields.get("WARC-Refers-To")),
                         fields.get("WARC-Target-URI"), fields["WARC-Payload-Digest"].removeprefix("sha1:"), body,
