@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veritill.llm import license_scan, packing, piece_codec, warc
+from veritill.llm import ball_tree, language_crf, license_scan, packing, piece_codec, warc
 from veritill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +34,22 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_summary(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+    model = language_crf.learn(documents, ~held_out & F.col("doc_id").isNotNull())
+    return language_crf.predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers, payloads = warc.store(table(spark, sf_dir, "pages"), min_bytes=0)
     return warc.resolve(warc.read(spark, warc.export(headers, payloads)))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *byte_model())
 
@@ -59,14 +71,29 @@ FROM v
 """
 
 
+OP8_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+"""
+
+
 def registered() -> dict[str, Query]:
     return {
         "op2_pieces": op2_pieces,
         "op3_licenses": op3_licenses,
+        "op6_language": op6_language,
         "op7_warc": op7_warc,
+        "op8_top_k": op8_top_k,
         "op9_packing": op9_packing,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op7_warc": OP7_SQL}
+    return {"op7_warc": OP7_SQL, "op8_top_k": OP8_SQL}
