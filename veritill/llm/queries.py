@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritill.llm import ball_tree, language_crf, license_scan, packing, piece_codec, warc
+from veritill.llm import ball_tree, language_crf, license_scan, minhash, packing, piece_codec, warc
 from veritill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_summary(table(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=4, percent=80)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
@@ -88,6 +92,7 @@ def registered() -> dict[str, Query]:
     return {
         "op2_pieces": op2_pieces,
         "op3_licenses": op3_licenses,
+        "op5_near_duplicates": op5_near_duplicates,
         "op6_language": op6_language,
         "op7_warc": op7_warc,
         "op8_top_k": op8_top_k,
