@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritill.llm import ball_tree, language_crf, license_scan, minhash, packing, piece_codec, warc
+from veritill.llm import ball_tree, language_crf, license_scan, minhash, packing, piece_codec, suffix_dedup, warc
 from veritill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def byte_model() -> tuple[str, str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_digests(table(spark, sf_dir, "documents"), length=400)
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_digests(table(spark, sf_dir, "documents"), piece_model())
 
@@ -90,6 +94,7 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_numb
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_suffixes": op1_suffixes,
         "op2_pieces": op2_pieces,
         "op3_licenses": op3_licenses,
         "op5_near_duplicates": op5_near_duplicates,
