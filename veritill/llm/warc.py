@@ -1,7 +1,7 @@
 """Content-addressed web archive.
 
-``store`` keeps two tables.  ``payloads`` has each distinct payload once, under its SHA-256 and
-length.  ``headers`` has the exact header block of every record, with the digest that leads to its
+``store`` keeps two tables.  ``payloads`` has each distinct payload once, compressed, under its SHA-256
+and length.  ``headers`` has the exact header block of every record, with the digest that leads to its
 payload.  Records are put together again by joins: ``export`` writes WARC files, ``read`` parses
 WARC files, ``resolve`` gives every record its whole payload's length and digest and fails if bytes
 do not have the digest their header states.
@@ -17,17 +17,21 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritill.llm.common import stored
+from veritill.llm.common import per_row, stored
 from veritill.session import scratch_dir
 
 BREAK = "\r\n"
+_BREAKS = re.compile(r"[\r\n]+")
 #: Bytes of payload per WARC file, about.
 FILE_BYTES = 32 << 20
 
@@ -40,15 +44,27 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), digits, letters)
 
 
-def _with_digest(pages: DataFrame, id_column: str, address: str, payload: str) -> DataFrame:
-    bytes_ = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    return pages.select(
-        F.col(id_column).cast("bigint").alias("page_id"),
-        F.regexp_replace(F.col(address), r"[\r\n]+", "").alias("address"),
-        bytes_.alias("payload"),
-        F.octet_length(bytes_).cast("bigint").alias("bytes"),
-        F.sha2(bytes_, 256).alias("sha256"),
-    )
+def _packed(pages: DataFrame, id_column: str, address: str, payload: str) -> DataFrame:
+    """Digests of each payload, and its bytes compressed for the way to the store."""
+
+    def work(compressor, ids, addresses, payloads):
+        raw = [(text or "").encode() for text in payloads]
+        return [
+            ids,
+            [None if a is None else _BREAKS.sub("", a) for a in addresses],
+            [len(x) for x in raw],
+            [hashlib.sha256(x).hexdigest() for x in raw],
+            [base64.b32encode(hashlib.sha1(x).digest()).decode() for x in raw],
+            [compressor.compress(x) for x in raw],
+        ]
+
+    def ready():
+        import zstandard
+
+        return zstandard.ZstdCompressor(level=3)
+
+    schema = "page_id bigint, address string, bytes bigint, sha256 string, sha1 string, packed binary"
+    return per_row(pages.withColumn(id_column, F.col(id_column).cast("bigint")), [id_column, address, payload], schema, work, ready)
 
 
 def _header(record_type: Column) -> Column:
@@ -73,8 +89,8 @@ def store(
     pages: DataFrame, min_bytes: int = 0, id_column: str = "page_id", address: str = "url", payload: str = "html"
 ) -> tuple[DataFrame, DataFrame]:
     """Write both tables to the shared folder and return (headers, payloads) read from there."""
-    digested = _with_digest(pages, id_column, address, payload)
-    thin = stored(digested.select("page_id", "address", "bytes", "sha256", base32_sha1(F.col("payload")).alias("sha1")), "warc-digests")
+    digested = _packed(pages, id_column, address, payload)
+    thin = stored(digested.drop("packed"), "warc-digests")
     holders = thin.groupBy("sha256", "bytes").agg(F.max("page_id").alias("holder"))
     # a digest that a third of the rows share is a skewed join, which is split at run time
     record_type = F.when(
@@ -86,7 +102,7 @@ def store(
         .select("page_id", "record_type", _header(F.col("record_type")).alias("header"), "sha256", "bytes")
     )
     # equal digests are equal bytes: one copy per map task is shuffled, and one stays
-    payloads = digested.groupBy("sha256", "bytes").agg(F.first("payload").alias("payload"))
+    payloads = digested.groupBy("sha256", "bytes").agg(F.first("packed").alias("packed"))
     return stored(headers, "warc-headers"), stored(payloads, "warc-payloads")
 
 
@@ -94,9 +110,17 @@ def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     """Original records: each exact header with the bytes that follow it in a WARC file."""
     responses = headers.where(F.col("record_type") == "response").join(payloads, ["sha256", "bytes"])
     revisits = headers.where(F.col("record_type") == "revisit")
-    return responses.select("header", F.col("payload").cast("string").alias("body")).unionAll(
-        revisits.select("header", F.lit("").alias("body"))
-    )
+
+    def work(unpacker, heads, packed):
+        return [heads, [unpacker.decompress(x).decode() for x in packed]]
+
+    def ready():
+        import zstandard
+
+        return zstandard.ZstdDecompressor()
+
+    whole = per_row(responses, ["header", "packed"], "header string, body string", work, ready)
+    return whole.unionAll(revisits.select("header", F.lit("").alias("body")))
 
 
 def export(headers: DataFrame, payloads: DataFrame, path: str | None = None) -> str:
