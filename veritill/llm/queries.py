@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritill.llm import ball_tree, language_crf, license_scan, minhash, packing, piece_codec, suffix_dedup, warc
+from veritill.llm import ball_tree, language_crf, license_scan, minhash, packing, piece_codec, spot_signatures, suffix_dedup, warc
 from veritill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_summary(table(spark, sf_dir, "documents"))
 
 
+def op4_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.edited_and_next(table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=4, percent=80)
 
@@ -97,6 +101,7 @@ def registered() -> dict[str, Query]:
         "op1_suffixes": op1_suffixes,
         "op2_pieces": op2_pieces,
         "op3_licenses": op3_licenses,
+        "op4_spots": op4_spots,
         "op5_near_duplicates": op5_near_duplicates,
         "op6_language": op6_language,
         "op7_warc": op7_warc,
