@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritill.llm import ball_tree, language_crf, license_scan, minhash, packing, piece_codec, spot_signatures, suffix_dedup, warc
+from veritill.llm import ball_tree, language_crf, license_scan, line_templates, minhash, packing, piece_codec, spot_signatures, suffix_dedup, warc
 from veritill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *byte_model())
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_templates.without_templates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v{part} >> {shift}) & 31)::INT, 1)"
     for part in range(4)
@@ -96,6 +101,41 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_numb
 """
 
 
+OP10_SQL = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+split AS (SELECT doc_id, string_split(body, chr(10)) AS own FROM docs),
+each AS (SELECT doc_id, generate_subscripts(own, 1) AS i, unnest(own) AS line FROM split),
+masked AS (SELECT doc_id, i, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM each),
+lines AS (
+  SELECT *, len(tokens) AS n FROM (
+    SELECT *, list_filter(string_split(masked, ' '), lambda t: t <> '') AS tokens FROM masked)
+  WHERE len(tokens) >= {line_templates.MIN_TOKENS}),
+exact AS (SELECT masked, min(doc_id) AS first FROM lines GROUP BY 1 HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCS}),
+longer AS (SELECT *, tokens[1:{line_templates.LEADING}] AS lead FROM lines WHERE n >= {line_templates.TREE_TOKENS}),
+leaves AS (SELECT n, lead, count(*) AS lines FROM longer GROUP BY 1, 2 HAVING count(*) >= {line_templates.MIN_DOCS}),
+held AS (SELECT l.*, leaves.lines FROM longer l JOIN leaves USING (n, lead)),
+places AS (SELECT n, lead, lines, generate_subscripts(tokens, 1) AS p, unnest(tokens) AS token FROM held),
+fixed AS (
+  SELECT n, lead, p, token FROM places GROUP BY n, lead, lines, p, token
+  HAVING count(*) >= {line_templates.MIN_DOCS} AND count(*) >= {line_templates.TOKEN_SHARE} * lines),
+spread AS (SELECT doc_id, i, n, lead, generate_subscripts(tokens, 1) AS p, unnest(tokens) AS token FROM held),
+named AS (
+  SELECT s.doc_id, s.i, s.n, s.lead, s.p, coalesce(f.token, '<*>') AS token FROM spread s
+  LEFT JOIN fixed f ON f.n = s.n AND f.lead = s.lead AND f.p = s.p AND f.token = s.token),
+general AS (
+  SELECT doc_id, i, n, lead, list(token ORDER BY p) AS template FROM named GROUP BY 1, 2, 3, 4
+  HAVING count(*) FILTER (WHERE token <> '<*>') >= {line_templates.FIXED_SHARE} * n),
+recurring AS (SELECT n, lead, template, min(doc_id) AS first FROM general GROUP BY 1, 2, 3
+  HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCS}),
+gone AS (
+  SELECT doc_id, i FROM lines JOIN exact USING (masked) WHERE doc_id <> first
+  UNION SELECT doc_id, i FROM general JOIN recurring USING (n, lead, template) WHERE doc_id <> first)
+SELECT e.doc_id, count(*)::BIGINT AS n_lines, count(g.i)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY e.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY 1
+"""
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_suffixes": op1_suffixes,
@@ -107,8 +147,9 @@ def registered() -> dict[str, Query]:
         "op7_warc": op7_warc,
         "op8_top_k": op8_top_k,
         "op9_packing": op9_packing,
+        "op10_lines": op10_lines,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op7_warc": OP7_SQL, "op8_top_k": OP8_SQL}
+    return {"op7_warc": OP7_SQL, "op8_top_k": OP8_SQL, "op10_lines": OP10_SQL}
