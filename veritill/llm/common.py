@@ -26,19 +26,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Empty the folders of stored frames that nothing reads any more."""
+    for frame in frames:
+        files = frame.inputFiles()
+        if files:
+            empty = frame.sparkSession.createDataFrame([], frame.schema)
+            empty.coalesce(1).write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
+
+
 def per_row(
     df: DataFrame,
     inputs: list[str],
     schema: str,
     work: Callable[..., list[list]],
     ready: Callable[[], object] | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Apply ``work`` to short runs of rows inside the tasks, in Arrow columns.
 
     ``work`` gets what ``ready`` made once per task, then one list per input column; it returns
-    one list per output column.  Columns other than ``inputs`` are not read.
+    one list per output column.  Where each row gives one, ``keep`` names columns to pass on
+    behind them.  Other columns are not read.
     """
-    selected = df.select(*inputs)
+    selected = df.select(*inputs, *[F.col(c).alias(f"kept {i}") for i, c in enumerate(keep)])
+    schema = ", ".join([schema, *(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)])
     target = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in _parsed(selected, schema)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,10 +58,10 @@ def per_row(
         for batch in batches:
             for start in range(0, batch.num_rows, STEP_ROWS):
                 part = batch.slice(start, STEP_ROWS)
-                columns = work(state, *(part.column(i).to_pylist() for i in range(part.num_columns)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, type=f.type) for values, f in zip(columns, target)], schema=target
-                )
+                columns = work(state, *(part.column(i).to_pylist() for i in range(len(inputs))))
+                arrays = [pa.array(values, type=f.type) for values, f in zip(columns, target)]
+                passed = [part.column(i).cast(f.type) for i, f in zip(range(len(inputs), part.num_columns), list(target)[len(arrays):])]
+                yield pa.RecordBatch.from_arrays(arrays + passed, schema=target)
 
     return selected.mapInArrow(run, schema)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritill.llm.common import stored
+from veritill.llm.common import discard, stored
 
 
 def _turned(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     known = _sum_of(edges)
     while known[0]:
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), "links")
+        last = edges
+        edges = stored(_small_star(_large_star(last).distinct()).distinct(), "links")
+        discard(last)
         now = _sum_of(edges)
         if now == known:
             break

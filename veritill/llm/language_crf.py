@@ -268,8 +268,10 @@ class Labeller:
         return marginals(rows[token], self.model.transitions, own), lengths
 
 
-def predict(df: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Language and score of each document."""
+def predict(
+    df: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Language and score of each document; ``keep`` names further columns to pass on."""
 
     def work(labeller, ids, texts):
         languages, scores = [UNKNOWN] * len(ids), [0.0] * len(ids)
@@ -293,7 +295,7 @@ def predict(df: DataFrame, model: Model | None, id_column: str = "doc_id", text_
         return [ids, languages, scores]
 
     schema = f"{id_column} bigint, lang_pred string, score double"
-    return per_row(df, [id_column, text_column], schema, work, lambda: Labeller(model) if model else None)
+    return per_row(df, [id_column, text_column], schema, work, lambda: Labeller(model) if model else None, keep)
 
 
 def label_words(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

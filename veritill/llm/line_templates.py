@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritill.llm.common import stored
+from veritill.llm.common import discard, stored
 
 MIN_TOKENS, TREE_TOKENS, LEADING = 3, 5, 3
 MIN_DOCS = 5
@@ -63,7 +63,7 @@ def _dropped(lines: DataFrame, recurring: DataFrame, keys: list[str]) -> DataFra
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc, tag, i) of the lines to drop; ``docs`` has doc, tag (a hash of the text) and body."""
+    """(of_doc, of_tag, gone) of the lines to drop; ``docs`` has doc, tag (a hash of the text) and body."""
     lines = _lines(docs)
     hashed = lines.select("doc", "tag", "i", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"))
     as_they_are = _dropped(hashed, _recurring(hashed, ["h1", "h2"], min_docs), ["h1", "h2"])
@@ -100,7 +100,14 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         )
     )
     by_tree = _dropped(generalised, _recurring(generalised, ["h1", "h2"], min_docs), ["h1", "h2"])
-    return as_they_are.unionAll(by_tree)
+    gone = stored(
+        as_they_are.unionAll(by_tree).groupBy(F.col("doc").alias("of_doc"), F.col("tag").alias("of_tag")).agg(
+            F.collect_set("i").alias("gone")
+        ),
+        "recurring-lines",
+    )
+    discard(leaves, held)
+    return gone
 
 
 def without_templates(
@@ -109,8 +116,7 @@ def without_templates(
     """Per document: its lines, how many of them are dropped, and the text that is left; ``keep`` names further columns."""
     body = F.coalesce(F.col(text_column), F.lit(""))
     docs = df.select(F.col(id_column).alias("doc"), F.xxhash64(body).alias("tag"), body.alias("body"), *[F.col(c).alias(f"kept_{c}") for c in keep])
-    dropped = recurring_lines(docs.select("doc", "tag", "body"), min_docs)
-    per_doc = dropped.groupBy(F.col("doc").alias("of_doc"), F.col("tag").alias("of_tag")).agg(F.collect_set("i").alias("gone"))
+    per_doc = recurring_lines(docs.select("doc", "tag", "body"), min_docs)
     joined = docs.join(per_doc, F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("tag") == F.col("of_tag")), "left")
     left = F.array_join(F.filter(_split(F.col("body")), lambda line, i: ~F.array_contains("gone", i)), "\n")
     return joined.select(

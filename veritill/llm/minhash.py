@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritill.llm.common import per_row, stored
+from veritill.llm.common import discard, per_row, stored
 from veritill.llm.components import components
 
 #: Two sets of similarity 0.8 share no band with probability (1 - 0.8 ** 5) ** 32 = 3e-6.
@@ -254,6 +254,7 @@ def near_duplicates(
     found = components(first)
     second = stored(_round_of_blocks(members, found, signatures, sets, percent, miss), "links-blocks")
     found = components(first.unionAll(second))
+    discard(members, signatures, sets)
     named = classes.join(found, classes["representative"] == found["id"], "left").select(
         "set_key", F.coalesce("component", "representative").alias("component")
     )

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritill.llm.common import per_row, shuffle_partitions, stored
+from veritill.llm.common import discard, per_row, shuffle_partitions, stored
 
 LENGTH, GRAM, PARTS = 400, 64, 4
 HOT_ROWS = 50_000
@@ -111,7 +111,7 @@ def places(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray,
     return at, low, high, gram_ids[at], whole
 
 
-def _pack(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def _pack(df: DataFrame, id_column: str, text_column: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc, key, data): data is the compressed text, key stands for its content."""
 
     def work(compressor, docs, texts):
@@ -123,8 +123,8 @@ def _pack(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
         return zstandard.ZstdCompressor(level=3)
 
-    renamed = df.select(F.col(id_column).alias("doc"), F.col(text_column).alias("body"))
-    return per_row(renamed, ["doc", "body"], "doc bigint, key binary, data binary", work, ready)
+    renamed = df.select(F.col(id_column).alias("doc"), F.col(text_column).alias("body"), *[F.col(c).alias(f"kept_{c}") for c in keep])
+    return per_row(renamed, ["doc", "body"], "doc bigint, key binary, data binary", work, ready, tuple(f"kept_{c}" for c in keep))
 
 
 def _places(df: DataFrame, text_column: str, length: int, gram: int) -> DataFrame:
@@ -286,7 +286,7 @@ def _compare_hot(parts: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(df: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, text_column: str = "text") -> DataFrame:
-    """(key, start, end) of spans whose every string of ``length`` bytes occurs elsewhere too."""
+    """(key, spans) of each text with spans (start, end) whose every string of ``length`` bytes occurs elsewhere too."""
     chosen = _places(df, text_column, length, gram)
     shared = chosen.groupBy("bucket").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("bucket")
     bucketed = stored(chosen.join(shared, "bucket", "left_semi"), "buckets")
@@ -311,10 +311,14 @@ def repeated_spans(df: DataFrame, packed: DataFrame, length: int = LENGTH, gram:
     hot = left.where(F.col("size") > HOT_ROWS).select("bucket", "part", "core")
     usual = left.where(F.col("size") <= HOT_ROWS).select("bucket", "part", "core")
     name = ["bucket", "part", "core"]
-    return (
+    spans = stored(
         copies.unionAll(_compare(parts.join(usual, name, "left_semi"), length))
         .unionAll(_compare_hot(parts.join(hot, name, "left_semi"), length))
+        .groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")),
+        "spans",
     )
+    discard(bucketed, told, parts)
+    return spans
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -327,13 +331,11 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found
 
 
-def _with_spans(df: DataFrame, length: int, id_column: str, text_column: str) -> DataFrame:
-    packed = _pack(df, id_column, text_column)
-    spans = repeated_spans(df, packed, length, GRAM, text_column).groupBy("key").agg(
-        F.collect_set(F.struct("start", "end")).alias("spans")
-    )
-    return packed.join(spans, "key", "left").select(
-        "doc", "data", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends")
+def _with_spans(df: DataFrame, length: int, id_column: str, text_column: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    spans = repeated_spans(df, _pack(df, id_column, text_column), length, GRAM, text_column)
+    return _pack(df, id_column, text_column, keep).join(spans, "key", "left").select(
+        "doc", "data", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"),
+        *[F.col(f"kept_{c}").alias(c) for c in keep],
     )
 
 
@@ -366,8 +368,10 @@ def removed_digests(df: DataFrame, length: int = LENGTH, id_column: str = "doc_i
     return per_row(_with_spans(df, length, id_column, text_column), inputs, schema, work, _unpacker)
 
 
-def without_repeats(df: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per document: its removed spans in bytes and the text that is left.
+def without_repeats(
+    df: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per document: its removed spans in bytes and the text that is left; ``keep`` names further columns.
 
     A character that is cut in two goes as a whole.
     """
@@ -384,4 +388,4 @@ def without_repeats(df: DataFrame, length: int = LENGTH, id_column: str = "doc_i
 
     schema = f"{id_column} bigint, span_starts array<int>, span_ends array<int>, kept string"
     inputs = ["doc", "data", "starts", "ends"]
-    return per_row(_with_spans(df, length, id_column, text_column), inputs, schema, work, _unpacker)
+    return per_row(_with_spans(df, length, id_column, text_column, keep), inputs, schema, work, _unpacker, keep)
