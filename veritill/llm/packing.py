@@ -159,15 +159,14 @@ class _Sizes:
 
 def _best_pair(sizes: _Sizes, room: int, used: Counter) -> tuple[int, int] | None:
     """The two items with the largest sum up to ``room``: two pointers over the distinct sizes."""
-    best, low = None, 0
-    high = bisect.bisect_right(sizes.sorted, room) - 1
+    there = [size for size in sizes.sorted if size <= room and sizes.count[size] > used[size]]
+    best, low, high = None, 0, len(there) - 1
     while low <= high:
-        a, b = sizes.sorted[low], sizes.sorted[high]
-        need = Counter((a, b))
+        a, b = there[low], there[high]
         if a + b > room:
             high -= 1
             continue
-        if all(sizes.count[s] - used[s] >= n for s, n in need.items()) and (best is None or a + b > sum(best)):
+        if (low < high or sizes.count[a] - used[a] > 1) and (best is None or a + b > sum(best)):
             best = (b, a)
         low += 1
     return best
