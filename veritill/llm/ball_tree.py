@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from veritill.llm.common import stored
 
-SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 8192, 512, 48
+SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 8192, 512, 256
 
 
 def whole_vectors(df: DataFrame, scale: int = 64, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
