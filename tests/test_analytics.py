@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from veritill.operators import analytics
 from veritill.operators.cleaning import type_transactions
+from veritill.operators import quantiles as quantile_search
 from veritill.operators.quantiles import exact_quantiles
 
 QS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -27,18 +28,54 @@ def test_quantiles_of_few_rows(spark, values):
 
 @pytest.mark.parametrize("shape", ["spread", "hot"])
 def test_quantiles_inside_narrow_brackets(spark, shape):
-    """A coarse sketch over many rows, so that values fall below, inside and above brackets."""
+    """Few bins over many rows, so that several rounds close in on each rank."""
     if shape == "spread":
         df = spark.range(0, 20000, 1, 8).selectExpr("cast((id * 7919) % 20011 as double) / 7 as v", "cast(-id as double) as w")
     else:
         df = spark.range(0, 20000, 1, 8).selectExpr("if(id % 3 = 0, 5.0d, cast(id % 977 as double)) as v", "1.0d as w")
     pdf = df.toPandas()
-    got = quantiles(df, ["v", "w"], accuracy=100)
+    got = quantiles(df, ["v", "w"], bins=16)
     for column in ("v", "w"):
         for q in QS:
             assert got[column, q] == pytest.approx(np.quantile(pdf[column], q))
 
 
+def test_quantiles_of_extreme_values(spark):
+    values = [float("-inf"), -1.7e308, -5e-324, 0.0, 5e-324, 1.0, 1.7e308, 1.7e308, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = quantiles(df, ["v"], [i / 8 for i in range(9)], bins=4)
+    assert [got["v", i / 8] for i in range(9)] == values
+
+
+def test_no_task_gets_more_than_bins(spark):
+    """What leaves a task is one row per bin and rank."""
+    df = spark.range(0, 50_000, 1, 4).selectExpr("cast(id * 7919 % 50021 as double) as v")
+    open_ = [quantile_search._Search("v", 10, 0.0, 50_020.0, 0)]
+    found = quantile_search._narrowed(df, open_, 64)[0]
+    assert found.high - found.low <= 50_020 / 64 + 1 and found.below == 0
+
+
+def test_sums_keep_large_amounts(spark):
+    rows = [("A", 2e10), ("A", 10.0), ("B", None)]
+    fact = spark.createDataFrame(rows, "Country string, LineTotal double")
+    got = {r["Country"]: r["revenue"] for r in analytics.top_countries_by_revenue(fact).collect()}
+    assert got == {"A": 20000000010, "B": None}
+    with pytest.raises(Exception, match="does not fit"):
+        analytics.top_countries_by_revenue(spark.createDataFrame([("A", 1e30)], "Country string, LineTotal double")).collect()
+
+
+def test_daily_summary_and_kpis_copy_no_rows(spark, as_of):
+    from veritill.operators import views
+    from veritill.operators.cleaning import clean_transactions
+    from veritill.operators.enrich import build_fact
+    from veritill.operators.cleaning import clean_customers
+
+    tx = clean_transactions(dirty_transactions(spark), as_of).clean
+    fact = build_fact(tx, clean_customers(dirty_customers(spark)).clean)
+    for frame in (views.daily_summary(tx), analytics.kpis(fact)):
+        assert "Expand" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quantiles_without_values(spark):
     assert quantiles(spark.createDataFrame([(None,)], "v double"), ["v"]) == {}
 

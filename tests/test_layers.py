@@ -88,7 +88,15 @@ def test_values_that_do_not_fit_are_reported(spark, tmp_path, as_of):
     tx = cleaning.clean_transactions(dirty_transactions(spark), as_of).clean
     odd = tx.selectExpr("* except (UnitPrice)", "if(InvoiceNo = 'I1', double('inf'), UnitPrice) as UnitPrice")
     load = sinks.replace_table(odd, str(tmp_path), "stg_transactions", as_of)
-    assert (load.rows, load.unfit) == (4, 1)
+    assert (load.rows, load.unfit) == (3, 1)
+    aside = spark.read.parquet(f"{tmp_path}/rejected_stg_transactions").first()
+    assert aside["InvoiceNo"] == "I1" and aside["unfit_columns"] == ["UnitPrice"] and aside["UnitPrice"] == float("inf")
+
+
+def test_quantities_are_not_rounded(spark, tmp_path, as_of):
+    tx = cleaning.clean_transactions(dirty_transactions(spark), as_of).clean
+    odd = tx.selectExpr("* except (Quantity)", "if(InvoiceNo = 'I1', 2.5D, double(Quantity)) as Quantity")
+    assert sinks.replace_table(odd, str(tmp_path), "stg_transactions", as_of) == (3, 1)
 
 
 def test_load_all_counts(spark, tmp_path, as_of):
@@ -122,7 +130,37 @@ def test_run(spark, delivery, as_of, rows):
     again = run()
     assert again.counts == result.counts
     assert spark.read.parquet(f"{out}/raw/transactions").count() == 9
-    assert spark.read.parquet(history).count() == 26
+    assert spark.read.parquet(history).count() == 13  # the day's results are replaced
+
+
+def test_empty_delivery(spark, delivery, as_of):
+    """A header without rows is a finding; nothing of an earlier run of the day is reported again."""
+    out = str(delivery / "out")
+    run = lambda: run_pipeline(spark, str(delivery), out, "2024-06-30", as_of)
+    assert run().counts["transactions"] == 9
+    header = (delivery / "transactions.csv").read_text().split("\n")[0]
+    (delivery / "transactions.csv").write_text(header + "\n")
+    result = run()
+    assert result.code == 1 and result.counts["transactions"] == 0 == result.counts["fact"]
+    assert result.counts["transactions_duplicate"] == 0
+    assert run_pipeline(spark, str(delivery), str(delivery / "fresh"), "2024-06-30", as_of).code == 1
+
+
+def test_malformed_rows(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('a,b,c\n1,2,3\n1,2,3,4\n1,2\n"x,y",2,3\n')
+    assert sorted(r["record"] for r in files.malformed_rows(spark, str(path)).collect()) == ["1,2", "1,2,3,4"]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "transactions.csv").write_text('InvoiceNo,Description\nI1,"two\nlines"\nI2,one\n')
+    found = files.read_transactions(spark, str(tmp_path), multiline=True).collect()
+    assert [(r["InvoiceNo"], r["Description"]) for r in found] == [("I1", "two\nlines"), ("I2", "one")]
+
+
+def test_latest_manifest_defaults(spark, tmp_path):
+    row = files.latest_manifest(spark, str(tmp_path / "none")).first()
+    assert (row["run_date"], row["transactions"], row["holidays"]) == (None, 0, 0)
 
 
 def test_run_without_exports_gives_two(spark, tmp_path):
@@ -135,13 +173,13 @@ def test_scratch_folders_are_new_and_shared(spark):
 
 
 def test_run_with_a_customer_table_beyond_broadcast(spark, delivery, as_of):
-    """No table fits: the run takes the salted join and builds the same fact."""
+    """No table is broadcast and hot keys are salted: the run builds the same fact."""
     out = {n: str(delivery / n) for n in ("plain", "salted")}
-    run = lambda path: run_pipeline(spark, str(delivery), path, "2024-06-30", as_of, warehouse=False)
+    run = lambda path, **kw: run_pipeline(spark, str(delivery), path, "2024-06-30", as_of, warehouse=False, **kw)
     plain = run(out["plain"])
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        salted = run(out["salted"])
+        salted = run(out["salted"], salted=True)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert salted.code == plain.code == 1 and salted.counts == plain.counts

@@ -36,7 +36,8 @@ def j01(spark, sf):
 )
 def j01_salted(spark, sf):
     """The same join on its way for large dimensions: hot and null keys spread over buckets."""
-    joined = enrich.join_customers(frames.clean_tx(spark, sf), frames.clean_cu(spark, sf), salted=True)
+    tx = frames.stored(frames.clean_tx(spark, sf), "transactions")
+    joined = enrich.join_customers(tx, frames.clean_cu(spark, sf), salted=True)
     return plain(
         joined.select(
             "InvoiceNo", "StockCode", "CustomerID", "Customer_Country", "SignupDate",

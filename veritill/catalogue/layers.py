@@ -15,7 +15,7 @@ from veritill.catalogue import adapters, frames
 from veritill.catalogue.adapters import AS_OF, RUN_DATE, plain
 from veritill.catalogue.oracle import day_text, with_ctes
 from veritill.catalogue.registry import query
-from veritill.model import LOADED_AT
+from veritill.model import LOADED_AT, ROW_ID
 from veritill.operators.checks import dq_table, run_rules
 from veritill.operators.quality import STAGE, null_rates
 from veritill.plans.report import counts_table
@@ -128,7 +128,7 @@ def s05(spark, sf):
 )
 def s06(spark, sf):
     path = scratch_dir(spark, "runs")
-    orders = adapters.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    orders = adapters.table(spark, sf, "orders")
     for day in (RUN_DATE, _NEXT_DATE):
         sinks.land_raw(orders, path, day)
     newest = files.latest_run(files.read_layer(spark, path))
@@ -148,7 +148,51 @@ def s07(spark, sf):
     return plain(days.agg(F.count(F.lit(1)).alias("row_count")))
 
 
+@query(
+    "s06_latest_manifest",
+    with_ctes(
+        f"""SELECT '{_NEXT_DATE}' AS run_date, (SELECT COUNT(*) FROM raw_tx) AS transactions,
+              (SELECT COUNT(*) FROM raw_cu) AS customers, CAST(0 AS BIGINT) AS holidays""",
+        "raw_tx",
+        "raw_cu",
+    ),
+)
+def s06_manifest(spark, sf):
+    """Of two runs the newer manifest, without a calendar."""
+    path = scratch_dir(spark, "manifests")
+    counts = {"transactions": adapters.raw_transactions(spark, sf).count(), "customers": adapters.raw_customers(spark, sf).count()}
+    sinks.write_manifest(spark, path, RUN_DATE, {"transactions": 1, "customers": 1, "holidays": 1}, AS_OF)
+    sinks.write_manifest(spark, path, _NEXT_DATE, counts, AS_OF)
+    return plain(files.latest_manifest(spark, path)).select("run_date", "transactions", "customers", "holidays")
+
+
 # --------------------------------------------------------------------------- sinks
+@query(
+    "k06_unfit_rows",
+    with_ctes(
+        """SELECT 'stg_transactions' AS layer, COUNT(*) FILTER (WHERE CAST("InvoiceNo" AS BIGINT) % 5 > 1) AS row_count
+           FROM clean_tx
+           UNION ALL SELECT 'UnitPrice', COUNT(*) FILTER (WHERE CAST("InvoiceNo" AS BIGINT) % 5 = 0) FROM clean_tx
+           UNION ALL SELECT 'Quantity', COUNT(*) FILTER (WHERE CAST("InvoiceNo" AS BIGINT) % 5 = 1) FROM clean_tx""",
+        "clean_tx",
+    ),
+)
+def k06_unfit(spark, sf):
+    """Prices that are too large and broken quantities: their rows are set aside whole, with the column named."""
+    path, tx = scratch_dir(spark, "warehouse"), frames.clean_tx(spark, sf)
+    group = F.col("InvoiceNo").cast("bigint") % 5
+    odd = tx.withColumns({
+        "UnitPrice": F.when(group == 0, F.lit(123456789012.0)).otherwise(F.col("UnitPrice")),
+        "Quantity": F.when(group == 1, F.lit(2.5)).otherwise(F.col("Quantity").cast("double")),
+    })
+    sinks.replace_table(frames.stored(odd, "odd"), path, "stg_transactions", AS_OF)
+    aside = spark.read.parquet(f"{path}/rejected_stg_transactions")
+    named = aside.select(F.explode("unfit_columns").alias("layer")).where(F.col("layer") != "LineTotal")
+    return _rows(files.read_table(spark, path, "stg_transactions"), "stg_transactions").unionByName(
+        named.groupBy("layer").agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
 @query(
     "k01_landing",
     with_ctes(
@@ -161,8 +205,7 @@ def s07(spark, sf):
 def k01(spark, sf):
     """One day landed twice and another once: the second landing replaces its own day only."""
     path = scratch_dir(spark, "landing")
-    tx = adapters.raw_transactions(spark, sf).select("InvoiceNo")
-    cu = adapters.raw_customers(spark, sf).select(F.col("CustomerID").alias("InvoiceNo"))
+    tx, cu = adapters.raw_transactions(spark, sf).drop(ROW_ID), adapters.raw_customers(spark, sf).drop(ROW_ID)
     sinks.land_raw(cu, path, RUN_DATE)
     sinks.land_raw(cu, path, _NEXT_DATE)
     sinks.land_raw(tx, path, RUN_DATE)

@@ -39,6 +39,35 @@ def r01(spark, sf):
     return plain(analytics.kpis(frames.fact(spark, sf)))
 
 
+@query(
+    "r01_kpis_with_rejected",
+    with_ctes(
+        f"""SELECT COUNT(*) AS tx_rows, CAST(ROUND({_REVENUE}, 2) AS DOUBLE) AS total_revenue,
+              (SELECT COUNT(*) FROM tagged_tx WHERE "_reject_reason" <> '') AS rejected_rows FROM fact""",
+        "fact",
+        "tagged_tx",
+    ),
+)
+def r01_rejected(spark, sf):
+    found = analytics.kpis(frames.fact(spark, sf), frames.split_tx(spark, sf).rejected)
+    return plain(found.select("tx_rows", "total_revenue", "rejected_rows"))
+
+
+@query(
+    "r03_large_amounts",
+    _fact(
+        f"""SELECT "Country", CAST({_REVENUE.replace("14, 4", "28, 4")} AS DOUBLE) AS revenue
+            FROM (SELECT * REPLACE (CASE WHEN CAST("InvoiceNo" AS BIGINT) % 5 = 0 THEN "LineTotal" * 1e7
+                                         ELSE "LineTotal" END AS "LineTotal") FROM fact)
+            GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
+    ),
+)
+def r03_large(spark, sf):
+    """Totals far beyond a warehouse column; none drops out of the sums."""
+    total = F.when(F.col("InvoiceNo").cast("bigint") % 5 == 0, F.col("LineTotal") * 1e7).otherwise(F.col("LineTotal"))
+    return plain(analytics.top_countries_by_revenue(frames.fact(spark, sf).withColumn("LineTotal", total)))
+
+
 @query(
     "r02_daily_volume",
     f"""SELECT {day_text("day")} AS day, tx_count, ROUND(rolling_mean, 6) AS rolling7
@@ -90,7 +119,8 @@ def _rounded(bins):
 
 @query("r05_price_histogram", _fact(_bins("fact", "UnitPrice", 60, '"UnitPrice" > 0')))
 def r05(spark, sf):
-    return _rounded(analytics.price_histogram(frames.fact(spark, sf)))
+    prices = frames.clean_tx(spark, sf).select("UnitPrice")  # neither customers nor holidays matter here
+    return _rounded(analytics.price_histogram(frames.stored(prices, "prices")))
 
 
 @query(
@@ -98,7 +128,7 @@ def r05(spark, sf):
     _fact('SELECT ROUND(QUANTILE_CONT("UnitPrice", 0.5), 6) AS median_price FROM fact WHERE "UnitPrice" > 0'),
 )
 def r05_median(spark, sf):
-    median = analytics.price_median(frames.stored(frames.clean_tx(spark, sf), "prices"))
+    median = analytics.price_median(frames.stored(frames.clean_tx(spark, sf).select("UnitPrice"), "prices"))
     return median.select(F.round("median_price", 6).alias("median_price"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from veritill.catalogue import frames
 from veritill.catalogue.adapters import AS_OF, plain
 from veritill.catalogue.oracle import NOW, day_text, exact_ratio, ts_text, with_ctes, words
@@ -68,6 +70,24 @@ def g03(spark, sf):
     return plain(views.daily_summary(frames.clean_tx(spark, sf)))
 
 
+_LARGE = """(SELECT * REPLACE (CASE WHEN CAST("InvoiceNo" AS BIGINT) % 5 = 0 THEN "UnitPrice" * 1e7
+                            ELSE "UnitPrice" END AS "UnitPrice") FROM clean_tx)"""
+
+
+@query(
+    "g03_large_amounts",
+    with_ctes(
+        DAILY.replace("DECIMAL(12, 4)", "DECIMAL(22, 4)").replace("DECIMAL(14, 4)", "DECIMAL(15, 4)")
+        .replace("FROM clean_tx", f"FROM {_LARGE}"),
+        "clean_tx",
+    ),
+)
+def g03_large(spark, sf):
+    """Prices far beyond a warehouse column; none drops out of sums and means."""
+    price = F.when(F.col("InvoiceNo").cast("bigint") % 5 == 0, F.col("UnitPrice") * 1e7).otherwise(F.col("UnitPrice"))
+    return plain(views.daily_summary(frames.clean_tx(spark, sf).withColumn("UnitPrice", price)))
+
+
 @query(
     "g04_segments",
     with_ctes(

@@ -34,5 +34,10 @@ def rate(part: Column, whole: Column) -> Column:
 
 
 def at_scale(c: Column, precision: int, scale: int) -> Column:
-    """Decimal of the given scale, ties away from zero; null when it does not fit."""
-    return c.try_cast(f"decimal({precision},{scale})")
+    """Decimal of the given scale, ties away from zero; a value that does not fit ends the job.
+
+    A null here would drop out of a sum unseen.
+    """
+    fitted = c.try_cast(f"decimal({precision},{scale})")
+    too_large = F.raise_error(F.concat(F.lit(f"does not fit decimal({precision},{scale}): "), c.cast("string")))
+    return F.when(c.isNull() | fitted.isNotNull(), fitted).otherwise(too_large.cast(f"decimal({precision},{scale})"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from veritill.functions import as_timestamp, at_scale, number, rate
-from veritill.model import HOUR_BINS, WEEKDAYS
+from veritill.model import HOUR_BINS, ROW_ID, WEEKDAYS
 from veritill.operators.anomalies import daily_counts
 from veritill.operators.checks import surplus_rows
 from veritill.operators.quantiles import exact_quantiles
@@ -19,7 +19,7 @@ def _rows() -> Column:
 
 
 def _money(column: str = "LineTotal") -> Column:
-    return at_scale(F.col(column), 14, 4)
+    return at_scale(F.col(column), 28, 4)
 
 
 def _mean(total: Column, n: Column, digits: int) -> Column:
@@ -27,20 +27,39 @@ def _mean(total: Column, n: Column, digits: int) -> Column:
 
 
 # --------------------------------------------------------------------------- headline figures
-def kpis(fact: DataFrame) -> DataFrame:
-    """One row of headline figures; guests are rows without a known customer."""
-    n = _rows()
-    return fact.agg(
+def kpis(fact: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+    """One row of headline figures; guests are rows without a known customer.
+
+    Rows are summed up per customer first, so that the distinct count is a plain one and no row is
+    copied for a second count.  ``rejected`` adds the number of rejected rows.
+    """
+    per_customer = fact.groupBy("CustomerID").agg(
+        _rows().alias("n"),
+        F.sum(_money()).alias("revenue"),
+        F.count("LineTotal").alias("orders"),
+        F.count_if(F.col("Status") == "cancelled").alias("cancelled"),
+        F.count_if(~F.col("is_known_customer")).alias("guests"),
+        F.min("InvoiceDate").alias("first"),
+        F.max("InvoiceDate").alias("last"),
+    )
+    countries = fact.select("Country").distinct().agg(F.count("Country").alias("countries"))
+    n = F.coalesce(F.sum("n"), F.lit(0))
+    figures = per_customer.agg(
         n.alias("tx_rows"),
-        F.round(F.sum(_money()), 2).alias("total_revenue"),
-        F.countDistinct("CustomerID").alias("unique_customers"),
-        _mean(F.sum(_money()), F.count("LineTotal"), 2).alias("avg_order_value"),
-        F.bround(rate(F.count_if(F.col("Status") == "cancelled"), n) * 100, 1).alias("cancel_pct"),
-        F.countDistinct("Country").alias("countries"),
-        F.min("InvoiceDate").alias("date_min"),
-        F.max("InvoiceDate").alias("date_max"),
-        F.bround(rate(F.count_if(~F.col("is_known_customer")), n) * 100, 1).alias("guest_pct"),
+        F.round(F.sum("revenue"), 2).alias("total_revenue"),
+        F.count("CustomerID").alias("unique_customers"),
+        _mean(F.sum("revenue"), F.sum("orders"), 2).alias("avg_order_value"),
+        F.bround(rate(F.coalesce(F.sum("cancelled"), F.lit(0)), n) * 100, 1).alias("cancel_pct"),
+        F.min("first").alias("date_min"),
+        F.max("last").alias("date_max"),
+        F.bround(rate(F.coalesce(F.sum("guests"), F.lit(0)), n) * 100, 1).alias("guest_pct"),
     )
+    names = ["tx_rows", "total_revenue", "unique_customers", "avg_order_value", "cancel_pct", "countries"]
+    names += ["date_min", "date_max", "guest_pct"]
+    found = figures.select("*", countries.scalar().alias("countries")).select(*names)
+    if rejected is None:
+        return found
+    return found.select("*", rejected.agg(_rows()).scalar().alias("rejected_rows"))
 
 
 def daily_volume(fact: DataFrame) -> DataFrame:
@@ -274,6 +293,11 @@ def schema_preview(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def first_rows(df: DataFrame, n: int = 3) -> DataFrame:
+    """The first rows in the order of the export."""
+    return df.orderBy(ROW_ID).limit(n).drop(ROW_ID)
+
+
 # --------------------------------------------------------------------------- layers
 def layer_audit(counters: DataFrame, customer_counts: DataFrame, fact: DataFrame) -> DataFrame:
     """Rows per layer, from the cleaning counters and one pass over the fact table."""

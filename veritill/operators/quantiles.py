@@ -1,78 +1,103 @@
 """Exact, interpolated quantiles of columns that are too large for one task.
 
-The built-in exact ``percentile`` gathers every distinct value of a group in one buffer.  Here
-a sketch first brackets each quantile; the second pass counts what lies below the bracket and
-groups only the values inside it, some ten-thousandth of the rows.  The sketch's rank error is
-bounded, the bracket is twice that bound wide, and the final step checks that the wanted ranks
-are inside: the answer is exact or the job fails, never approximate.
+The built-in exact ``percentile`` gathers every distinct value of a group in one buffer.  Here each
+wanted rank is closed in on by counting: the values between the known ends are counted in equal
+bins, the bin that holds the rank gives the next ends (the least and greatest value in it) and
+the number of values below.  As the ends are values themselves, every round leaves fewer
+distinct values; with ``BINS`` bins a double is pinned down in a handful of rounds.  A task
+sends one row per bin and rank, whatever the size of the data.
 """
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from veritill.functions import number
 
-#: Sketch accuracy: ranks are off by at most ``rows / ACCURACY``.
-ACCURACY = 10_000
+BINS = 4096
+
+
+class _Search(NamedTuple):
+    column: str
+    rank: int
+    low: float
+    high: float
+    below: int
+
+
+def _bin(value: Column, low: float, high: float, bins: int) -> Column:
+    """Place of a value between two ends; halves where the width would not be finite."""
+    first, last = max(low, -sys.float_info.max), min(high, sys.float_info.max)
+    part = 1 if math.isfinite(last - first) else 2
+    share = (value / part - first / part) / (last / part - first / part)
+    place = F.greatest(F.lit(0), F.least(F.floor(share * bins), F.lit(bins - 1)))
+    # the ends themselves stay apart, so that the range always shrinks
+    return F.when(value <= low, F.lit(0)).when(value >= high, F.lit(bins - 1)).otherwise(place)
+
+
+def _narrowed(numbers: DataFrame, open_: list[_Search], bins: int) -> list[_Search]:
+    """One pass: for each search the bin with its rank becomes the new range."""
+    places = []
+    for i, search in enumerate(open_):
+        value = F.col(f"`{search.column}`")
+        inside = (value >= search.low) & (value <= search.high)
+        place = _bin(value, search.low, search.high, bins)
+        places.append(F.when(inside, F.struct(F.lit(i).alias("i"), place.cast("int").alias("bin"), value.alias("value"))))
+    counted = (
+        numbers.select(F.explode(F.array_compact(F.array(*places))).alias("p"))
+        .groupBy("p.i", "p.bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("p.value").alias("low"), F.max("p.value").alias("high"))
+    )
+    per_search: dict[int, list] = {}
+    for row in counted.collect():  # at most BINS rows for each wanted rank
+        per_search.setdefault(row["i"], []).append(row)
+    found = []
+    for i, search in enumerate(open_):
+        below = search.below
+        for row in sorted(per_search[i], key=lambda r: r["bin"]):
+            if search.rank < below + row["n"]:
+                found.append(search._replace(low=row["low"], high=row["high"], below=below))
+                break
+            below += row["n"]
+    return found
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], quantiles: Sequence[float], accuracy: int = ACCURACY
+    df: DataFrame, columns: Sequence[str], quantiles: Sequence[float], bins: int = BINS
 ) -> DataFrame:
-    """Rows ``(column, quantile, value)``; nulls and NaN are ignored, a column without values has no rows."""
+    """Rows ``(column, quantile, value)``; nulls and NaN are ignored, a column without values has no rows.
+
+    ``df`` is read once per round, so pass a stored table.
+    """
     columns, quantiles = list(columns), [float(q) for q in quantiles]
-    margin = 2.0 / accuracy
-    low = F.array(*[F.lit(max(0.0, q - margin)) for q in quantiles])
-    high = F.array(*[F.lit(min(1.0, q + margin)) for q in quantiles])
-
-    numbers = df.select(*[number(F.col(c), text=False).alias(c) for c in columns])
-
-    def bracket(column: str) -> Column:
-        return F.struct(
-            F.count(column).alias("n"),
-            F.percentile_approx(column, low, accuracy).alias("low"),
-            F.percentile_approx(column, high, accuracy).alias("high"),
-        ).alias(column)
-
-    # the one-row subquery becomes a column of its own, so it is planned once
-    brackets = numbers.agg(F.struct(*[bracket(c) for c in columns]).alias("b")).scalar()
-
-    def place(column: str, i: int, q: float) -> str:
-        """A value's place relative to a quantile's bracket; null when above it.
-
-        Few rows are their own bracket, and the ends of the range stay open.
-        """
-        own, wide = f"_b.`{column}`", f"_b.`{column}`.n >= {4 * accuracy}"
-        below = f"{wide} and `{column}` < {own}.low[{i}]" if q > margin else "false"
-        above = f"{wide} and `{column}` > {own}.high[{i}]" if q < 1.0 - margin else "false"
-        return (
-            f"if(`{column}` is null or ({above}), null, named_struct('column', '{column}', "
-            f"'quantile', double({q}), 'n', {own}.n, 'value', if({below}, null, `{column}`)))"
-        )
-
-    places = ", ".join(place(c, i, q) for c in columns for i, q in enumerate(quantiles))
-    placed = numbers.select("*", brackets.alias("_b")).selectExpr(f"inline(array_compact(array({places})))")
-    counted = placed.groupBy("column", "quantile", "n", "value").agg(F.count(F.lit(1)).alias("rows"))
-
-    # values below the bracket come first (null sorts first), then the bracket in order
-    ordered = Window.partitionBy("column", "quantile").orderBy(F.asc_nulls_first("value"))
-    last = F.sum("rows").over(ordered) - 1
-    ranked = counted.select("*", last.alias("last"), (last - F.col("rows") + 1).alias("first"))
-
-    position = F.col("quantile") * (F.col("n") - 1)
-    down, up = F.floor(position), F.ceil(position)
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("first") <= rank) & (rank <= F.col("last")), F.col("value")))
-
-    found = ranked.groupBy("column", "quantile", "n").agg(value_at(down).alias("down"), value_at(up).alias("up"))
-    exact = F.col("down") + (F.col("up") - F.col("down")) * (position - F.floor(position))
-    checked = F.when(F.col("down").isNotNull() & F.col("up").isNotNull(), exact).otherwise(
-        F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-    )
-    return found.select("column", "quantile", checked.alias("value"))
+    numbers = df.select(*[number(F.col(f"`{c}`"), text=False).alias(c) for c in columns])
+    ends = numbers.agg(
+        *[f(F.col(f"`{c}`")).alias(f"{i} {name}") for i, c in enumerate(columns) for name, f in _ENDS.items()]
+    ).first()
+    wanted, open_, exact = [], [], {}
+    for i, column in enumerate(columns):
+        n, low, high = (ends[f"{i} {name}"] for name in _ENDS)
+        for q in quantiles if n else []:
+            position = q * (n - 1)
+            wanted.append((column, q, position))
+            for rank in {math.floor(position), math.ceil(position)}:
+                open_.append(_Search(column, rank, low, high, 0))
+    open_ = list(dict.fromkeys(open_))
+    while open_:
+        exact.update({(s.column, s.rank): s.low for s in open_ if s.low == s.high})
+        open_ = [s for s in open_ if s.low != s.high]
+        open_ = _narrowed(numbers, open_, bins) if open_ else []
+    rows = []
+    for column, q, position in wanted:
+        down, up = exact[column, math.floor(position)], exact[column, math.ceil(position)]
+        rows.append((column, q, down if down == up else down + (up - down) * (position - math.floor(position))))
+    return df.sparkSession.createDataFrame(rows, "column string, quantile double, value double")
+
+
+_ENDS = {"n": F.count, "low": F.min, "high": F.max}

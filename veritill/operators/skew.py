@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,26 +15,6 @@ SALTS = 64
 HOT_SHARE = 0.002
 
 
-def _bytes_of(text: str) -> int:
-    units = {"k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30, "b": 0, "": 0}
-    digits = text.strip().lower().rstrip("kmgb")
-    return int(digits) << units[text.strip().lower()[len(digits):]]
-
-
-def fits_broadcast(dim: DataFrame) -> bool:
-    """Whether the planner's size estimate is inside the session's broadcast threshold.
-
-    This is the same estimate and the same limit Spark itself broadcasts by, so a lookup that
-    passes needs no hint, and one that does not is planned for a shuffle from the start.
-    """
-    limit = _bytes_of(dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    try:
-        estimate = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return limit > 0 and int(estimate.toString()) <= limit
-    except (AttributeError, PySparkException):
-        return False
-
-
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
@@ -61,9 +40,8 @@ def left_lookup(
 ) -> DataFrame:
     """``facts LEFT JOIN dim`` on equal keys; ``dim`` holds each key once, null matches nothing.
 
-    Spark broadcasts a dimension it knows to be within the session's threshold.  Any other one
-    is shuffled, and there rows with a null key, which match nothing wherever they land, are
-    spread over all partitions.  Hot keys are left to adaptive execution, which splits a skewed
+    Rows with a null key match nothing wherever they land and are spread over all partitions, should
+    Spark shuffle the join; it may still broadcast a dimension within the session's threshold.  Hot keys are left to adaptive execution, which splits a skewed
     partition of the left side at run time.
 
     ``salted`` does not wait for that: rows of a hot key are spread over ``salts`` buckets, for
@@ -72,8 +50,6 @@ def left_lookup(
     more, so pass a stored table.
     """
     keys = list(keys)
-    if fits_broadcast(dim) and not salted:
-        return facts.join(dim, keys, "left")
     no_key = _any_null(keys)
     if not salted:
         spread = facts.withColumn("_salt", F.when(no_key, _bucket(facts.columns, salts)).otherwise(F.lit(0)))

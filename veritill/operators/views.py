@@ -16,11 +16,11 @@ from veritill.operators.quality import sign_mismatch
 
 
 def _price() -> Column:
-    return at_scale(F.col("UnitPrice"), 12, 4)
+    return at_scale(F.col("UnitPrice"), 22, 4)
 
 
 def _amount() -> Column:
-    return at_scale(F.col("Quantity"), 14, 4) * _price()
+    return at_scale(F.col("Quantity"), 15, 4) * _price()
 
 
 def _money(c: Column) -> Column:
@@ -28,7 +28,7 @@ def _money(c: Column) -> Column:
 
 
 def _mean(total: Column, n: Column) -> Column:
-    return F.round(total / n, 4).cast("decimal(20,4)")
+    return F.round(total / n, 4).cast("decimal(30,4)")
 
 
 def _plain(c: str, default: str) -> Column:
@@ -62,10 +62,10 @@ def transactions_view(transactions: DataFrame, as_of) -> DataFrame:
         F.col("InvoiceNo").alias("invoice_no"),
         F.col("StockCode").alias("stock_code"),
         capitalise_words(F.trim("Description")).alias("description"),
-        F.bround("Quantity", 0).try_cast("int").alias("quantity"),
+        F.bround("Quantity", 0).cast("int").alias("quantity"),
         date.alias("invoice_date"),
         _price().alias("unit_price"),
-        F.round(_amount(), 4).try_cast("decimal(14,4)").alias("line_total"),
+        F.round(_amount(), 4).cast("decimal(34,4)").alias("line_total"),
         F.coalesce("CustomerID", F.lit("GUEST")).alias("customer_id"),
         capitalise_words(F.trim("Country")).alias("country"),
         _plain("Status", "unknown").alias("status"),
@@ -80,22 +80,40 @@ def transactions_view(transactions: DataFrame, as_of) -> DataFrame:
 
 
 def daily_summary(transactions: DataFrame) -> DataFrame:
-    """Volume, revenue and cancellation rate per day."""
-    n = F.count(F.lit(1))
-    cancelled = F.count_if(F.col("Status") == "cancelled")
+    """Volume, revenue and cancellation rate per day.
+
+    Rows are summed up per day and customer first, and invoices counted from their distinct pairs, so
+    no row is copied for a second distinct count.
+    """
+    day = F.date_trunc("day", F.col("InvoiceDate"))
+    per_customer = transactions.groupBy(day.alias("tx_date"), "CustomerID").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(_amount()).alias("amount"),
+        F.sum(_price()).alias("price"),
+        F.count("UnitPrice").alias("prices"),
+        F.count_if(F.col("Status") == "cancelled").alias("cancelled"),
+        F.count_if(F.col("Status") == "refunded").alias("refunded"),
+    )
+    sums = ("n", "amount", "price", "prices", "cancelled", "refunded")
+    days = per_customer.groupBy("tx_date").agg(
+        *[F.sum(c).alias(c) for c in sums], F.count("CustomerID").alias("unique_customers")
+    )
+    invoices = transactions.select(day.alias("_day"), "InvoiceNo").distinct().groupBy("_day").agg(
+        F.count("InvoiceNo").alias("unique_invoices")
+    )
+    n, cancelled = F.col("n").cast("decimal(20,0)"), F.col("cancelled").cast("decimal(20,0)")
     return (
-        transactions.groupBy(F.date_trunc("day", F.col("InvoiceDate")).alias("tx_date"))
-        .agg(
-            n.alias("tx_count"),
-            F.countDistinct("CustomerID").alias("unique_customers"),
-            F.countDistinct("InvoiceNo").alias("unique_invoices"),
-            _money(F.sum(_amount())).alias("gross_revenue"),
-            _mean(F.sum(_price()), F.nullif(F.count("UnitPrice"), F.lit(0))).alias("avg_unit_price"),
-            cancelled.alias("cancelled_count"),
-            F.count_if(F.col("Status") == "refunded").alias("refunded_count"),
-            F.round(
-                F.lit(100).cast("decimal(5,1)") * cancelled.cast("decimal(20,0)") / n.cast("decimal(20,0)"), 2
-            ).alias("cancellation_rate_pct"),
+        days.join(invoices, F.col("tx_date").eqNullSafe(F.col("_day")))
+        .select(
+            "tx_date",
+            F.col("n").alias("tx_count"),
+            "unique_customers",
+            "unique_invoices",
+            _money(F.col("amount")).alias("gross_revenue"),
+            _mean(F.col("price"), F.nullif(F.col("prices"), F.lit(0))).alias("avg_unit_price"),
+            F.col("cancelled").alias("cancelled_count"),
+            F.col("refunded").alias("refunded_count"),
+            F.round(F.lit(100).cast("decimal(5,1)") * cancelled / n, 2).alias("cancellation_rate_pct"),
         )
         .orderBy("tx_date")
     )
@@ -224,7 +242,7 @@ def sql_daily_volume(fact: DataFrame) -> DataFrame:
         fact.groupBy(F.to_date("InvoiceDate").alias("tx_date"))
         .agg(
             F.count(F.lit(1)).alias("tx_count"),
-            F.sum(at_scale(F.col("LineTotal"), 14, 4)).alias("daily_revenue"),
+            F.sum(at_scale(F.col("LineTotal"), 28, 4)).alias("daily_revenue"),
             _mean(F.sum(_price()), F.nullif(F.count("UnitPrice"), F.lit(0))).alias("avg_unit_price"),
         )
         .orderBy("tx_date")

@@ -16,7 +16,6 @@ from veritill.operators.checks import dq_table
 from veritill.operators.cleaning import clean_customers, clean_transactions
 from veritill.operators.enrich import build_fact
 from veritill.operators.quality import run_quality_checks
-from veritill.operators.skew import fits_broadcast
 from veritill.operators.validation import validate_raw
 from veritill.plans.report import counts_table, report_tables, run_verdict, save_report
 from veritill.sources import files, sinks
@@ -44,40 +43,60 @@ def run_pipeline(
     holiday_year: int | None = None,
     warehouse: bool = True,
     invoice_severity: str = "error",
+    multiline: bool = False,
+    salted: bool = False,
+    include_current: bool = True,
+    window: int | None = None,
+    z_threshold: float | None = None,
 ) -> RunResult:
     """Run every stage and return its status code; findings never stop a run, errors give 2.
 
     Every stage reads the stored output of the one before, so a lost executor only repeats its
-    own tasks and no stage recomputes another.
+    own tasks and no stage recomputes another.  ``multiline`` reads line breaks inside quotes,
+    ``salted`` spreads hot customers before the join, and the last three set the volume detector.
+    A second run of a day replaces what the first one left of it.
     """
     now = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     day = run_date or date.today().isoformat()
     try:
         return _run(
             spark, source_dir, out, day, now, holidays_path, holiday_countries, holiday_year,
-            warehouse, invoice_severity,
+            warehouse, invoice_severity, multiline, salted,
+            {"include_current": include_current, **({"window": window} if window else {}),
+             **({"z_threshold": z_threshold} if z_threshold is not None else {})},
         )
     except Exception:  # the contract of a run is a status code
         log.exception("run of %s aborted", day)
         return RunResult(2, {}, out)
 
 
+def _land_holidays(spark, path, countries, year, raw, day) -> int:
+    """Rows of the calendar landed; a calendar that cannot be read is an empty one."""
+    try:
+        return sinks.land_raw(files.read_holidays(spark, path, countries, year), raw, day)
+    except Exception:
+        log.exception("calendar skipped")
+        return 0
+
+
 def _run(
-    spark, source_dir, out, day, now, holidays_path, holiday_countries, holiday_year, warehouse, invoice_severity
+    spark, source_dir, out, day, now, holidays_path, holiday_countries, holiday_year, warehouse, invoice_severity,
+    multiline, salted, volume,
 ) -> RunResult:
     stored = spark.read.parquet
     raw, interim = f"{out}/raw", f"{out}/interim"
 
     # land the exports as they are; columnar from here on
     exports = {
-        "transactions": files.read_transactions(spark, source_dir),
-        "customers": files.read_customers(spark, source_dir),
+        "transactions": files.read_transactions(spark, source_dir, multiline=multiline),
+        "customers": files.read_customers(spark, source_dir, multiline=multiline),
     }
+    landings = [partial(sinks.land_raw, df, f"{raw}/{name}", day) for name, df in exports.items()]
     if holidays_path is not None:
         year = holiday_year or int(day[:4])
-        exports["holidays"] = files.read_holidays(spark, holidays_path, holiday_countries, year)
-    landings = [partial(sinks.land_raw, df, f"{raw}/{name}", day) for name, df in exports.items()]
-    counts = {"holidays": 0} | dict(zip(exports, sinks.in_parallel(*landings)))
+        landings.append(partial(_land_holidays, spark, holidays_path, holiday_countries, year, f"{raw}/holidays", day))
+    names = [*exports, "holidays"][: len(landings)]
+    counts = {"holidays": 0} | dict(zip(names, sinks.in_parallel(*landings)))
     holidays: DataFrame | None = None
     if counts["holidays"]:
         holidays = stored(f"{raw}/holidays/run_date={day}")
@@ -102,11 +121,16 @@ def _run(
         "customers_duplicate": ingested["customers"] - sum(cu_counts),
     }
 
+    for name in exports:
+        if counts[f"{name}_duplicate"] < 0:
+            raise RuntimeError(f"more {name} cleaned or rejected than delivered")
+
     tx = stored(f"{interim}/transactions_clean")
     cu = stored(f"{interim}/customers_clean")
-    fact_rows = build_fact(tx, cu, holidays, salted=not fits_broadcast(cu))
+    fact_rows = build_fact(tx, cu, holidays, salted=salted)
     counts["fact"] = sinks.save_fact(fact_rows, f"{out}/processed/fct_transactions")
-    fact = stored(f"{out}/processed/fct_transactions")
+    # a fact table without rows has no file to take the columns from
+    fact = spark.read.schema(fact_rows.schema).parquet(f"{out}/processed/fct_transactions")
 
     loads: dict[str, int] = {}
     if warehouse:
@@ -116,13 +140,17 @@ def _run(
             log.exception("warehouse load skipped")
 
     quality = run_quality_checks(tx, cu, fact, now, day, invoice_severity)
-    anomalies = run_anomaly_detection(fact, now, day)
+    anomalies = run_anomaly_detection(fact, now, day, **volume)
     results_path = f"{out}/results/run_date={day}"
     found = validation.unionByName(quality).unionByName(anomalies)
     found.drop("run_date").coalesce(1).write.mode("overwrite").parquet(results_path)
     results = stored(results_path).withColumn("run_date", F.lit(day).cast("date"))
     if loads:
-        sinks.append_dq_results(dq_table(results.where(F.col("stage") == "quality")), f"{out}/warehouse")
+        try:
+            history = dq_table(results.where(F.col("stage") == "quality"))
+            sinks.replace_dq_results(history, f"{out}/warehouse", day)
+        except Exception:  # the history is optional too
+            log.exception("check history not written")
 
     sections = report_tables(
         results,
@@ -131,4 +159,6 @@ def _run(
     )
     save_report(sections, f"{out}/report", day)
     code = run_verdict(results).first()["status_code"]
+    if any(name.endswith("_unfit") for name in loads):  # rows set aside are a finding
+        code = max(code, 1)
     return RunResult(int(code), counts | {f"loaded_{t}": n for t, n in loads.items()}, out)

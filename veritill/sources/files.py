@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -45,6 +46,9 @@ _HOLIDAY_DOCUMENT = T.StructType(
 )
 
 
+_RECORD = "_malformed_record"
+
+
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every column of a CSV export as text, plus ``_row_id``.
 
@@ -75,14 +79,34 @@ def _dated(df: DataFrame, run_date: str | None) -> DataFrame:
     return df if run_date is None else df.withColumn("run_date", F.lit(run_date).cast("date"))
 
 
-def read_transactions(spark: SparkSession, source_dir: str, run_date: str | None = None) -> DataFrame:
+def read_transactions(
+    spark: SparkSession, source_dir: str, run_date: str | None = None, multiline: bool = False
+) -> DataFrame:
     """``transactions.csv`` of a delivery folder."""
-    return _dated(read_csv(spark, f"{source_dir}/transactions.csv"), run_date)
+    return _dated(read_csv(spark, f"{source_dir}/transactions.csv", multiline), run_date)
 
 
-def read_customers(spark: SparkSession, source_dir: str, run_date: str | None = None) -> DataFrame:
+def read_customers(
+    spark: SparkSession, source_dir: str, run_date: str | None = None, multiline: bool = False
+) -> DataFrame:
     """S3: ``customers.csv`` of a delivery folder."""
-    return _dated(read_csv(spark, f"{source_dir}/customers.csv"), run_date)
+    return _dated(read_csv(spark, f"{source_dir}/customers.csv", multiline), run_date)
+
+
+def malformed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Text of the rows whose number of fields is not that of the header, or with an open quote."""
+    reader = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+    )
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RECORD]])
+    rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).csv(path)
+    # all fields are named, as the reader does not count fields that nobody asks for
+    kept = rows.select(F.col(_RECORD).alias("record"), F.array(*[F.col(f"`{c}`") for c in names]).alias("fields"))
+    return kept.where(F.col("record").isNotNull())
 
 
 def empty_holidays(spark: SparkSession) -> DataFrame:
@@ -131,9 +155,31 @@ def read_layer(spark: SparkSession, path: str, run_date: str | None = None) -> D
 
 
 def latest_run(layer: DataFrame, column: str = "run_date") -> DataFrame:
-    """Rows of the newest run.  The scalar subquery prunes the scan to one partition."""
-    newest = layer.select(F.max(column)).scalar()
-    return layer.where(F.col(column) == newest)
+    """Rows of the newest run.
+
+    The runs are partitions, so the newest one is known from the paths that the reader has listed;
+    the scan is pruned to it.  A layer without such partitions has its newest value looked up.
+    """
+    runs = [found[1] for found in (re.search(rf"/{column}=([^/]+)/", f) for f in layer.inputFiles()) if found]
+    if not runs:
+        return layer.where(F.col(column) == layer.select(F.max(column)).scalar())
+    return layer.where(F.col(column) == F.lit(max(runs)).cast(layer.schema[column].dataType))
+
+
+def latest_manifest(
+    spark: SparkSession, path: str, sources: Sequence[str] = ("transactions", "customers", "holidays")
+) -> DataFrame:
+    """Counts of the newest run's manifest; zero for a source it does not name, or without any manifest."""
+    schema = T.StructType(
+        [T.StructField("run_date", T.DateType()), T.StructField("ingested_at", T.StringType())]
+        + [T.StructField(source, T.LongType()) for source in sources]
+    )
+    try:
+        newest = latest_run(spark.read.schema(schema).json(path))
+    except AnalysisException:
+        newest = spark.createDataFrame([], schema)
+    counts = [F.coalesce(F.max(source), F.lit(0)).alias(source) for source in sources]
+    return newest.agg(F.max("run_date").alias("run_date"), F.max("ingested_at").alias("ingested_at"), *counts)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

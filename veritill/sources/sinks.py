@@ -13,7 +13,7 @@ from datetime import datetime
 from functools import partial
 from typing import NamedTuple, TypeVar
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +29,12 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = ()) -> int:
+def _write(df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = (), dynamic: bool = True) -> int:
     counted, seen = _counted(df)
     writer: DataFrameWriter = counted.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-        if mode == "overwrite":
+        if mode == "overwrite" and dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return int(seen.get["rows"])
@@ -43,12 +43,11 @@ def _write(df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] =
 def land_raw(df: DataFrame, path: str, run_date: str, overwrite: bool = True) -> int:
     """K1: raw rows under ``run_date=<day>``; other days are never touched.
 
-    A second landing of the same day replaces that day, or fails with ``overwrite=False``.
+    A second landing of the same day replaces that day, or fails with ``overwrite=False``.  A
+    delivery without rows leaves an empty table with its columns.
     """
-    if overwrite:
-        dated = df.withColumn("run_date", F.lit(run_date).cast("date"))
-        return _write(dated, path, "overwrite", ("run_date",))
-    return _write(df.drop("run_date"), f"{path}/run_date={run_date}", "errorifexists")
+    mode = "overwrite" if overwrite else "errorifexists"
+    return _write(df.drop("run_date"), f"{path}/run_date={run_date}", mode)
 
 
 def write_manifest(
@@ -107,9 +106,13 @@ def save_fact(fact: DataFrame, path: str) -> int:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in its order and types; absent columns are null.
 
-    Doubles round to the declared scale.  A value the type cannot hold becomes null instead of
-    ending the job; ``load`` reports how many.
+    Doubles round to the declared scale of a decimal, but never to a whole number.  A value the type
+    cannot hold becomes null; a load sets its row aside.
     """
+    return df.select(*_conformed(df, schema))
+
+
+def _conformed(df: DataFrame, schema: T.StructType) -> list[Column]:
     columns = []
     for field in schema.fields:
         if field.name not in df.columns:
@@ -119,37 +122,43 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         if isinstance(field.dataType, (T.IntegerType, T.ShortType)) and isinstance(
             df.schema[field.name].dataType, (T.DoubleType, T.FloatType, T.DecimalType)
         ):
-            value = F.bround(value, 0)
+            value = F.when(value == F.bround(value, 0), value)
         columns.append(value.try_cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    return columns
 
 
 class Load(NamedTuple):
     rows: int
-    #: Values that were present but did not fit the declared type.
+    #: Rows with a value that does not fit its declared type; they are in ``rejected_<table>``.
     unfit: int
 
 
+def _misfits(df: DataFrame, schema: T.StructType) -> Column:
+    """Names of the columns whose value is there but does not fit."""
+    given = [f for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    typed = {f.name: c for f, c in zip(schema.fields, _conformed(df, schema))}
+    lost = [
+        F.when(F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull(), F.lit(f.name)) for f in given
+    ]
+    return F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+
+
 def _load(df: DataFrame, warehouse: str, table: str, mode: str, loaded_at, partition_by=()) -> Load:
     if df.isEmpty():
         return Load(0, 0)
     schema = TABLE_SCHEMAS[table]
-    given = [f for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
-    marks = [F.col(f"`{f.name}`").isNotNull().cast("int") for f in given]
-    present = df.withColumn("_given", sum(marks, F.lit(0)))
-    typed = conform(present, T.StructType(schema.fields + [T.StructField("_given", T.IntegerType())]))
-    kept = sum([F.col(f"`{f.name}`").isNotNull().cast("int") for f in given], F.lit(0))
-    typed = typed.withColumn("_unfit", F.col("_given") - kept)
+    marked = df.withColumn("unfit_columns", _misfits(df, schema))
+    typed = conform(marked.where(F.size("unfit_columns") == 0), schema)
+    aside = marked.where(F.size("unfit_columns") > 0)
     if loaded_at is not None:
         typed = typed.withColumn(LOADED_AT, as_timestamp(loaded_at))
-
-    seen = Observation()
-    observed = typed.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum("_unfit").alias("unfit"))
-    writer = observed.drop("_given", "_unfit").write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{warehouse}/{table}")
-    return Load(int(seen.get["rows"]), int(seen.get["unfit"] or 0))
+        aside = aside.withColumn(LOADED_AT, as_timestamp(loaded_at))
+    return Load(
+        *in_parallel(
+            lambda: _write(typed, f"{warehouse}/{table}", mode, partition_by, dynamic=False),
+            lambda: _write(aside, f"{warehouse}/rejected_{table}", mode),
+        )
+    )
 
 
 def replace_table(df: DataFrame, warehouse: str, table: str, loaded_at: str | datetime) -> Load:
@@ -171,6 +180,12 @@ def append_table(
     return _load(df, warehouse, table, "append", loaded_at, partition_by)
 
 
+def replace_dq_results(results: DataFrame, warehouse: str, run_date: str) -> int:
+    """The check history with one set of results per run date: a second run of a day replaces its own."""
+    dated = conform(results, TABLE_SCHEMAS["dq_results"]).where(F.col("run_date") == F.lit(run_date).cast("date"))
+    return _write(dated, f"{warehouse}/dq_results", "overwrite", ("run_date",))
+
+
 def append_dq_results(results: DataFrame, warehouse: str) -> Load:
     """K7 for the check history, kept by run date."""
     return append_table(results, warehouse, "dq_results", partition_by=("run_date",))
@@ -184,10 +199,14 @@ def load_all(
     loaded_at: str | datetime,
     holidays: DataFrame | None = None,
 ) -> dict[str, int]:
-    """K8: replace every warehouse table and return the rows loaded; no calendar, no entry for it."""
+    """K8: replace every warehouse table and return the rows loaded; no calendar, no entry for it.
+
+    Rows set aside because a value does not fit are counted under ``<table>_unfit``.
+    """
     frames = {"stg_customers": customers, "stg_transactions": transactions, "fct_transactions": fact}
     if holidays is not None:
         frames["dim_holidays"] = holidays
     loads = in_parallel(*[partial(replace_table, df, warehouse, t, loaded_at) for t, df in frames.items()])
     counts = {t: load.rows for t, load in zip(frames, loads)}
-    return {t: n for t, n in counts.items() if n or t != "dim_holidays"}
+    unfit = {f"{t}_unfit": load.unfit for t, load in zip(frames, loads) if load.unfit}
+    return {t: n for t, n in counts.items() if n or t != "dim_holidays"} | unfit
