@@ -64,14 +64,23 @@ def _dropped(lines: DataFrame, recurring: DataFrame, keys: list[str]) -> DataFra
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(of_doc, of_tag, gone) of the lines to drop; ``docs`` has doc, tag (a hash of the text) and body."""
-    lines = _lines(docs)
-    hashed = lines.select("doc", "tag", "i", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"))
+    lines, leaf = _lines(docs), ["leaf1", "leaf2"]
+    in_tree = F.col("n") >= TREE_TOKENS
+    # cutting lines into tokens is the costly part; what is counted is kept as hashes
+    hashed = stored(
+        lines.select(
+            "doc", "tag", "i", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"),
+            F.when(in_tree, _leaf(1)).alias("leaf1"), F.when(in_tree, _leaf(2)).alias("leaf2"),
+        ),
+        "line-hashes",
+    )
     as_they_are = _dropped(hashed, _recurring(hashed, ["h1", "h2"], min_docs), ["h1", "h2"])
 
-    leaf = ["leaf1", "leaf2"]
-    longer = lines.where(F.col("n") >= TREE_TOKENS).withColumn("leaf1", _leaf(1)).withColumn("leaf2", _leaf(2))
+    longer = lines.where(in_tree).withColumn("leaf1", _leaf(1)).withColumn("leaf2", _leaf(2))
     leaves = stored(
-        longer.groupBy(*leaf).agg(F.count("*").alias("lines")).where(F.col("lines") >= min_docs), "leaves"
+        hashed.where(F.col("leaf1").isNotNull()).groupBy(*leaf).agg(F.count("*").alias("lines"))
+        .where(F.col("lines") >= min_docs),
+        "leaves",
     )
     slot = F.pmod(F.col("leaf1"), F.lit(FILTER_SIZE))
     slots = leaves.select(slot.alias("slot")).distinct()
@@ -106,7 +115,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         ),
         "recurring-lines",
     )
-    discard(leaves, held)
+    discard(hashed, leaves, held)
     return gone
 
 
