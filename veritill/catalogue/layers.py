@@ -75,6 +75,50 @@ def s01(spark, sf):
     return files.read_csv(spark, path).drop("_row_id")
 
 
+@query(
+    "s01_quoted_breaks",
+    with_ctes(
+        """SELECT "InvoiceNo", "StockCode", "UnitPrice", concat_ws(chr(10), "Status", "Country") AS "Description"
+           FROM raw_tx""",
+        "raw_tx",
+    ),
+)
+def s01_breaks(spark, sf):
+    """Line breaks inside quotes: every row comes back whole."""
+    path = scratch_dir(spark, "csv-breaks")
+    texts = adapters.raw_transactions(spark, sf).select(
+        "InvoiceNo", "StockCode", F.concat_ws("\n", "Status", "Country").alias("Description"), "UnitPrice"
+    )
+    _write_csv(texts, path)
+    return files.read_csv(spark, path, multiline=True).drop("_row_id")
+
+
+@query(
+    "s01_malformed",
+    with_ctes(
+        """SELECT concat_ws(',', "InvoiceNo", "StockCode", 'surplus') AS record,
+             concat_ws(',', "InvoiceNo", "StockCode") AS fields FROM raw_tx
+           WHERE CAST("InvoiceNo" AS BIGINT) % 7 = 0
+           UNION ALL SELECT "InvoiceNo", "InvoiceNo" FROM raw_tx WHERE CAST("InvoiceNo" AS BIGINT) % 7 = 1""",
+        "raw_tx",
+    ),
+)
+def s01_malformed(spark, sf):
+    """Rows with a field too many or too few: their text, and the fields the reader takes."""
+    path = scratch_dir(spark, "csv-malformed")
+    group = F.col("InvoiceNo").cast("bigint") % 7
+    line = (
+        F.when(group == 0, F.concat_ws(",", "InvoiceNo", "StockCode", F.lit("surplus")))
+        .when(group == 1, F.col("InvoiceNo"))
+        .otherwise(F.concat_ws(",", "InvoiceNo", "StockCode"))
+    )
+    rows = adapters.raw_transactions(spark, sf).select(line.alias("value"))
+    header = spark.createDataFrame([("InvoiceNo,StockCode",)], "value string")
+    # the reader takes a header from every file, so one file has it in front
+    header.unionAll(rows).coalesce(1).write.text(path)
+    return files.malformed_rows(spark, path).select("record", F.array_join("fields", ",").alias("fields"))
+
+
 @query(
     "s02_deliveries",
     with_ctes(
@@ -305,6 +349,27 @@ def k07(spark, sf):
     return plain(history.agg(F.count(F.lit(1)).alias("row_count")))
 
 
+@query(
+    "k07_rerun",
+    with_ctes(
+        f"""SELECT run_date, "table", "check", COUNT(*) AS row_count
+            FROM (SELECT '{RUN_DATE}' AS run_date UNION ALL SELECT '{_NEXT_DATE}'),
+              (SELECT 'stg_transactions' AS "table", 'null_rate.CustomerID' AS "check" FROM raw_tx LIMIT 1)
+            GROUP BY ALL""",
+        "raw_tx",
+    ),
+)
+def k07_rerun(spark, sf):
+    """A run that is repeated replaces the results of its day."""
+    path = scratch_dir(spark, "history")
+    tx = adapters.raw_transactions(spark, sf)
+    rules = null_rates(tx, "stg_transactions", ["CustomerID"])
+    for day in (RUN_DATE, _NEXT_DATE, RUN_DATE):
+        sinks.replace_dq_results(dq_table(run_rules(tx, rules, STAGE, AS_OF, day)), path, day)
+    history = spark.read.parquet(f"{path}/dq_results").groupBy("run_date", "table", "check")
+    return plain(history.agg(F.count(F.lit(1)).alias("row_count")))
+
+
 @query(
     "k08_load_counts",
     with_ctes(
@@ -349,6 +414,31 @@ def k10(spark, sf):
 _CALENDAR = """(SELECT * FROM holidays WHERE country_code IN ('GB', 'DE', 'FR', 'US') AND year(date) = 1997)"""
 
 
+@query(
+    "p01_empty_delivery",
+    with_ctes(
+        _counts(("customers", "raw_cu"), ("customers_clean", "clean_cu"), ("transactions", "raw_cu WHERE FALSE"),
+                ("transactions_clean", "raw_cu WHERE FALSE"), ("fact", "raw_cu WHERE FALSE"))
+        + " UNION ALL SELECT 'status_code', CAST(1 AS BIGINT)",
+        "raw_cu",
+        "clean_cu",
+    ),
+)
+def p01_empty(spark, sf):
+    """An export with a header and no rows, after a run of the same day that had rows."""
+    folder = scratch_dir(spark, "empty-run")
+    tx = adapters.raw_transactions(spark, sf).drop("_row_id")
+    _write_csv(adapters.raw_customers(spark, sf).drop("_row_id"), f"{folder}/customers.csv")
+    _write_csv(tx, f"{folder}/transactions.csv")
+    run_pipeline(spark, folder, f"{folder}/out", RUN_DATE, AS_OF, warehouse=False)
+    header = spark.createDataFrame([(",".join(tx.columns),)], "value string")
+    header.coalesce(1).write.mode("overwrite").text(f"{folder}/transactions.csv")
+    result = run_pipeline(spark, folder, f"{folder}/out", RUN_DATE, AS_OF, warehouse=False)
+    names = ("customers", "customers_clean", "transactions", "transactions_clean", "fact")
+    counts = {name: result.counts[name] for name in names} | {"status_code": result.code}
+    return counts_table(spark, counts, "layer")
+
+
 @query(
     "p01_run",
     with_ctes(

@@ -88,8 +88,8 @@ def _run(
 
     # land the exports as they are; columnar from here on
     exports = {
-        "transactions": files.read_transactions(spark, source_dir, multiline=multiline),
-        "customers": files.read_customers(spark, source_dir, multiline=multiline),
+        "transactions": files.read_transactions(spark, source_dir, multiline=multiline, as_delivered=True),
+        "customers": files.read_customers(spark, source_dir, multiline=multiline, as_delivered=True),
     }
     landings = [partial(sinks.land_raw, df, f"{raw}/{name}", day) for name, df in exports.items()]
     if holidays_path is not None:
@@ -104,8 +104,8 @@ def _run(
     sinks.write_manifest(spark, f"{out}/manifest", day, counts, now)
     ingested = dict(counts)
 
-    tx_raw = stored(f"{raw}/transactions/run_date={day}")
-    cu_raw = stored(f"{raw}/customers/run_date={day}")
+    tx_raw = files.mark_missing(stored(f"{raw}/transactions/run_date={day}"))
+    cu_raw = files.mark_missing(stored(f"{raw}/customers/run_date={day}"))
     validation = validate_raw(tx_raw, cu_raw, now, day)
 
     tx_counts, cu_counts = sinks.in_parallel(

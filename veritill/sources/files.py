@@ -49,13 +49,24 @@ _HOLIDAY_DOCUMENT = T.StructType(
 _RECORD = "_malformed_record"
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def mark_missing(df: DataFrame) -> DataFrame:
+    """Null for the texts that exports use for a missing value."""
+    columns = [
+        F.when(~F.col(f"`{f.name}`").isin(*MISSING_TEXTS), F.col(f"`{f.name}`")).alias(f.name)
+        if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ]
+    return df.select(*columns)
+
+
+def read_csv(spark: SparkSession, path: str, multiline: bool = False, as_delivered: bool = False) -> DataFrame:
     """Every column of a CSV export as text, plus ``_row_id``.
 
     The header names the columns, so the name checks see what was really delivered.  ``_row_id``
     orders rows by file name, then block, then position, whatever order Spark packs the splits
     in; the folder only enters as a hash, as the column travels through the cleaning shuffle.
     ``multiline`` accepts line breaks inside quotes, at the price of unsplittable files.
+    ``as_delivered`` leaves texts that stand for a missing value as they are.
     """
     raw = (
         spark.read.option("header", True)
@@ -65,14 +76,14 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
         .csv(path)
     )
     names = raw.columns
-    present = [F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in names]
     position = F.struct(
         F.col("_metadata.file_name").alias("file"),
         F.xxhash64("_metadata.file_path").alias("folder"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    return raw.select(*present, position.alias(ROW_ID))
+    found = raw.select(*[F.col(f"`{c}`") for c in names], position.alias(ROW_ID))
+    return found if as_delivered else mark_missing(found)
 
 
 def _dated(df: DataFrame, run_date: str | None) -> DataFrame:
@@ -80,17 +91,17 @@ def _dated(df: DataFrame, run_date: str | None) -> DataFrame:
 
 
 def read_transactions(
-    spark: SparkSession, source_dir: str, run_date: str | None = None, multiline: bool = False
+    spark: SparkSession, source_dir: str, run_date: str | None = None, multiline: bool = False, as_delivered: bool = False
 ) -> DataFrame:
     """``transactions.csv`` of a delivery folder."""
-    return _dated(read_csv(spark, f"{source_dir}/transactions.csv", multiline), run_date)
+    return _dated(read_csv(spark, f"{source_dir}/transactions.csv", multiline, as_delivered), run_date)
 
 
 def read_customers(
-    spark: SparkSession, source_dir: str, run_date: str | None = None, multiline: bool = False
+    spark: SparkSession, source_dir: str, run_date: str | None = None, multiline: bool = False, as_delivered: bool = False
 ) -> DataFrame:
     """S3: ``customers.csv`` of a delivery folder."""
-    return _dated(read_csv(spark, f"{source_dir}/customers.csv", multiline), run_date)
+    return _dated(read_csv(spark, f"{source_dir}/customers.csv", multiline, as_delivered), run_date)
 
 
 def malformed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
