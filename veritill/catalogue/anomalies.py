@@ -179,7 +179,7 @@ def a05(spark, sf):
 
 @query("a06_suite", with_ctes(SUITE, "fact"))
 def a06(spark, sf):
-    fact = frames.stored_layers(spark, sf).fact
+    fact = frames.stored_fact(spark, sf)
     return brief(anomalies.run_anomaly_detection(fact, AS_OF))
 
 
@@ -191,7 +191,7 @@ def a06(spark, sf):
     ),
 )
 def a07(spark, sf):
-    fact = frames.stored_layers(spark, sf).fact
+    fact = frames.stored_fact(spark, sf)
     results = anomaly_table(anomalies.run_anomaly_detection(fact, AS_OF, RUN_DATE))
     return plain(results.withColumn("metric_value", F.round("metric_value", 6)))
 
@@ -243,5 +243,5 @@ _SUMMARY = union(
 
 @query("a09_summary", with_ctes(_SUMMARY, "fact"))
 def a09(spark, sf):
-    fact = frames.stored_layers(spark, sf).fact
+    fact = frames.stored_fact(spark, sf)
     return anomalies.anomaly_summary(fact).withColumnRenamed("limit", "limit_value")

@@ -10,7 +10,7 @@ from veritill.catalogue import adapters
 from veritill.catalogue.adapters import AS_OF
 from veritill.operators import cleaning, enrich
 from veritill.session import scratch_dir
-from veritill.sources.sinks import save_layer
+from veritill.sources.sinks import in_parallel, save_layer
 
 
 def typed_tx(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,7 +53,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def stored_layers(spark: SparkSession, sf: str) -> Layers:
     """Clean and fact tables as a run stores them, for suites that read each several times."""
-    tx = stored(clean_tx(spark, sf), "transactions")
-    cu = stored(clean_cu(spark, sf), "customers")
+    tx, cu = in_parallel(
+        lambda: stored(clean_tx(spark, sf), "transactions"), lambda: stored(clean_cu(spark, sf), "customers")
+    )
     fact_rows = enrich.build_fact(tx, cu, adapters.holidays(spark, sf))
     return Layers(tx, cu, stored(fact_rows, "fact"))
+
+
+def stored_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact table alone, for suites that read nothing else."""
+    return stored(fact(spark, sf), "fact")
