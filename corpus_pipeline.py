@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritill.llm import language_crf, line_templates, minhash, packing, suffix_dedup
-from veritill.llm.common import stored, table
+from veritill.llm.common import packed_text, stored, table, unpacked_text
 from veritill.llm.queries import byte_model
 
 
@@ -40,9 +40,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates, the one with the smallest id; rows that repeat it go."""
     found = minhash.near_duplicates(docs, words_each=5, percent=80)
     heads = stored(found.where("kept").select(F.col("doc_id").alias("head")).distinct(), "kept")
-    some = docs.join(heads, F.col("doc_id").eqNullSafe(F.col("head")), "left_semi")
-    once = some.withColumn("tag", F.xxhash64("text")).dropDuplicates(["doc_id", "tag"])
-    return once.select(*docs.columns)
+    others = tuple(c for c in docs.columns if c != "text")
+    packed = packed_text(docs.withColumn("text tag", F.xxhash64("text")), "text", (*others, "text tag"))
+    some = packed.join(heads, F.col("doc_id").eqNullSafe(F.col("head")), "left_semi")
+    once = some.dropDuplicates(["doc_id", "text tag"])
+    return unpacked_text(once, "text", others).select(*docs.columns)
 
 
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

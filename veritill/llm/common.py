@@ -66,6 +66,35 @@ def per_row(
     return selected.mapInArrow(run, schema)
 
 
+def packed_text(df: DataFrame, text_column: str, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` and the text, compressed in ``packed``, for a way through a shuffle; null stays null."""
+
+    def ready():
+        import zstandard
+
+        return zstandard.ZstdCompressor(level=3)
+
+    def work(compressor, texts):
+        return [[None if text is None else compressor.compress(text.encode()) for text in texts]]
+
+    return per_row(df, [text_column], "packed binary", work, ready, keep)
+
+
+def unpacker():
+    import zstandard
+
+    return zstandard.ZstdDecompressor()
+
+
+def unpacked_text(df: DataFrame, text_column: str, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` and the text of a frame that ``packed_text`` made."""
+
+    def work(decompressor, packed):
+        return [[None if data is None else decompressor.decompress(data).decode() for data in packed]]
+
+    return per_row(df, ["packed"], f"`{text_column}` string", work, unpacker, keep)
+
+
 _ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(),
     "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),

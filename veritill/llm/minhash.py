@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritill.llm.common import discard, per_row, stored
+from veritill.llm.common import discard, packed_text, per_row, stored, unpacker
 from veritill.llm.components import components
 
 #: Two sets of similarity 0.8 share no band with probability (1 - 0.8 ** 5) ** 32 = 3e-6.
@@ -140,11 +140,13 @@ def _signed(df: DataFrame, words_each: int, id_column: str, text_column: str) ->
 
 def _sets(df: DataFrame, ids: DataFrame, words_each: int, id_column: str, text_column: str) -> DataFrame:
     """(doc, hashes) of the documents in ``ids``, from their texts once more."""
-    some = df.select(F.col(id_column).alias("doc"), F.col(text_column).alias("body")).join(ids, "doc", "left_semi")
-    return per_row(
-        some, ["doc", "body"], "doc bigint, hashes binary",
-        lambda _, docs, texts: [docs, [shingles(text, words_each).tobytes() for text in texts]],
-    )
+    texts = df.select(F.col(id_column).alias("doc"), F.col(text_column).alias("body"))
+    some = packed_text(texts, "body", ("doc",)).join(ids, "doc", "left_semi")
+
+    def work(decompressor, docs, packed):
+        return [docs, [shingles(decompressor.decompress(data).decode() if data else None, words_each).tobytes() for data in packed]]
+
+    return per_row(some, ["doc", "packed"], "doc bigint, hashes binary", work, unpacker)
 
 
 def _each_pair(pairs: DataFrame, items: DataFrame, column: str) -> DataFrame:
