@@ -55,7 +55,9 @@ def _leaf(salt: int) -> Column:
 def _recurring(lines: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
     """Keys that at least ``min_docs`` documents have, with the first of these."""
     per_doc = lines.select(*keys, "doc").distinct()
-    return per_doc.groupBy(*keys).agg(F.count("doc").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= min_docs).drop("docs")
+    found = per_doc.groupBy(*keys).agg(F.count("doc").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= min_docs)
+    # stored, so that a join with it is one that Spark can split where a key is hot
+    return stored(found.drop("docs"), "recurring")
 
 
 def _dropped(lines: DataFrame, recurring: DataFrame, keys: list[str]) -> DataFrame:

@@ -288,7 +288,10 @@ def _compare_hot(parts: DataFrame, length: int) -> DataFrame:
 def repeated_spans(df: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, text_column: str = "text") -> DataFrame:
     """(key, spans) of each text with spans (start, end) whose every string of ``length`` bytes occurs elsewhere too."""
     chosen = _places(df, text_column, length, gram)
-    shared = chosen.groupBy("bucket").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("bucket")
+    # stored, so that the join below is one that Spark can split where a bucket is hot
+    shared = stored(
+        chosen.groupBy("bucket").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("bucket"), "shared-buckets"
+    )
     bucketed = stored(chosen.join(shared, "bucket", "left_semi"), "buckets")
     told = stored(
         bucketed.groupBy("bucket", "whole").agg(
@@ -317,7 +320,7 @@ def repeated_spans(df: DataFrame, packed: DataFrame, length: int = LENGTH, gram:
         .groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")),
         "spans",
     )
-    discard(bucketed, told, parts)
+    discard(shared, bucketed, told, parts)
     return spans
 
 
