@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -60,20 +61,19 @@ class ByteCodec:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.special = special
-        self.first, self.rest = ChunkTable(self._encode, 20_000), ChunkTable(lambda c: self._encode([" " + x for x in c]))
+        self.first = ChunkTable(self._encode, 20_000)
+        self.rest = ChunkTable(lambda chunks: self._encode([" " + chunk for chunk in chunks]), 300_000)
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
-        import numpy as np
-
         found = []
         for chunk in chunks:
             if not chunk:
                 ids = []
-            elif max(chunk) > "ɏ" or self.special in chunk:
+            elif not chunk.isascii() and max(chunk) > "ɏ" or self.special in chunk:
                 ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             else:
                 ids = self.fast.encode_ordinary(chunk)
-            found.append(np.array(ids, dtype="<u4").tobytes())
+            found.append(struct.pack(f"<{len(ids)}I", *ids))
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
