@@ -23,7 +23,7 @@ def documents():
         if i % 4 == 0:
             body += "\n" + notice.format(i)
         rows.append((i, body, "en" if i % 2 else None))
-    base, passage = prose(77, 150), prose(78, 90)
+    base, passage = prose(77, 150), prose(78, 55)
     rows += [(40, base, "en"), (41, base, "en"), (42, edited(base, 1, 2), "en"), (43, edited(base, 2, 40), "en")]
     rows += [(44 + i, prose(300 + i, 40) + " " + passage + " " + prose(400 + i, 40), "en") for i in range(3)]
     return rows
@@ -94,13 +94,14 @@ def test_near_duplicates(stages):
 def test_suffixes(stages):
     given, kept = map(texts, stages["suffixes"])
     raws = {doc: text.encode() for doc, text in given.items()}
-    seen = Counter(raw[i : i + 400] for raw in raws.values() for i in range(len(raw) - 399))
+    size = corpus_pipeline.REPEAT_BYTES
+    seen = Counter(raw[i : i + size] for raw in raws.values() for i in range(len(raw) - size + 1))
     wanted = {}
     for doc, raw in raws.items():
         keep = np.ones(len(raw), dtype=bool)
-        for i in range(len(raw) - 399):
-            if seen[raw[i : i + 400]] > 1:
-                keep[i : i + 400] = False
+        for i in range(len(raw) - size + 1):
+            if seen[raw[i : i + size]] > 1:
+                keep[i : i + size] = False
         wanted[doc] = bytes(np.frombuffer(raw, dtype=np.uint8)[keep]).decode()
     assert kept == wanted and kept != given
 
