@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from veritill.session import scratch_dir
 
@@ -51,7 +52,7 @@ def per_row(
     """
     selected = df.select(*inputs, *[F.col(c).alias(f"kept {i}") for i, c in enumerate(keep)])
     schema = ", ".join([schema, *(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)])
-    target = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in _parsed(selected, schema)])
+    target = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in StructType.fromDDL(schema)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = ready() if ready else None
@@ -104,22 +105,10 @@ _ARROW = {
 }
 
 
-def _parsed(df: DataFrame, schema: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(schema)
-
-
 def shuffle_partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def lowered(text) -> "F.Column":
-    """Lower-case A-Z only; null is empty."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.translate(F.coalesce(text, F.lit("")), upper, lower)
-
-
 class ChunkTable(dict):
     """Distinct chunks seen by this task and what they encode to, in two generations.
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritill.llm.common import discard, per_row, shuffle_partitions, stored
+from veritill.llm.common import discard, per_row, shuffle_partitions, stored, unpacker
 
 LENGTH, GRAM, PARTS = 400, 64, 4
 HOT_ROWS = 50_000
@@ -157,14 +157,14 @@ def _parts(packed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     )
     width = -(-(length - GRAM + 1) // PARTS)
 
-    def work(unpacker, keys, datas, ats, lows, highs, buckets, asks):
+    def work(decompressor, keys, datas, ats, lows, highs, buckets, asks):
         out: list[list] = [[] for _ in range(9)]
         last = None
         for key, data, *lists in zip(keys, datas, ats, lows, highs, buckets, asks):
             if key == last:  # copies of one text lie next to each other
                 continue
             last = key
-            raw = unpacker.decompress(data) if data else b""
+            raw = decompressor.decompress(data) if data else b""
             sums = prefix_sums(raw)
             at, low, high = (np.array(x, dtype=np.int64) for x in lists[:3])
             for part in range(PARTS):
@@ -182,7 +182,7 @@ def _parts(packed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         return out
 
     schema = "key binary, start int, near int, far int, bucket bigint, part int, core bigint, asks boolean, bytes binary"
-    return per_row(joined, ["key", "data", "at", "low", "high", "bucket", "asks"], schema, work, _unpacker)
+    return per_row(joined, ["key", "data", "at", "low", "high", "bucket", "asks"], schema, work, unpacker)
 
 
 def _windows(strings: list[bytes], near: np.ndarray, far: np.ndarray, salt: np.ndarray, length: int):
@@ -342,14 +342,8 @@ def _with_spans(df: DataFrame, length: int, id_column: str, text_column: str, ke
     )
 
 
-def _unpacker():
-    import zstandard
-
-    return zstandard.ZstdDecompressor()
-
-
-def _cut(unpacker, data: bytes, starts, ends) -> tuple[bytes, bytes, list[tuple[int, int]]]:
-    raw = unpacker.decompress(data)
+def _cut(decompressor, data: bytes, starts, ends) -> tuple[bytes, bytes, list[tuple[int, int]]]:
+    raw = decompressor.decompress(data)
     spans = _merged(list(zip(starts or (), ends or ())))
     edges = [0, *(x for span in spans for x in span), len(raw)]
     return raw, b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])), spans
@@ -358,17 +352,17 @@ def _cut(unpacker, data: bytes, starts, ends) -> tuple[bytes, bytes, list[tuple[
 def removed_digests(df: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document: its bytes, the bytes and runs removed, and the SHA-256 of what is kept."""
 
-    def work(unpacker, docs, datas, starts, ends):
+    def work(decompressor, docs, datas, starts, ends):
         out: list[list] = [docs, [], [], [], []]
         for data, a, b in zip(datas, starts, ends):
-            raw, kept, spans = _cut(unpacker, data, a, b)
+            raw, kept, spans = _cut(decompressor, data, a, b)
             for column, value in zip(out[1:], (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())):
                 column.append(value)
         return out
 
     schema = f"{id_column} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     inputs = ["doc", "data", "starts", "ends"]
-    return per_row(_with_spans(df, length, id_column, text_column), inputs, schema, work, _unpacker)
+    return per_row(_with_spans(df, length, id_column, text_column), inputs, schema, work, unpacker)
 
 
 def without_repeats(
@@ -379,10 +373,10 @@ def without_repeats(
     A character that is cut in two goes as a whole.
     """
 
-    def work(unpacker, docs, datas, starts, ends):
+    def work(decompressor, docs, datas, starts, ends):
         out: list[list] = [docs, [], [], []]
         for data, a, b in zip(datas, starts, ends):
-            raw, _, spans = _cut(unpacker, data, a, b)
+            raw, _, spans = _cut(decompressor, data, a, b)
             edges = [0, *(x for span in spans for x in span), len(raw)]
             kept = "".join(raw[x:y].decode(errors="ignore") for x, y in zip(edges[::2], edges[1::2]))
             for column, value in zip(out[1:], ([s for s, _ in spans], [e for _, e in spans], kept)):
@@ -391,4 +385,4 @@ def without_repeats(
 
     schema = f"{id_column} bigint, span_starts array<int>, span_ends array<int>, kept string"
     inputs = ["doc", "data", "starts", "ends"]
-    return per_row(_with_spans(df, length, id_column, text_column, keep), inputs, schema, work, _unpacker, keep)
+    return per_row(_with_spans(df, length, id_column, text_column, keep), inputs, schema, work, unpacker, keep)
