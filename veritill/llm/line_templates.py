@@ -5,11 +5,18 @@ All longer lines go down a tree of fixed depth: first by their number of tokens,
 leading tokens.  In a leaf, a token stays where enough of the leaf's lines have it at that place;
 all others become variable fields.  Lines that come out equal share a template.
 
+A leaf can hold more templates than tokens with that share, and a hot line can outvote the others.  So the
+distinct lines of a leaf that do not recur as they are, each counted once, are also judged in groups.
+A line belongs to its group's template where enough of its tokens are those that most of the group
+has at their places.  What is left of a group is split by the place that leaves lines together
+best, and its parts are judged again, until they have too few lines or documents for a template.
+
 A template recurs if at least ``min_docs`` documents have it and, in the tree, enough of its tokens are
 fixed.  Its lines are dropped from every document but the first one (smallest id) that has it, so
 that copies of a text do not wipe each other out.
 
-Everything is built-in functions.  Counts are pre-aggregated; only lines of leaves that can
+Everything is built-in functions.  A split fixes one more place of its group, so lines of n tokens take at
+most n rounds, and a round reads only the groups that are left.  Counts are pre-aggregated; only lines of leaves that can
 hold a template leave the scan with their text, found by a filter of fixed size and then exactly.
 
 Cases: null text is empty and has one empty line; lines with fewer than ``MIN_TOKENS`` tokens are kept;
@@ -19,6 +26,8 @@ id are no further document, but their lines are dropped too; other columns are i
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +73,62 @@ def _dropped(lines: DataFrame, recurring: DataFrame, keys: list[str]) -> DataFra
     return lines.join(recurring, keys).where(~F.col("doc").eqNullSafe(F.col("first"))).select("doc", "tag", "i")
 
 
+def _kinds(lines: DataFrame, group: list[str], min_docs: int) -> DataFrame:
+    """Groups with at least two distinct lines and, over these, enough documents."""
+    per_kind = lines.groupBy(*group, "h1", "h2").agg(F.count("doc").alias("docs"))
+    return per_kind.groupBy(*group).agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs")).where(
+        (F.col("kinds") > 1) & (F.col("docs") >= min_docs)
+    ).select(*group)
+
+
+def _judged(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines with whether they are ``near`` their group's template, and the place to ``split`` the group by."""
+    group = ["g1", "g2"]
+    kinds = lines.select(*group, "h1", "h2", "tokens").dropDuplicates([*group, "h1", "h2"])
+    counted = kinds.select(*group, F.posexplode("tokens").alias("p", "token")).groupBy(*group, "p", "token").agg(F.count("*").alias("c"))
+    per_place = counted.groupBy(*group, "p").agg(
+        F.sum("c").alias("all"), F.max(F.struct("c", "token")).alias("top"), F.sum(F.col("c").cast("double") * F.col("c")).alias("together")
+    )
+    most = F.when((2 * F.col("top.c") > F.col("all")) & (F.col("top.token") != "<*>"), F.col("top.token"))
+    varies = F.when(F.col("top.c") < F.col("all"), F.struct("together", -F.col("p")))
+    per_group = stored(
+        per_place.groupBy(*group).agg(
+            F.array_sort(F.collect_list(F.struct("p", most.alias("token")))).alias("by_place"), F.max_by("p", varies).alias("split")
+        ),
+        "line-groups",
+    )
+    same = F.zip_with("tokens", F.col("by_place.token"), lambda t, most: F.coalesce(t == most, F.lit(False)))
+    near = F.size(F.filter(same, lambda x: x)) >= FIXED_SHARE * F.size("tokens")
+    judged = lines.join(per_group, group).select("doc", "tag", "i", *group, "h1", "h2", "tokens", near.alias("near"), "split")
+    return stored(judged, "judged-lines"), per_group
+
+
+def _by_groups(lines: DataFrame, min_docs: int) -> list[DataFrame]:
+    """Lines to drop, one frame a round; ``lines`` has doc, tag, i, tokens, the hashes of the line and of its leaf."""
+    found, group = [], ["g1", "g2"]
+    lines = lines.select("doc", "tag", "i", "tokens", "h1", "h2", F.col("leaf1").alias("g1"), F.col("leaf2").alias("g2"))
+    while True:
+        active = stored(_kinds(lines, group, min_docs), "active-groups")
+        held = stored(lines.join(active, group, "left_semi"), "group-lines")
+        if held.isEmpty():
+            discard(active, held)
+            return found
+        judged, per_group = _judged(held)
+        recurring = _recurring(judged.where("near"), group, min_docs)
+        found.append(stored(_dropped(judged.where("near"), recurring, group), "grouped-lines"))
+        settled = recurring.select(*group, F.lit(True).alias("near"))
+        parts = judged.join(settled, [*group, "near"], "left_anti").where(F.col("split").isNotNull())
+        token = F.get(F.col("tokens"), F.col("split"))
+        lines = stored(
+            parts.select(
+                "doc", "tag", "i", "tokens", "h1", "h2",
+                F.xxhash64("g1", "split", token).alias("g1"), F.xxhash64(F.lit(1), "g2", "split", token).alias("g2"),
+            ),
+            "split-lines",
+        )
+        discard(active, held, judged, per_group)
+
+
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(of_doc, of_tag, gone) of the lines to drop; ``docs`` has doc, tag (a hash of the text) and body."""
     lines, leaf = _lines(docs), ["leaf1", "leaf2"]
@@ -76,7 +141,9 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         ),
         "line-hashes",
     )
-    as_they_are = _dropped(hashed, _recurring(hashed, ["h1", "h2"], min_docs), ["h1", "h2"])
+    whole = ["h1", "h2"]
+    exact = _recurring(hashed, whole, min_docs)
+    as_they_are = _dropped(hashed, exact, whole)
 
     longer = lines.where(in_tree).withColumn("leaf1", _leaf(1)).withColumn("leaf2", _leaf(2))
     leaves = stored(
@@ -88,7 +155,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     slots = leaves.select(slot.alias("slot")).distinct()
     # at most FILTER_SIZE numbers, whatever the corpus
     near = longer.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
-    held = stored(near.select("doc", "tag", "i", "n", "tokens", *leaf).join(leaves, leaf), "leaf-lines")
+    held = stored(near.select("doc", "tag", "i", "n", "masked", "tokens", *leaf).join(leaves, leaf), "leaf-lines")
 
     places = held.select(*leaf, "lines", F.posexplode("tokens").alias("p", "token"))
     counted = places.groupBy(*leaf, "lines", "p", "token").agg(F.count("*").alias("c"))
@@ -111,13 +178,19 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         )
     )
     by_tree = _dropped(generalised, _recurring(generalised, ["h1", "h2"], min_docs), ["h1", "h2"])
+    # lines that recur as they are need no template, and are no evidence for one of others
+    others = hashed.where(F.col("leaf1").isNotNull()).join(exact, whole, "left_anti")
+    several = stored(_kinds(others, leaf, min_docs), "contested-leaves")
+    contested = held.join(several, leaf, "left_semi").withColumn("h1", F.xxhash64("masked")).withColumn("h2", F.xxhash64(F.lit(1), "masked"))
+    by_groups = _by_groups(contested.join(exact, whole, "left_anti"), min_docs)
+    dropped = functools.reduce(DataFrame.unionAll, by_groups, as_they_are.unionAll(by_tree))
     gone = stored(
-        as_they_are.unionAll(by_tree).groupBy(F.col("doc").alias("of_doc"), F.col("tag").alias("of_tag")).agg(
+        dropped.groupBy(F.col("doc").alias("of_doc"), F.col("tag").alias("of_tag")).agg(
             F.collect_set("i").alias("gone")
         ),
         "recurring-lines",
     )
-    discard(hashed, leaves, held)
+    discard(hashed, leaves, held, several, *by_groups)
     return gone
 
 
