@@ -26,3 +26,12 @@ def test_many_templates_and_a_hot_line_in_one_leaf(frame):
     kept = left(frame, texts + noise)
     assert [i for i in range(len(texts)) if kept[i]] == [0, 1, 2, 3, 4, 5, 72]
     assert [kept[len(texts) + i] for i in range(30)] == noise
+
+
+def test_tables_of_numbers_stay(frame):
+    """Rows of other numbers are no repeats; the same row again is one."""
+    rows = [f"{i} {i * 7 % 13} {i * i}" for i in range(6)]
+    sums = [f"{i} + {i + 1} = {2 * i + 1}" for i in range(6)]
+    kept = left(frame, [f"{a}\n{b}\n12 30 45\n{word(random.Random(a))}" for a, b in zip(rows, sums)])
+    for i, (a, b) in enumerate(zip(rows, sums)):
+        assert kept[i].split("\n")[:-1] == [a, b, *(["12 30 45"] if i == 0 else [])]

@@ -1,6 +1,7 @@
 """Line deduplication with a log-template tree.
 
-Fields with digits are variable: they are masked.  A masked line that recurs is a template as it is.
+Fields with digits are variable: they are masked.  A masked line that recurs is a template as it is.  Where
+too few of its tokens are left unmasked (tables, sums), the line itself has to recur.
 All longer lines go down a tree of fixed depth: first by their number of tokens, then by their
 leading tokens.  In a leaf, a token stays where enough of the leaf's lines have it at that place;
 all others become variable fields.  Lines that come out equal share a template.
@@ -11,8 +12,7 @@ A line belongs to its group's template where enough of its tokens are those that
 has at their places.  What is left of a group is split by the place that leaves lines together
 best, and its parts are judged again, until they have too few lines or documents for a template.
 
-A template recurs if at least ``min_docs`` documents have it and, in the tree, enough of its tokens are
-fixed.  Its lines are dropped from every document but the first one (smallest id) that has it, so
+A template recurs if at least ``min_docs`` documents have it and enough of its tokens are fixed.  Its lines are dropped from every document but the first one (smallest id) that has it, so
 that copies of a text do not wipe each other out.
 
 Everything is built-in functions.  A split fixes one more place of its group, so lines of n tokens take at
@@ -46,14 +46,18 @@ def _split(text: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, tag, i, masked, tokens, n) of every line with enough tokens."""
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[^ ]*[0-9][^ ]*", "<*>")).otherwise(F.col("line"))
+    """(doc, tag, i, whole, firm, tokens, n) of every line with enough tokens; ``whole`` is what recurs of it as it is."""
+    digits = F.col("line").rlike("[0-9]")
+    masked = F.when(digits, F.regexp_replace("line", "[^ ]*[0-9][^ ]*", "<*>")).otherwise(F.col("line"))
+    firm = ~F.col("digits") | (F.size(F.filter("tokens", lambda t: t != "<*>")) >= FIXED_SHARE * F.col("n"))
     return (
         docs.select("doc", "tag", F.posexplode(_split(F.col("body"))).alias("i", "line"))
-        .select("doc", "tag", "i", masked.alias("masked"))
+        .select("doc", "tag", "i", "line", digits.alias("digits"), masked.alias("masked"))
         .withColumn("tokens", F.filter(F.split("masked", " "), lambda t: t != ""))
         .withColumn("n", F.size("tokens"))
         .where(F.col("n") >= MIN_TOKENS)
+        .withColumn("firm", firm)
+        .withColumn("whole", F.when(F.col("firm"), F.col("masked")).otherwise(F.col("line")))
     )
 
 
@@ -136,7 +140,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     # cutting lines into tokens is the costly part; what is counted is kept as hashes
     hashed = stored(
         lines.select(
-            "doc", "tag", "i", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"),
+            "doc", "tag", "i", "firm", F.xxhash64("whole").alias("h1"), F.xxhash64(F.lit(1), "whole").alias("h2"),
             F.when(in_tree, _leaf(1)).alias("leaf1"), F.when(in_tree, _leaf(2)).alias("leaf2"),
         ),
         "line-hashes",
@@ -155,7 +159,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     slots = leaves.select(slot.alias("slot")).distinct()
     # at most FILTER_SIZE numbers, whatever the corpus
     near = longer.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
-    held = stored(near.select("doc", "tag", "i", "n", "masked", "tokens", *leaf).join(leaves, leaf), "leaf-lines")
+    held = stored(near.select("doc", "tag", "i", "n", "firm", "whole", "tokens", *leaf).join(leaves, leaf), "leaf-lines")
 
     places = held.select(*leaf, "lines", F.posexplode("tokens").alias("p", "token"))
     counted = places.groupBy(*leaf, "lines", "p", "token").agg(F.count("*").alias("c"))
@@ -179,9 +183,10 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     )
     by_tree = _dropped(generalised, _recurring(generalised, ["h1", "h2"], min_docs), ["h1", "h2"])
     # lines that recur as they are need no template, and are no evidence for one of others
-    others = hashed.where(F.col("leaf1").isNotNull()).join(exact, whole, "left_anti")
+    others = hashed.where(F.col("leaf1").isNotNull() & F.col("firm")).join(exact, whole, "left_anti")
     several = stored(_kinds(others, leaf, min_docs), "contested-leaves")
-    contested = held.join(several, leaf, "left_semi").withColumn("h1", F.xxhash64("masked")).withColumn("h2", F.xxhash64(F.lit(1), "masked"))
+    contested = held.where("firm").join(several, leaf, "left_semi")
+    contested = contested.withColumn("h1", F.xxhash64("whole")).withColumn("h2", F.xxhash64(F.lit(1), "whole"))
     by_groups = _by_groups(contested.join(exact, whole, "left_anti"), min_docs)
     dropped = functools.reduce(DataFrame.unionAll, by_groups, as_they_are.unionAll(by_tree))
     gone = stored(
