@@ -35,3 +35,17 @@ def test_tables_of_numbers_stay(frame):
     kept = left(frame, [f"{a}\n{b}\n12 30 45\n{word(random.Random(a))}" for a, b in zip(rows, sums)])
     for i, (a, b) in enumerate(zip(rows, sums)):
         assert kept[i].split("\n")[:-1] == [a, b, *(["12 30 45"] if i == 0 else [])]
+
+
+def test_short_lines_and_lines_without_blanks(frame):
+    """Tabs part tokens; a long line without blanks recurs; a short one goes only where a share of all documents has it."""
+    draw = random.Random(3)
+    unspaced, tabs, menu, chance = "版权所有未经许可不得转载本站内容", "Home\tNews\tContact", "Read more", "Les."
+    texts = [f"{word(draw)} {word(draw)} {i}\n{word(draw)}" for i in range(110)]
+    common = [unspaced, tabs, menu]
+    texts = [f"{t}\n" + "\n".join(common[: 3 if i < 10 else 0] + [chance] * (10 <= i < 15)) for i, t in enumerate(texts)]
+    kept = left(frame, texts)
+    assert kept[0] == texts[0]
+    for i in range(1, 10):
+        assert not {unspaced, tabs, menu} & set(kept[i].split("\n"))
+    assert all(chance in kept[i].split("\n") for i in range(10, 15))

@@ -19,14 +19,17 @@ Everything is built-in functions.  A split fixes one more place of its group, so
 most n rounds, and a round reads only the groups that are left.  Counts are pre-aggregated; only lines of leaves that can
 hold a template leave the scan with their text, found by a filter of fixed size and then exactly.
 
-Cases: null text is empty and has one empty line; lines with fewer than ``MIN_TOKENS`` tokens are kept;
-very long lines and texts are read whole; repeated rows of an id are one document; rows without
+Tokens stand between white space of any kind.  Lines with fewer than ``MIN_TOKENS`` tokens recur as they are too;
+brief ones among them recur by chance and need ``BRIEF_SHARE`` of all documents.
+
+Cases: null text is empty and has one empty line; blank lines are kept; very long lines and texts are read whole; repeated rows of an id are one document; rows without
 id are no further document, but their lines are dropped too; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +42,10 @@ MIN_DOCS = 5
 TOKEN_SHARE, FIXED_SHARE = 0.2, 0.7
 #: Entries of the first, inexact filter; a bound, whatever the data
 FILTER_SIZE = 1 << 18
+#: Lines with fewer than MIN_TOKENS tokens and this many bytes recur by chance: they go from this share of all documents on
+BRIEF_BYTES, BRIEF_SHARE = 24, 0.05
+#: White space within a line, besides the blank
+OTHER_SPACE = "[\\t\\x0B\\f\\r\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 
 
 def _split(text: Column) -> Column:
@@ -46,16 +53,17 @@ def _split(text: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, tag, i, whole, firm, tokens, n) of every line with enough tokens; ``whole`` is what recurs of it as it is."""
+    """(doc, tag, i, whole, firm, tokens, n) of every line that is not blank; ``whole`` is what recurs of it as it is."""
+    spaced = F.when(F.col("body").rlike(OTHER_SPACE), F.regexp_replace("body", OTHER_SPACE, " ")).otherwise(F.col("body"))
     digits = F.col("line").rlike("[0-9]")
     masked = F.when(digits, F.regexp_replace("line", "[^ ]*[0-9][^ ]*", "<*>")).otherwise(F.col("line"))
     firm = ~F.col("digits") | (F.size(F.filter("tokens", lambda t: t != "<*>")) >= FIXED_SHARE * F.col("n"))
     return (
-        docs.select("doc", "tag", F.posexplode(_split(F.col("body"))).alias("i", "line"))
+        docs.select("doc", "tag", F.posexplode(_split(spaced)).alias("i", "line"))
         .select("doc", "tag", "i", "line", digits.alias("digits"), masked.alias("masked"))
         .withColumn("tokens", F.filter(F.split("masked", " "), lambda t: t != ""))
         .withColumn("n", F.size("tokens"))
-        .where(F.col("n") >= MIN_TOKENS)
+        .where(F.col("n") > 0)
         .withColumn("firm", firm)
         .withColumn("whole", F.when(F.col("firm"), F.col("masked")).otherwise(F.col("line")))
     )
@@ -73,6 +81,12 @@ def _recurring(lines: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
     return stored(found.drop("docs"), "recurring")
 
 
+def _recurring_whole(hashed: DataFrame, everyone: int, min_docs: int) -> DataFrame:
+    """Lines that recur as they are; brief ones need a share of all documents."""
+    brief = _recurring(hashed.where("brief"), ["h1", "h2"], max(min_docs, math.ceil(BRIEF_SHARE * everyone)))
+    return stored(_recurring(hashed.where("not brief"), ["h1", "h2"], min_docs).unionAll(brief), "recurring-whole")
+
+
 def _dropped(lines: DataFrame, recurring: DataFrame, keys: list[str]) -> DataFrame:
     return lines.join(recurring, keys).where(~F.col("doc").eqNullSafe(F.col("first"))).select("doc", "tag", "i")
 
@@ -137,16 +151,18 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(of_doc, of_tag, gone) of the lines to drop; ``docs`` has doc, tag (a hash of the text) and body."""
     lines, leaf = _lines(docs), ["leaf1", "leaf2"]
     in_tree = F.col("n") >= TREE_TOKENS
+    brief = (F.col("n") < MIN_TOKENS) & (F.octet_length("whole") < BRIEF_BYTES)
     # cutting lines into tokens is the costly part; what is counted is kept as hashes
     hashed = stored(
         lines.select(
-            "doc", "tag", "i", "firm", F.xxhash64("whole").alias("h1"), F.xxhash64(F.lit(1), "whole").alias("h2"),
+            "doc", "tag", "i", "firm", brief.alias("brief"), F.xxhash64("whole").alias("h1"), F.xxhash64(F.lit(1), "whole").alias("h2"),
             F.when(in_tree, _leaf(1)).alias("leaf1"), F.when(in_tree, _leaf(2)).alias("leaf2"),
         ),
         "line-hashes",
     )
     whole = ["h1", "h2"]
-    exact = _recurring(hashed, whole, min_docs)
+    everyone = docs.select("doc").distinct().count()
+    exact = _recurring_whole(hashed, everyone, min_docs)
     as_they_are = _dropped(hashed, exact, whole)
 
     longer = lines.where(in_tree).withColumn("leaf1", _leaf(1)).withColumn("leaf2", _leaf(2))
