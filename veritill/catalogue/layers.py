@@ -112,10 +112,11 @@ def s01_malformed(spark, sf):
         .when(group == 1, F.col("InvoiceNo"))
         .otherwise(F.concat_ws(",", "InvoiceNo", "StockCode"))
     )
-    rows = adapters.raw_transactions(spark, sf).select(line.alias("value"))
-    header = spark.createDataFrame([("InvoiceNo,StockCode",)], "value string")
-    # the reader takes a header from every file, so one file has it in front
-    header.unionAll(rows).coalesce(1).write.text(path)
+    rows = adapters.raw_transactions(spark, sf).select(line.alias("InvoiceNo,StockCode"))
+    # each line is one field, below the header that the reader takes from every file; the separator does not occur
+    rows.write.csv(
+        path, header=True, sep="\x01", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
     return files.malformed_rows(spark, path).select("record", F.array_join("fields", ",").alias("fields"))
 
 
