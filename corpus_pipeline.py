@@ -10,8 +10,9 @@ from veritill.llm.common import packed_text, stored, table, unpacked_text
 from veritill.llm.queries import byte_model
 
 
-#: Some fifty words; strings of this length that occur elsewhere too are cut out.
-REPEAT_BYTES = 240
+#: Strings of so many bytes or so many words that occur elsewhere too are cut out.  The words are the rule;
+#: the bytes add long words and scripts without spaces.
+REPEAT_BYTES, REPEAT_WORDS = 240, 51
 
 
 def _shaped(found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without long strings that occur elsewhere too; documents that had nothing else go."""
-    found = suffix_dedup.without_repeats(docs, length=REPEAT_BYTES, keep=_others(docs))
+    found = suffix_dedup.without_repeats(docs, length=REPEAT_BYTES, words=REPEAT_WORDS, keep=_others(docs))
     kept = found.where((F.size("span_starts") == 0) | (F.trim("kept") != "")).withColumnRenamed("kept", "text")
     return _shaped(kept, docs)
 

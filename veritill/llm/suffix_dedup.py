@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,10 @@ HOT_ROWS = 50_000
 
 _FACTOR = 0x9E3779B97F4A7C15
 
+#: White space as ``str.split`` has it: single bytes, and longer characters
+_SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_WIDE_SPACE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
 
 @functools.cache
 def _byte_codes() -> np.ndarray:
@@ -285,8 +290,51 @@ def _compare_hot(parts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeated_spans(df: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, text_column: str = "text") -> DataFrame:
-    """(key, spans) of each text with spans (start, end) whose every string of ``length`` bytes occurs elsewhere too."""
+def short_runs(data: bytes, words: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of ``words`` words in fewer than ``length`` bytes: start, end, identifiers of the run and of its first half."""
+    letters = np.frombuffer(_WIDE_SPACE.sub(lambda m: b" " * len(m[0]), data), dtype=np.uint8)
+    edge = np.diff(np.r_[True, _SPACE[letters], True].astype(np.int8))
+    starts, ends = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+    count = max(0, len(starts) - words + 1)
+    some = np.flatnonzero(ends[len(ends) - count :] - starts[:count] < length)
+    if not len(some):
+        return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=np.uint64),) * 2
+    sums, start, end = prefix_sums(data), starts[some], ends[some + words - 1]
+    return start, end, identifiers(sums, start, end), identifiers(sums, start, ends[some + words // 2 - 1])
+
+
+def _short_repeats(df: DataFrame, text_column: str, words: int, length: int) -> tuple[DataFrame, DataFrame]:
+    """(key, start, end) of runs of ``words`` words in fewer than ``length`` bytes that occur elsewhere too, and all such runs."""
+
+    def work(_, texts):
+        counts: dict[bytes, int] = {}
+        for text in texts:
+            raw = (text or "").encode()
+            counts[raw] = counts.get(raw, 0) + 1
+        out: list[list] = [[] for _ in range(6)]
+        for raw, n in counts.items():
+            start, end, whole, half = short_runs(raw, words, length)
+            for column, values in zip(out[1:], (start, end, whole.view(np.int64), half.view(np.int64))):
+                column.append(values)
+            out[0] += [hashlib.md5(raw).digest()] * len(start)
+            out[5].append(np.full(len(start), n))
+        return [out[0], *(np.concatenate(c) if c else [] for c in out[1:])]
+
+    schema = "key binary, start int, end int, whole bigint, half bigint, n bigint"
+    runs = stored(per_row(df.select(F.col(text_column).alias("body")), ["body"], schema, work), "short-runs")
+    again = stored(
+        runs.groupBy("whole", "half").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("whole", "half"), "short-repeats"
+    )
+    return runs.join(again, ["whole", "half"], "left_semi").select("key", "start", "end"), runs
+
+
+def repeated_spans(
+    df: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM, text_column: str = "text", words: int | None = None
+) -> DataFrame:
+    """(key, spans) of each text with spans (start, end) whose every string of ``length`` bytes occurs elsewhere too.
+
+    With ``words``, strings of so many words count too, however short the words are.
+    """
     chosen = _places(df, text_column, length, gram)
     # stored, so that the join below is one that Spark can split where a bucket is hot
     shared = stored(
@@ -314,13 +362,15 @@ def repeated_spans(df: DataFrame, packed: DataFrame, length: int = LENGTH, gram:
     hot = left.where(F.col("size") > HOT_ROWS).select("bucket", "part", "core")
     usual = left.where(F.col("size") <= HOT_ROWS).select("bucket", "part", "core")
     name = ["bucket", "part", "core"]
-    spans = stored(
-        copies.unionAll(_compare(parts.join(usual, name, "left_semi"), length))
-        .unionAll(_compare_hot(parts.join(hot, name, "left_semi"), length))
-        .groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")),
-        "spans",
+    found = copies.unionAll(_compare(parts.join(usual, name, "left_semi"), length)).unionAll(
+        _compare_hot(parts.join(hot, name, "left_semi"), length)
     )
-    discard(shared, bucketed, told, parts)
+    spent = [shared, bucketed, told, parts]
+    if words:
+        short, runs = _short_repeats(df, text_column, words, length)
+        found, spent = found.unionAll(short), [*spent, runs]
+    spans = stored(found.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+    discard(*spent)
     return spans
 
 
@@ -334,8 +384,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found
 
 
-def _with_spans(df: DataFrame, length: int, id_column: str, text_column: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    spans = repeated_spans(df, _pack(df, id_column, text_column), length, GRAM, text_column)
+def _with_spans(df: DataFrame, length: int, id_column: str, text_column: str, keep: tuple[str, ...] = (), words: int | None = None) -> DataFrame:
+    spans = repeated_spans(df, _pack(df, id_column, text_column), length, GRAM, text_column, words)
     return _pack(df, id_column, text_column, keep).join(spans, "key", "left").select(
         "doc", "data", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"),
         *[F.col(f"kept_{c}").alias(c) for c in keep],
@@ -366,7 +416,8 @@ def removed_digests(df: DataFrame, length: int = LENGTH, id_column: str = "doc_i
 
 
 def without_repeats(
-    df: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()
+    df: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (),
+    words: int | None = None,
 ) -> DataFrame:
     """Per document: its removed spans in bytes and the text that is left; ``keep`` names further columns.
 
@@ -385,4 +436,4 @@ def without_repeats(
 
     schema = f"{id_column} bigint, span_starts array<int>, span_ends array<int>, kept string"
     inputs = ["doc", "data", "starts", "ends"]
-    return per_row(_with_spans(df, length, id_column, text_column, keep), inputs, schema, work, unpacker, keep)
+    return per_row(_with_spans(df, length, id_column, text_column, keep, words), inputs, schema, work, unpacker, keep)
