@@ -27,11 +27,11 @@ def _others(docs: DataFrame, *named: str) -> tuple[str, ...]:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or letters go.  A missing ``lang`` is filled in."""
+    """Documents whose text has a letter, whatever its language.  A missing ``lang`` is filled in where there is a model."""
     model = language_crf.learn(docs, F.col("doc_id").isNotNull())
-    found = language_crf.predict(docs, model, keep=("text", "lang", *_others(docs, "lang")))
-    kept = found.where(F.col("lang_pred") != language_crf.UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred"))
-    return _shaped(kept, docs)
+    found = language_crf.predict(docs, model, keep=("text", "lang", *_others(docs, "lang")), letters_column="has letters")
+    known = F.when(F.col("lang_pred") != language_crf.UNKNOWN, F.col("lang_pred"))
+    return _shaped(found.where("`has letters`").withColumn("lang", F.coalesce("lang", known)), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,12 +148,17 @@ def marginals(emission: np.ndarray, transitions: np.ndarray, lengths: np.ndarray
     return found
 
 
-def fit(sample: list[tuple[str, str]], rounds: int = 40) -> Model | None:
-    """Maximise the likelihood of labelled excerpts; pairs of them are spliced to show switches."""
+def fit(sample: list[tuple], rounds: int = 40) -> Model | None:
+    """Maximise the likelihood of labelled excerpts; pairs of them are spliced to show switches.
+
+    Each is (label, text) or (label, text, whether its start is cut, whether its end is cut).
+    """
     find = word_finder()
     by_label: dict[str, list[list[str]]] = {}
-    for label, text in sample:
-        words = find(text.lower())[1:-1]  # the ends of an excerpt may be cut
+    for label, text, *cut in sample:
+        words = find(text.lower())
+        start, end = cut or (False, False)
+        words = words[int(start) : len(words) - int(end)]  # a word at a cut may be a part
         if words:
             by_label.setdefault(label, []).append(words)
     if not by_label:
@@ -229,9 +234,12 @@ def learn(df: DataFrame, usable: Column, text_column: str = "text", label_column
     """Fit on a bounded sample of the rows with ``usable``, a label and a text."""
     drawn = F.xxhash64(id_column)
     room = F.greatest(F.length(text_column) - excerpt_chars, F.lit(1))
+    start = F.pmod(drawn, room)
     thin = df.where(usable & F.col(text_column).isNotNull() & F.col(label_column).isNotNull()).select(
         F.col(label_column).alias("label"),
-        F.substring(F.col(text_column), F.pmod(drawn, room).cast("int") + 1, F.lit(excerpt_chars)).alias("excerpt"),
+        F.substring(F.col(text_column), start.cast("int") + 1, F.lit(excerpt_chars)).alias("excerpt"),
+        (start > 0).alias("start"),
+        (start + excerpt_chars < F.length(text_column)).alias("end"),
         drawn.alias("drawn"),
     )
     # ranked in parts first, so that a hot label is not ranked in one task
@@ -239,7 +247,7 @@ def learn(df: DataFrame, usable: Column, text_column: str = "text", label_column
     final = Window.partitionBy("label").orderBy("drawn", "excerpt")
     some = thin.withColumn("r", F.row_number().over(part)).where(F.col("r") <= rows_per_label)
     some = some.withColumn("r", F.row_number().over(final)).where(F.col("r") <= rows_per_label)
-    return fit([(r["label"], r["excerpt"]) for r in some.select("label", "excerpt").collect()])
+    return fit([tuple(r) for r in some.select("label", "excerpt", "start", "end").collect()])
 
 
 class Labeller:
@@ -269,14 +277,21 @@ class Labeller:
 
 
 def predict(
-    df: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()
+    df: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (),
+    letters_column: str | None = None,
 ) -> DataFrame:
-    """Language and score of each document; ``keep`` names further columns to pass on."""
+    """Language and score of each document; ``keep`` names further columns to pass on.
+
+    ``letters_column`` names a further column: whether the text has a letter, with a model or without.
+    """
 
     def work(labeller, ids, texts):
-        languages, scores = [UNKNOWN] * len(ids), [0.0] * len(ids)
+        languages, scores, lettered = [UNKNOWN] * len(ids), [0.0] * len(ids), [False] * len(ids)
+        result = [ids, languages, scores, *([lettered] if letters_column else [])]
         if labeller is None:
-            return [ids, languages, scores]
+            find = word_finder()
+            lettered[:] = [bool(letters_column and text and find(text)) for text in texts]
+            return result
         start = 0
         while start < len(texts):  # runs of a bounded number of letters
             end, letters = start, 0
@@ -288,13 +303,13 @@ def predict(
             if len(some):
                 share = np.add.reduceat(found, np.cumsum(lengths[some]) - lengths[some], axis=0) / lengths[some][:, None]
                 for i, best in zip(some, share.argmax(axis=1)):
-                    languages[start + i] = labeller.model.labels[best]
+                    languages[start + i], lettered[start + i] = labeller.model.labels[best], True
                 for i, score in zip(some, share.max(axis=1)):
                     scores[start + i] = min(1.0, float(score))
             start = end
-        return [ids, languages, scores]
+        return result
 
-    schema = f"{id_column} bigint, lang_pred string, score double"
+    schema = f"{id_column} bigint, lang_pred string, score double" + (f", `{letters_column}` boolean" if letters_column else "")
     return per_row(df, [id_column, text_column], schema, work, lambda: Labeller(model) if model else None, keep)
 
 
