@@ -1,7 +1,9 @@
-"""Removal of every byte that lies in a long string occurring elsewhere, by bucket-pointer refinement.
+"""Removal of every byte that lies in a long string occurring elsewhere, by content-chosen anchors.
+
+This takes the place of bucket-pointer refinement, whose bucket identifiers of later offsets are not used here.
 
 The start positions of all strings of ``length`` bytes are sorted into buckets, as far as needed to
-see which strings are equal to another one:
+see which strings are equal to another one, by hashes of their bytes:
 
 * *Initial buckets.*  In every string one q-gram is chosen by content alone (the one with the least
   hash, the leftmost of equals), so equal strings choose equal q-grams at the same offset.  A chosen
