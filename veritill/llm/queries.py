@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritill.llm import ball_tree, language_crf, license_scan, line_templates, minhash, packing, piece_codec, spot_signatures, suffix_dedup, warc
+from veritill.llm import (
+    ball_tree, language_crf, license_scan, line_templates, minhash, packing, piece_codec, resampling, spot_signatures, suffix_dedup,
+    token_alignment, warc,
+)
 from veritill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +74,15 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), byte_model(), piece_model())
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v{part} >> {shift}) & 31)::INT, 1)"
     for part in range(4)
@@ -148,6 +160,8 @@ def registered() -> dict[str, Query]:
         "op8_top_k": op8_top_k,
         "op9_packing": op9_packing,
         "op10_lines": op10_lines,
+        "op11_alignment": op11_alignment,
+        "op12_resampling": op12_resampling,
     }
 
 
