@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritill.llm import (
-    ball_tree, language_crf, license_scan, line_templates, minhash, packing, piece_codec, resampling, spot_signatures, suffix_dedup,
+    ball_tree, language_crf, license_scan, line_templates, minhash, packing, piece_codec, recurrent_lm, resampling, spot_signatures, suffix_dedup,
     token_alignment, warc,
 )
 from veritill.llm.common import table
@@ -83,6 +83,11 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1, F.lit(False))
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"), held_out, ~held_out & F.col("doc_id").isNotNull())
+
+
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v{part} >> {shift}) & 31)::INT, 1)"
     for part in range(4)
@@ -162,6 +167,7 @@ def registered() -> dict[str, Query]:
         "op10_lines": op10_lines,
         "op11_alignment": op11_alignment,
         "op12_resampling": op12_resampling,
+        "op13_recurrent": op13_recurrent,
     }
 
 
