@@ -10,7 +10,7 @@ from veritill import run_pipeline
 from veritill.model import LOADED_AT
 from veritill.operators import cleaning
 from veritill.session import scratch_dir
-from veritill.sources import files, sinks
+from veritill.sources import files, sinks, snapshots
 
 
 @pytest.fixture()
@@ -89,7 +89,7 @@ def test_values_that_do_not_fit_are_reported(spark, tmp_path, as_of):
     odd = tx.selectExpr("* except (UnitPrice)", "if(InvoiceNo = 'I1', double('inf'), UnitPrice) as UnitPrice")
     load = sinks.replace_table(odd, str(tmp_path), "stg_transactions", as_of)
     assert (load.rows, load.unfit) == (3, 1)
-    aside = spark.read.parquet(f"{tmp_path}/rejected_stg_transactions").first()
+    aside = snapshots.read(spark, str(tmp_path), "rejected_stg_transactions").first()
     assert aside["InvoiceNo"] == "I1" and aside["unfit_columns"] == ["UnitPrice"] and aside["UnitPrice"] == float("inf")
 
 
@@ -124,13 +124,13 @@ def test_run(spark, delivery, as_of, rows):
     assert results.groupBy("stage").count().count() == 3
     verdict = spark.read.parquet(f"{out}/report/verdict").first()
     assert verdict["verdict"] == "NEEDS ATTENTION" and verdict["status_code"] == 1
-    history = f"{out}/warehouse/dq_results"
-    assert spark.read.parquet(history).count() == 13
+    history = lambda: snapshots.read(spark, f"{out}/warehouse", "dq_results")
+    assert history().count() == 13
 
     again = run()
     assert again.counts == result.counts
     assert spark.read.parquet(f"{out}/raw/transactions").count() == 9
-    assert spark.read.parquet(history).count() == 13  # the day's results are replaced
+    assert history().count() == 13  # the day's results are replaced
 
 
 def test_empty_delivery(spark, delivery, as_of):

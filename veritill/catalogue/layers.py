@@ -21,7 +21,7 @@ from veritill.operators.quality import STAGE, null_rates
 from veritill.plans.report import counts_table
 from veritill.plans.run import run_pipeline
 from veritill.session import scratch_dir
-from veritill.sources import files, sinks
+from veritill.sources import files, sinks, snapshots
 
 _NEXT_DATE = "2002-01-02"
 
@@ -231,7 +231,7 @@ def k06_unfit(spark, sf):
         "Quantity": F.when(group == 1, F.lit(2.5)).otherwise(F.col("Quantity").cast("double")),
     })
     sinks.replace_table(frames.stored(odd, "odd"), path, "stg_transactions", AS_OF)
-    aside = spark.read.parquet(f"{path}/rejected_stg_transactions")
+    aside = snapshots.read(spark, path, "rejected_stg_transactions")
     named = aside.select(F.explode("unfit_columns").alias("layer")).where(F.col("layer") != "LineTotal")
     return _rows(files.read_table(spark, path, "stg_transactions"), "stg_transactions").unionByName(
         named.groupBy("layer").agg(F.count(F.lit(1)).alias("row_count"))
@@ -346,7 +346,7 @@ def k07(spark, sf):
     rules = null_rates(tx, "stg_transactions", ["CustomerID"])
     for day in (RUN_DATE, RUN_DATE, _NEXT_DATE):
         sinks.append_dq_results(dq_table(run_rules(tx, rules, STAGE, AS_OF, day)), path)
-    history = spark.read.parquet(f"{path}/dq_results").groupBy("run_date", "table", "check")
+    history = snapshots.read(spark, path, "dq_results").groupBy("run_date", "table", "check")
     return plain(history.agg(F.count(F.lit(1)).alias("row_count")))
 
 
@@ -367,7 +367,7 @@ def k07_rerun(spark, sf):
     rules = null_rates(tx, "stg_transactions", ["CustomerID"])
     for day in (RUN_DATE, _NEXT_DATE, RUN_DATE):
         sinks.replace_dq_results(dq_table(run_rules(tx, rules, STAGE, AS_OF, day)), path, day)
-    history = spark.read.parquet(f"{path}/dq_results").groupBy("run_date", "table", "check")
+    history = snapshots.read(spark, path, "dq_results").groupBy("run_date", "table", "check")
     return plain(history.agg(F.count(F.lit(1)).alias("row_count")))
 
 
@@ -391,6 +391,55 @@ def k08(spark, sf):
     return _union([_rows(files.read_table(spark, path, name), name) for name in counts])
 
 
+@query(
+    "k06_previous_version",
+    with_ctes(
+        """SELECT 'previous' AS version, "Country", COUNT(*) AS row_count FROM clean_cu GROUP BY ALL
+           UNION ALL SELECT 'current', "Country", COUNT(*) FROM clean_cu WHERE CAST("CustomerID" AS BIGINT) % 3 = 0 GROUP BY ALL""",
+        "clean_cu",
+    ),
+)
+def k06_previous(spark, sf):
+    """After a load that replaces a table, the table as of the version before and as it is now."""
+    path, cu = scratch_dir(spark, "warehouse"), frames.stored(frames.clean_cu(spark, sf), "customers")
+    sinks.replace_table(cu, path, "stg_customers", "2001-12-31 00:00:00")
+    before = snapshots.current(spark, path).number
+    sinks.replace_table(cu.where(F.col("CustomerID").cast("bigint") % 3 == 0), path, "stg_customers", AS_OF)
+    parts = [("previous", before), ("current", None)]
+    return _union([
+        files.read_table(spark, path, "stg_customers", version).groupBy(F.lit(name).alias("version"), "Country").agg(
+            F.count(F.lit(1)).alias("row_count"))
+        for name, version in parts
+    ])
+
+
+@query(
+    "k08_stopped_load",
+    with_ctes(
+        """SELECT 'stg_customers' AS layer, '2001-12-31 00:00:00' AS loaded_at, COUNT(*) AS row_count FROM clean_cu
+           UNION ALL SELECT 'stg_transactions', '2001-12-31 00:00:00', COUNT(*) FROM clean_tx
+           UNION ALL SELECT 'fct_transactions', '2001-12-31 00:00:00', COUNT(*) FROM fact""",
+        "fact",
+    ),
+)
+def k08_stopped(spark, sf):
+    """A second load of all tables that dies while it writes one of them: every table is the one of the first load, whole."""
+    path = scratch_dir(spark, "warehouse")
+    tx, cu, fact = frames.stored_layers(spark, sf)
+    sinks.load_all(cu, tx, fact, path, "2001-12-31 00:00:00")
+    dies = F.when(F.col("InvoiceNo").cast("bigint") % 5 == 0, F.raise_error(F.lit("stopped"))).otherwise(F.col("Country"))
+    try:
+        sinks.load_all(cu, tx.withColumn("Country", dies), fact, path, AS_OF)
+    except Exception as stopped:
+        if "stopped" not in str(stopped):
+            raise
+    return _union([
+        files.read_table(spark, path, name).groupBy(F.lit(name).alias("layer"), F.col(LOADED_AT).cast("string").alias("loaded_at"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        for name in ("stg_customers", "stg_transactions", "fct_transactions")
+    ])
+
+
 @query(
     "k10_typed_tables",
     with_ctes(

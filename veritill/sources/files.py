@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritill.model import HOLIDAY_COUNTRIES, ROW_ID, TABLE_SCHEMAS
+from veritill.sources import snapshots
 
 # Texts that CSV exports use for a missing value.
 MISSING_TEXTS = (
@@ -202,7 +203,7 @@ def with_day(fact: DataFrame) -> DataFrame:
     return fact.withColumn("date", F.to_date("InvoiceDate"))
 
 
-def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """A warehouse table under its declared schema, with the load time."""
+def read_table(spark: SparkSession, warehouse: str, table: str, version: int | None = None) -> DataFrame:
+    """A warehouse table under its declared schema, with the load time; as of an earlier version if one is named."""
     schema = T.StructType(TABLE_SCHEMAS[table].fields + [T.StructField("_loaded_at", T.TimestampType())])
-    return spark.read.schema(schema).parquet(f"{warehouse}/{table}")
+    return snapshots.read(spark, warehouse, table, version, schema=schema)

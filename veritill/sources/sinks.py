@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import partial
 from typing import NamedTuple, TypeVar
 
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from veritill.functions import as_timestamp
 from veritill.model import LOADED_AT, TABLE_SCHEMAS
+from veritill.sources import snapshots
 
 
 T_ = TypeVar("T_")
@@ -143,9 +144,22 @@ def _misfits(df: DataFrame, schema: T.StructType) -> Column:
     return F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
 
 
-def _load(df: DataFrame, warehouse: str, table: str, mode: str, loaded_at, partition_by=()) -> Load:
+def _stage(df: DataFrame, warehouse: str, table: str, key: str | None = None) -> snapshots.Part:
+    """Write rows into a new part of a table; no reader sees it before it is published."""
+    path = snapshots.new_part(warehouse, table)
+    rows = _write(df, path, "errorifexists")
+    return snapshots.Part(path.rsplit("/", 1)[1], rows, df.schema.json(), key)
+
+
+class _Staged(NamedTuple):
+    load: Load
+    changes: dict[str, snapshots.Change]
+
+
+def _staged(df: DataFrame, warehouse: str, table: str, operation: str, loaded_at) -> _Staged:
+    """Typed rows and the ones set aside, written but not published; an empty frame changes nothing."""
     if df.isEmpty():
-        return Load(0, 0)
+        return _Staged(Load(0, 0), {})
     schema = TABLE_SCHEMAS[table]
     marked = df.withColumn("unfit_columns", _misfits(df, schema))
     typed = conform(marked.where(F.size("unfit_columns") == 0), schema)
@@ -153,42 +167,49 @@ def _load(df: DataFrame, warehouse: str, table: str, mode: str, loaded_at, parti
     if loaded_at is not None:
         typed = typed.withColumn(LOADED_AT, as_timestamp(loaded_at))
         aside = aside.withColumn(LOADED_AT, as_timestamp(loaded_at))
-    return Load(
-        *in_parallel(
-            lambda: _write(typed, f"{warehouse}/{table}", mode, partition_by, dynamic=False),
-            lambda: _write(aside, f"{warehouse}/rejected_{table}", mode),
-        )
+    parts = in_parallel(
+        lambda: _stage(typed, warehouse, table), lambda: _stage(aside, warehouse, f"rejected_{table}")
     )
+    changes = {t: snapshots.Change(operation, (part,)) for t, part in zip((table, f"rejected_{table}"), parts)}
+    return _Staged(Load(*(part.rows for part in parts)), changes)
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def _publish(df: DataFrame, warehouse: str, staged: _Staged, loaded_at) -> Load:
+    if staged.changes:
+        snapshots.publish(df.sparkSession, warehouse, staged.changes, loaded_at or _now())
+    return staged.load
 
 
 def replace_table(df: DataFrame, warehouse: str, table: str, loaded_at: str | datetime) -> Load:
     """K6: replace a warehouse table, stamped with the load time; an empty frame changes nothing.
 
+    The old rows are read until the new ones are complete, and stay readable as the version before.
     Pass a stored layer: the emptiness probe then reads one row group, not a whole plan.
     """
-    return _load(df, warehouse, table, "overwrite", loaded_at)
+    return _publish(df, warehouse, _staged(df, warehouse, table, "replace", loaded_at), loaded_at)
 
 
-def append_table(
-    df: DataFrame,
-    warehouse: str,
-    table: str,
-    loaded_at: str | datetime | None = None,
-    partition_by: tuple[str, ...] = (),
-) -> Load:
-    """K7: add rows without touching the ones already there."""
-    return _load(df, warehouse, table, "append", loaded_at, partition_by)
+def append_table(df: DataFrame, warehouse: str, table: str, loaded_at: str | datetime | None = None) -> Load:
+    """K7: add rows without touching the ones already there; all of them appear, or none."""
+    return _publish(df, warehouse, _staged(df, warehouse, table, "append", loaded_at), loaded_at)
 
 
 def replace_dq_results(results: DataFrame, warehouse: str, run_date: str) -> int:
     """The check history with one set of results per run date: a second run of a day replaces its own."""
     dated = conform(results, TABLE_SCHEMAS["dq_results"]).where(F.col("run_date") == F.lit(run_date).cast("date"))
-    return _write(dated, f"{warehouse}/dq_results", "overwrite", ("run_date",))
+    part = _stage(dated, warehouse, "dq_results", run_date)
+    parts = (part,) if part.rows else ()
+    snapshots.publish(results.sparkSession, warehouse, {"dq_results": snapshots.Change("replace_key", parts, run_date)}, _now())
+    return part.rows
 
 
 def append_dq_results(results: DataFrame, warehouse: str) -> Load:
-    """K7 for the check history, kept by run date."""
-    return append_table(results, warehouse, "dq_results", partition_by=("run_date",))
+    """K7 for the check history."""
+    return append_table(results, warehouse, "dq_results")
 
 
 def load_all(
@@ -201,12 +222,17 @@ def load_all(
 ) -> dict[str, int]:
     """K8: replace every warehouse table and return the rows loaded; no calendar, no entry for it.
 
+    All tables are published as one version: readers see the old ones together, then the new ones.
     Rows set aside because a value does not fit are counted under ``<table>_unfit``.
     """
     frames = {"stg_customers": customers, "stg_transactions": transactions, "fct_transactions": fact}
     if holidays is not None:
         frames["dim_holidays"] = holidays
-    loads = in_parallel(*[partial(replace_table, df, warehouse, t, loaded_at) for t, df in frames.items()])
+    staged = in_parallel(*[partial(_staged, df, warehouse, t, "replace", loaded_at) for t, df in frames.items()])
+    changes = {table: change for one in staged for table, change in one.changes.items()}
+    if changes:
+        snapshots.publish(fact.sparkSession, warehouse, changes, loaded_at)
+    loads = [one.load for one in staged]
     counts = {t: load.rows for t, load in zip(frames, loads)}
     unfit = {f"{t}_unfit": load.unfit for t, load in zip(frames, loads) if load.unfit}
     return {t: n for t, n in counts.items() if n or t != "dim_holidays"} | unfit
