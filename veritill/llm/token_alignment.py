@@ -20,7 +20,9 @@ as a document; a null id stays null; an empty table gives no rows; other columns
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritill.llm.common import STEP_ROWS, ChunkTable, per_row, stored
-from veritill.llm.packing import ByteCodec
+from veritill.llm.packing import _RUN, ByteCodec
 from veritill.llm.piece_codec import MARK, PieceCodec, chunks_of
 
 #: Pairs that hold more than one in so many counts are looked up inside the tasks.
@@ -46,23 +48,23 @@ class Pieces(PieceCodec):
             self.bytes_of.append(bytes([int(text[3:5], 16)]) if self.model.is_byte(piece) else text.replace(MARK, " ").encode())
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
 
-    def _encode(self, chunks: list[str]) -> list[tuple[bytes, bool]]:
-        found = []
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk; nothing for one that they do not give back."""
+        found, bytes_of = [], self.bytes_of
         for chunk, ids in zip(chunks, self.model.encode(chunks, num_threads=1)):
             ids = ids if chunk else [self.mark_id]
-            whole = b"".join([self.bytes_of[i] for i in ids]) == b" " + chunk.encode()
-            found.append((np.array(ids, "<u4").tobytes(), whole))
+            whole = b"".join([bytes_of[i] for i in ids]) == b" " + chunk.encode()
+            found.append(struct.pack(f"<{len(ids)}I", *ids) if whole else b"")
         return found
 
     def ids(self, texts: list[str]) -> list[np.ndarray | None]:
         """Ids of each text; None where their bytes are not those of a space and the text."""
         cut = [[] if MARK in text else chunks_of(text) for text in texts]
         self.table.admit(set().union(*cut) if cut else set())
-        found: list[np.ndarray | None] = []
+        table, found = self.table, []
         for words in cut:
-            parts = [self.table[word] for word in words]
-            whole = bool(parts) and all([part[1] for part in parts])
-            found.append(np.frombuffer(b"".join([part[0] for part in parts]), "<u4") if whole else None)
+            parts = [table[word] for word in words]
+            found.append(np.frombuffer(b"".join(parts), "<u4") if parts and b"" not in parts else None)
         return found
 
 
@@ -96,7 +98,7 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, in
     while True:
         # double the probe as long as the ends agree at this shift, then halve it
         step = 1
-        while i < n and ends_a[i : i + step] == ends_b[i + shift : i + shift + step]:
+        while i < n and ends_a[i] == ends_b[i + shift] and ends_a[i : i + step] == ends_b[i + shift : i + shift + step]:
             i += step
             step *= 2
         if i >= n:
@@ -130,52 +132,82 @@ def _outside(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 
 
 class _Shown(dict):
-    """Text of a pair by its number; emptied when it is full."""
+    """Texts of groups, each made once; emptied when it is full."""
 
-    def __init__(self, kinds: int, most: int = 500_000) -> None:
+    def __init__(self, make: Callable[..., str], most: int = 500_000) -> None:
         super().__init__()
-        self.kinds, self.most = kinds, most
+        self.make, self.most = make, most
 
-    def __missing__(self, pair: int) -> str:
+    def __missing__(self, group) -> str:
         if len(self) >= self.most:
             self.clear()
-        self[pair] = text = f"{pair // self.kinds}|{pair % self.kinds}"
+        self[group] = text = self.make(group)
         return text
 
 
+def _ids(packed: bytes) -> str:
+    return ",".join(map(str, memoryview(packed).cast("I")))
+
+
 class Aligner:
     """Both codecs of one task."""
 
     def __init__(self, byte_model: tuple[str, str, str], piece_model: str) -> None:
         self.a, self.b = Bytes(*byte_model), Pieces(piece_model)
         self.kinds = len(self.b.lengths)
-        self.shown = _Shown(self.kinds)
+        self.words = ChunkTable(self._both)
+        self.matches = _Shown(lambda pair: f"{pair // self.kinds}|{pair % self.kinds}")
+        self.others = _Shown(lambda group: "|".join(map(_ids, group)))
+
+    def _both(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        return list(zip(self.a._encode([" " + word for word in words]), self.b._encode(words)))
+
+    def _ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids on both sides; None where the piece model does not give the text back.
+
+        Both models cut before a single space between two words, so most texts are cut once for both.
+        """
+        found: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
+        plain = [i for i, text in enumerate(texts) if text and " " not in (text[0], text[-1]) and MARK not in text and not _RUN.search(text)]
+        cut = [texts[i].split(" ") for i in plain]
+        self.words.admit(set().union(*cut) if cut else set())
+        table = self.words
+        for i, words in zip(plain, cut):
+            parts_a, parts_b = zip(*[table[word] for word in words])
+            if b"" not in parts_b:
+                found[i] = np.frombuffer(b"".join(parts_a), "<u4"), np.frombuffer(b"".join(parts_b), "<u4")
+        rest = sorted({i for i, text in enumerate(texts) if text}.difference(plain))
+        own = [texts[i] for i in rest]
+        for i, a, b in zip(rest, self.a.ids(own), self.b.ids(own)):
+            found[i] = None if b is None else (a, b)
+        return found
 
     def pairs(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], list[int]] | None]:
         """Ids and ends on both sides; None for a text without tokens."""
-        for text, a, b in zip(texts, self.a.ids(texts), self.b.ids(texts)):
-            n = len(text.encode()) + 1
-            if b is None or not text or self.a.lengths[a].sum() != n or self.b.lengths[b].sum() != n:
+        for text, found in zip(texts, self._ids(texts)):
+            if found is None:
                 yield None
-            else:
-                yield a, b, self.a.lengths[a].cumsum().tolist(), self.b.lengths[b].cumsum().tolist()
+                continue
+            a, b = found
+            ends_a, ends_b = self.a.lengths[a].cumsum().tolist(), self.b.lengths[b].cumsum().tolist()
+            yield (a, b, ends_a, ends_b) if ends_a[-1] == ends_b[-1] == len(text.encode()) + 1 else None
 
     def groups(self, a: np.ndarray, b: np.ndarray, ends_a: list[int], ends_b: list[int]):
         """Groups as text, their number, and the linked ids as (number of the pair, how often)."""
         irregular, left, right = align(ends_a, ends_b)
+        packed_a, packed_b = a.tobytes(), b.tobytes()
         a, b = a.astype(np.int64), b.astype(np.int64)
-        bounds = np.array(irregular, np.int64).reshape(-1, 4)
+        bounds = np.fromiter(chain.from_iterable(irregular), np.int64, 4 * len(irregular)).reshape(-1, 4)
         alone_a, alone_b = (_outside(bounds[:, k], bounds[:, k + 1], len(ids)) for k, ids in ((0, a), (2, b)))
         matched = a[alone_a] * self.kinds + b[alone_b]
         linked, times = np.unique(np.concatenate([matched, a[left] * self.kinds + b[right]]), return_counts=True)
-        single = [self.shown[pair] for pair in matched.tolist()]
+        single = list(map(self.matches.__getitem__, matched.tolist()))
         parts: list[str] = []
-        at, before = 0, 0
-        ids_a, ids_b = a.tolist(), b.tolist()
+        at, before, others = 0, 0, self.others
         for from_a, to_a, from_b, to_b in irregular:
             between = from_a - before
             parts += single[at : at + between]
-            parts.append(f"{','.join(map(str, ids_a[from_a:to_a]))}|{','.join(map(str, ids_b[from_b:to_b]))}")
+            parts.append(others[packed_a[4 * from_a : 4 * to_a], packed_b[4 * from_b : 4 * to_b]])
             at, before = at + between, to_a
         parts += single[at:]
         return ";".join(parts), len(parts), linked, times
