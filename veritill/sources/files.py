@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from veritill.model import HOLIDAY_COUNTRIES, ROW_ID, TABLE_SCHEMAS
 from veritill.sources import snapshots
+from veritill.sources.quoted_csv import read_quoted
 
 # Texts that CSV exports use for a missing value.
 MISSING_TEXTS = (
@@ -66,7 +67,7 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False, as_deliver
     The header names the columns, so the name checks see what was really delivered.  ``_row_id``
     orders rows by file name, then block, then position, whatever order Spark packs the splits
     in; the folder only enters as a hash, as the column travels through the cleaning shuffle.
-    ``multiline`` accepts line breaks inside quotes, at the price of unsplittable files.
+    ``multiline`` accepts line breaks inside quotes; such files are read by many tasks too.
     ``as_delivered`` leaves texts that stand for a missing value as they are.
     """
     raw = (
@@ -77,6 +78,9 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False, as_deliver
         .csv(path)
     )
     names = raw.columns
+    if multiline:
+        found = read_quoted(spark, path, names, ROW_ID)
+        return found if as_delivered else mark_missing(found)
     position = F.struct(
         F.col("_metadata.file_name").alias("file"),
         F.xxhash64("_metadata.file_path").alias("folder"),
