@@ -69,6 +69,16 @@ def test_archive_awkward_rows(spark):
     assert warc.resolve(warc.read(spark, warc.export(*warc.store(empty)))).collect() == []
 
 
+def test_one_page_with_two_payloads(spark):
+    rows = [(1, "u", "a"), (1, "u", "b"), (0, "u", "b"), (-1, "u", "a")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = warc.resolve(warc.read(spark, warc.export(*warc.store(df)))).collect()
+    digests = {text: warc.base64.b32encode(warc.hashlib.sha1(text.encode()).digest()).decode() for text in "ab"}
+    assert sorted((r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"] or 9) for r in found) == sorted(
+        [(1, digests["a"], "response", 9), (1, digests["b"], "response", 9), (0, digests["b"], "revisit", 1), (-1, digests["a"], "revisit", 1)]
+    )
+
+
 def test_small_payloads_are_no_revisits(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id bigint, url string, html string")
     found = warc.resolve(warc.read(spark, warc.export(*warc.store(df, min_bytes=5)))).collect()

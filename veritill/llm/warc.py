@@ -11,7 +11,8 @@ response and holds the bytes; the others are revisits that refer to it.
 
 Cases: a null payload is empty; a null or broken address leaves its header line out or loses its
 line breaks; rows with the same id and payload as the response are responses too (their bytes are
-stored once); an id of null is never preferred; an empty table gives an archive without records;
+stored once); rows with one id and different payloads are records of their own, each referred to by
+the revisits of its payload; an id of null is never preferred; an empty table gives an archive without records;
 other columns are ignored.
 """
 
@@ -195,10 +196,12 @@ def resolve(found: DataFrame) -> DataFrame:
         "warc-read",
     )
     responses = thin.where(F.col("record_type") == "response")
-    source = responses.where(F.col("page_id").isNotNull()).groupBy(F.col("page_id").alias("source")).agg(
-        F.max("bytes").alias("source_bytes"), F.max("digest").alias("source_digest")
+    # pages with one id may differ, so a source is known by its id and digest
+    source = responses.where(F.col("page_id").isNotNull()).groupBy(F.col("page_id").alias("source"), F.col("digest").alias("source_digest")).agg(
+        F.max("bytes").alias("source_bytes")
     )
-    revisits = thin.where(F.col("record_type") == "revisit").join(source, F.col("refers_to") == F.col("source"), "left")
+    found_at = (F.col("refers_to") == F.col("source")) & (F.col("stated_digest") == F.col("source_digest"))
+    revisits = thin.where(F.col("record_type") == "revisit").join(source, found_at, "left")
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "stated_digest")
     everything = responses.select("page_id", "bytes", "digest", "record_type", "refers_to", "stated_digest").toDF(*columns).unionAll(
         revisits.select("page_id", "source_bytes", "source_digest", "record_type", "refers_to", "stated_digest").toDF(*columns)
