@@ -216,6 +216,41 @@ def test_marginals_are_those_of_all_paths():
             start += n
 
 
+def test_transition_gradient_against_differences():
+    """The likelihood by enumerating all paths, with a uniform label before the first word."""
+    import itertools
+
+    draw = np.random.default_rng(4)
+    lengths, labels = np.array([6, 1, 3]), 3
+    emission, moves = draw.normal(0, 1, (10, labels)), draw.normal(0, 1, (labels, labels))
+    gold = draw.integers(0, labels, 10)
+
+    def likelihood(t):
+        total, at = 0.0, 0
+        for n in lengths:
+            own = emission[at:at + n]
+            weights = {
+                path: np.exp(sum(own[i, y] for i, y in enumerate(path)) + sum(t[a, b] for a, b in zip(path, path[1:])))
+                * np.exp(t[:, path[0]]).sum()
+                for path in itertools.product(range(labels), repeat=int(n))
+            }
+            total += np.log(weights[tuple(gold[at:at + n])] / sum(weights.values()))
+            at += n
+        return total
+
+    for run in (language_crf.RUN, 2):
+        language_crf.RUN, before = run, language_crf.RUN
+        expected = np.zeros((labels, labels))
+        language_crf.marginals(emission, moves, lengths, expected)
+        language_crf.RUN = before
+        slope = language_crf.transition_slope(moves, gold, lengths, expected)
+        for a in range(labels):
+            for b in range(labels):
+                step = np.zeros_like(moves)
+                step[a, b] = 1e-5
+                assert abs((likelihood(moves + step) - likelihood(moves - step)) / 2e-5 - slope[a, b]) < 1e-6
+
+
 def test_language_on_held_out_rows(spark, sf):
     truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
     held = op6_language(spark, sf).where("held_out").join(truth, "doc_id")

@@ -92,11 +92,15 @@ def _runs(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, first, np.minimum(RUN, lengths[doc] - nth * RUN)
 
 
-def marginals(emission: np.ndarray, transitions: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def marginals(
+    emission: np.ndarray, transitions: np.ndarray, lengths: np.ndarray, moves: np.ndarray | None = None
+) -> np.ndarray:
     """Label probabilities of every word; ``emission`` has the words of all texts one after the other.
 
     Runs are worked on side by side.  A first pass multiplies up the transfer matrix of each run;
     these carry forward and backward vectors across the runs of a text; a second pass fills in.
+    ``moves`` (label, label) has the expected number of each transition added to it, those from the
+    uniform start of every text included.
     """
     labels = emission.shape[1]
     doc, first, size = _runs(lengths)
@@ -138,6 +142,10 @@ def marginals(emission: np.ndarray, transitions: np.ndarray, lengths: np.ndarray
         forward[t] = vector
     vector = after
     for t in range(steps - 1, -1, -1):
+        if moves is not None:
+            earlier = forward[t - 1] if t else before
+            joint = earlier[:, :, None] * move * (likely[t] * vector)[:, None, :]
+            moves += (joint / joint.sum(axis=(1, 2), keepdims=True))[there[t]].sum(axis=0)
         own = forward[t] * vector
         forward[t] = own / own.sum(axis=1, keepdims=True)
         stepped = (vector * likely[t]) @ move.T
@@ -148,6 +156,20 @@ def marginals(emission: np.ndarray, transitions: np.ndarray, lengths: np.ndarray
     return found
 
 
+def transition_slope(transitions: np.ndarray, gold: np.ndarray, lengths: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Gradient of the log-likelihood of the gold labels for the transitions: observed less expected ones.
+
+    A text starts from all labels alike, so its first label counts for each start by that start's share.
+    """
+    starts = np.cumsum(lengths) - lengths
+    later = np.setdiff1d(np.arange(len(gold)), starts)
+    observed = np.zeros_like(transitions)
+    np.add.at(observed, (gold[later - 1], gold[later]), 1.0)
+    share = np.exp(transitions - transitions.max())
+    share /= share.sum(axis=0)
+    return observed + share * np.bincount(gold[starts], minlength=len(transitions)) - expected
+
+
 def fit(sample: list[tuple], rounds: int = 40) -> Model | None:
     """Maximise the likelihood of labelled excerpts; pairs of them are spliced to show switches.
 
@@ -191,9 +213,6 @@ def fit(sample: list[tuple], rounds: int = 40) -> Model | None:
     vocabulary: dict[str, int] = {}
     token = np.array([vocabulary.setdefault(word, len(vocabulary)) for s in sequences for word, _ in s])
     gold = np.array([label for s in sequences for _, label in s])
-    same = np.ones(len(token), dtype=bool)
-    same[np.cumsum(lengths)[:-1]] = False
-    same[0] = False
 
     words = list(vocabulary)
     active = features(words)
@@ -204,7 +223,8 @@ def fit(sample: list[tuple], rounds: int = 40) -> Model | None:
     scale = 1.0 / len(token)
     for _ in range(rounds):
         emission = model.emissions(words)[token]
-        found = marginals(emission, model.transitions, lengths)
+        expected = np.zeros_like(model.transitions)
+        found = marginals(emission, model.transitions, lengths, expected)
         gap = (wanted - found) * scale
         by_word = np.stack([np.bincount(token, gap[:, j], len(words)) for j in range(len(labels))], axis=1)
         spread = np.stack([
@@ -213,13 +233,7 @@ def fit(sample: list[tuple], rounds: int = 40) -> Model | None:
         spread[0] = 0
         by_set = np.zeros_like(model.lexicon_weights)
         np.add.at(by_set, member, by_word)
-        # expected transitions, from neighbouring marginals
-        now = np.flatnonzero(same)
-        joint = found[now - 1][:, :, None] * np.exp(model.transitions)[None] * found[now][:, None, :]
-        joint /= joint.sum(axis=(1, 2), keepdims=True)
-        moved = np.zeros_like(model.transitions)
-        np.add.at(moved, (gold[now - 1], gold[now]), 1.0)
-        moved = (moved - joint.sum(axis=0)) * scale
+        moved = transition_slope(model.transitions, gold, lengths, expected) * scale
         for weight, slope, past, decay in zip(
             (model.weights, model.lexicon_weights, model.transitions), (spread, by_set, moved), grown, (1e-7, 1e-7, 1e-5)
         ):
