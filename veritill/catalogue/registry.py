@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("layers", "raw_checks", "cleaning", "enrichment", "views", "quality", "anomalies", "reports")
+_MODULES = ("layers", "raw_checks", "cleaning", "enrichment", "views", "quality", "anomalies", "reports", "upkeep")
 
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
