@@ -51,10 +51,40 @@ def test_no_task_gets_more_than_bins(spark):
     """What leaves a task is one row per bin and rank."""
     df = spark.range(0, 50_000, 1, 4).selectExpr("cast(id * 7919 % 50021 as double) as v")
     open_ = [quantile_search._Search("v", 10, 0.0, 50_020.0, 0)]
-    found = quantile_search._narrowed(df, open_, 64)[0]
+    found = quantile_search._narrowed(df.selectExpr("'v' as column", "v as value", "1L as n"), open_, 64)[0]
     assert found.high - found.low <= 50_020 / 64 + 1 and found.below == 0
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 20])
+def test_quantiles_scan_their_input_twice(spark, monkeypatch, accuracy):
+    """However coarse the sketch; and what the brackets leave is a small part of the rows."""
+    monkeypatch.setattr(quantile_search, "ACCURACY", accuracy)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 30_000, 1, 4).selectExpr("cast(id * 7919 % 30011 as double) as v", "cast(id % 7 as double) as w")
+    expected = {(c, q): np.quantile(df.toPandas()[c], q) for c in ("v", "w") for q in QS}
+    got = quantiles(df.mapInArrow(count, df.schema), ["v", "w"], bins=32)
+    assert got == {key: pytest.approx(value) for key, value in expected.items()}
+    assert seen.value == 2 * 30_000
+
+
+def test_brackets_that_miss_their_rank(spark, monkeypatch):
+    """A wrong sketch costs a third scan, not a wrong value."""
+    right = quantile_search.sketched
+
+    def wrong(*args):
+        return {c: s._replace(brackets=[(s.high, s.high) for _ in s.brackets]) for c, s in right(*args).items()}
+
+    monkeypatch.setattr(quantile_search, "sketched", wrong)
+    df = spark.range(0, 1000, 1, 4).selectExpr("cast(id as double) as v")
+    assert quantiles(df, ["v"]) == {("v", q): pytest.approx(q * 999) for q in QS}
+
+
 def test_sums_keep_large_amounts(spark):
     rows = [("A", 2e10), ("A", 10.0), ("B", None)]
     fact = spark.createDataFrame(rows, "Country string, LineTotal double")

@@ -12,7 +12,8 @@ from veritill.functions import as_timestamp, at_scale, number, rate
 from veritill.model import HOUR_BINS, ROW_ID, WEEKDAYS
 from veritill.operators.anomalies import daily_counts
 from veritill.operators.checks import surplus_rows
-from veritill.operators.quantiles import exact_quantiles
+from veritill.operators.quantiles import exact_quantiles, quantile_values, sketched
+from veritill.session import scratch_dir
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -30,10 +31,11 @@ def _mean(total: Column, n: Column, digits: int) -> Column:
 def kpis(fact: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     """One row of headline figures; guests are rows without a known customer.
 
-    Rows are summed up per customer first, so that the distinct count is a plain one and no row is
-    copied for a second count.  ``rejected`` adds the number of rejected rows.
+    One pass: rows are summed up per customer and country, and these groups are stored; both distinct
+    counts are plain ones over them, so no row is copied for a second count.  ``rejected`` adds the
+    number of rejected rows.
     """
-    per_customer = fact.groupBy("CustomerID").agg(
+    groups = fact.groupBy("CustomerID", "Country").agg(
         _rows().alias("n"),
         F.sum(_money()).alias("revenue"),
         F.count("LineTotal").alias("orders"),
@@ -42,7 +44,12 @@ def kpis(fact: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
         F.min("InvoiceDate").alias("first"),
         F.max("InvoiceDate").alias("last"),
     )
-    countries = fact.select("Country").distinct().agg(F.count("Country").alias("countries"))
+    folder = scratch_dir(fact.sparkSession, "customer-countries")
+    groups.write.parquet(folder)
+    stored = fact.sparkSession.read.schema(groups.schema).parquet(folder)
+    sums = [F.sum(c).alias(c) for c in ("n", "revenue", "orders", "cancelled", "guests")]
+    per_customer = stored.groupBy("CustomerID").agg(*sums, F.min("first").alias("first"), F.max("last").alias("last"))
+    countries = stored.select("Country").distinct().agg(F.count("Country").alias("countries"))
     n = F.coalesce(F.sum("n"), F.lit(0))
     figures = per_customer.agg(
         n.alias("tx_rows"),
@@ -123,7 +130,8 @@ def weekday_hours(df: DataFrame, date_col: str = "InvoiceDate") -> DataFrame:
 def histogram(df: DataFrame, value: Column, bins: int, low: float | None = None, high: float | None = None) -> DataFrame:
     """Equal-width bins over the range of the (clipped) finite values, empty bins included.
 
-    The last bin is closed on both sides; a constant column gets a range of width one.
+    The last bin is closed on both sides; a constant column gets a range of width one.  The input is
+    scanned once; its one column is stored for the range and the counts.
     """
     x = value.cast("double")
     if low is not None:
@@ -131,7 +139,9 @@ def histogram(df: DataFrame, value: Column, bins: int, low: float | None = None,
     if high is not None:
         x = F.least(x, F.lit(float(high)))
     finite = value.isNotNull() & ~F.isnan(value.cast("double")) & (F.abs(value.cast("double")) < float("inf"))
-    xs = df.select(F.when(finite, x).alias("x")).where(F.col("x").isNotNull())
+    folder = scratch_dir(df.sparkSession, "histogram")
+    df.select(F.when(finite, x).alias("x")).where(F.col("x").isNotNull()).write.parquet(folder)
+    xs = df.sparkSession.read.schema("x double").parquet(folder)
 
     flat = F.min("x") == F.max("x")
     ends = F.struct(
@@ -221,28 +231,16 @@ def duplicate_profile(transactions: DataFrame, customers: DataFrame) -> DataFram
 
 def describe(df: DataFrame, columns: Sequence[str] = ("UnitPrice", "Quantity")) -> DataFrame:
     """Count, mean, deviation, minimum, exact quartiles and maximum, to two places."""
-    columns = list(columns)
-
-    def figures(c: str) -> Column:
-        x = number(F.col(c), text=False)
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.count(x).alias("row_count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            F.max(x).alias("max"),
-        )
-
-    basic = df.agg(F.array(*[figures(c) for c in columns]).alias("f")).select(F.inline("f"))
-    quartiles = (
-        exact_quantiles(df.select(*columns), columns, [0.25, 0.5, 0.75])
-        .groupBy("column")
-        .agg(*[F.max(F.when(F.col("quantile") == q, F.col("value"))).alias(n) for n, q in _QUARTILES.items()])
-    )
-    joined = basic.join(quartiles, "column", "left")
+    columns, digits = list(columns), "mean double, std double, p25 double, p50 double, p75 double, min double, max double"
+    sketches = sketched(df, columns, list(_QUARTILES.values()), {"mean": F.avg, "std": F.stddev_samp})
+    values = quantile_values(df, list(_QUARTILES.values()), {c: s for c, s in sketches.items() if s.n})
+    rows = [
+        (c, s.n, s.others["mean"], s.others["std"], *[values.get((c, q)) for q in _QUARTILES.values()], s.low, s.high)
+        for c, s in sketches.items()
+    ]
+    found = df.sparkSession.createDataFrame(rows, f"column string, row_count bigint, {digits}")
     names = ("mean", "std", "min", "p25", "p50", "p75", "max")
-    return joined.select("column", "row_count", *[F.round(n, 2).alias(n) for n in names])
+    return found.select("column", "row_count", *[F.round(n, 2).alias(n) for n in names])
 
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
