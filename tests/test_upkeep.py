@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from veritill.operators import deliveries
+from veritill.operators import deliveries, rollups
 from veritill.operators.cleaning import keep_first
 from veritill.operators.enrich import build_fact
 from veritill.plans import fact_upkeep
@@ -138,3 +138,34 @@ def test_no_transactions(spark, tmp_path):
     path, tx = str(tmp_path / "wh"), _transactions(spark).where("false")
     customers = _customers(spark, [("C1", "Spain", None, None, True)])
     assert fact_upkeep.create(tx, customers, _holidays(spark, []), path, "2024-06-01") == ([], 0)
+
+
+# --------------------------------------------------------------------------- rollups
+def test_distinct_counts_of_any_period(spark, tmp_path):
+    """Codes beyond one bucket, customers that come back in later deliveries, guests, a repeated delivery."""
+    path = str(tmp_path / "wh")
+    fact = spark.range(0, 90_000, 1, 6).selectExpr(
+        "id", "if(id % 11 = 0, null, concat('C', id % 40000)) as CustomerID", "timestamp(date_add(date'2024-01-01', cast(id % 70 as int))) as InvoiceDate",
+        "cast(id % 100 as double) as LineTotal",
+    )
+    new = [rollups.add_rows(fact.where(F.col("id") % 3 == n), path, f"d{n}", "2024-06-01") for n in (0, 1, 1, 2)]
+    everyone = fact.select("CustomerID").distinct().where("CustomerID is not null").count()
+    assert sum(new) == everyone > 32_768 and new[2] == 0
+    codes = snapshots.read(spark, path, rollups.CODES)
+    assert sorted(r["code"] for r in codes.collect()) == list(range(everyone))
+    for period in (F.date_trunc("month", "day").cast("string"), F.lit("all"), F.col("day").cast("string")):
+        got = {r["period"]: tuple(r)[1:] for r in rollups.distinct_customers(spark, path, period).collect()}
+        wanted = fact.withColumn("day", F.to_date("InvoiceDate")).groupBy(period.alias("period")).agg(
+            F.count("*"), F.sum("LineTotal").cast("decimal(38,4)"), F.count_distinct("CustomerID"))
+        assert got == {r["period"]: tuple(r)[1:] for r in wanted.collect()}
+    earlier = rollups.distinct_customers(spark, path, F.lit("all"), version=1).first()
+    assert earlier["tx_rows"] == 30_000
+
+
+def test_rollup_without_rows_or_customers(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    assert rollups.distinct_customers(spark, path, F.lit("all")).collect() == []
+    guests = spark.range(3).selectExpr("cast(null as string) as CustomerID", "timestamp'2024-01-01' as InvoiceDate", "1.5D as LineTotal")
+    assert rollups.add_rows(guests.where("false"), path, "d0", "2024-06-01") == 0
+    assert rollups.add_rows(guests, path, "d1", "2024-06-01") == 0
+    assert [tuple(r) for r in rollups.distinct_customers(spark, path, F.lit("all")).collect()] == [("all", 3, 4.5, 0)]

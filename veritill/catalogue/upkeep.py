@@ -9,7 +9,7 @@ from veritill.catalogue.adapters import AS_OF, plain
 from veritill.catalogue.oracle import FACT_COLUMNS, with_ctes
 from veritill.catalogue.registry import query
 from veritill.model import CUSTOMER_KEY, ROW_ID, TRANSACTION_KEY
-from veritill.operators import cleaning, deliveries
+from veritill.operators import cleaning, deliveries, rollups
 from veritill.plans import fact_upkeep
 from veritill.session import scratch_dir
 from veritill.sources import snapshots
@@ -71,3 +71,40 @@ def j12_late(spark, sf):
     fact_upkeep.refresh(spark, path, "2001-12-31 12:00:00", customers=cu)
     fact_upkeep.refresh(spark, path, AS_OF, holidays=days)
     return plain(fact_upkeep.read_fact(spark, path))
+
+
+_PERIODS = {
+    "month": ("strftime(\"InvoiceDate\", '%Y-%m')", "TRUE"),
+    "week": ("CAST(date_trunc('week', \"InvoiceDate\") AS DATE)::VARCHAR", "TRUE"),
+    "1997, first half": ("'all'", "\"InvoiceDate\" >= DATE '1997-01-01' AND \"InvoiceDate\" < DATE '1997-07-01'"),
+}
+
+
+@query(
+    "g03_customer_rollup",
+    with_ctes(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS kind, {period} AS period, COUNT(*) AS tx_rows, COUNT(DISTINCT "CustomerID") AS customers
+                FROM clean_tx WHERE {where} GROUP BY ALL"""
+            for name, (period, where) in _PERIODS.items()
+        ),
+        "clean_tx",
+    ),
+)
+def g03_rollup(spark, sf):
+    """Distinct customers of months, weeks and half a year, all from the same bitmaps by day, which three deliveries left."""
+    path = scratch_dir(spark, "rollup")
+    tx = frames.stored(frames.clean_tx(spark, sf).select("InvoiceNo", "CustomerID", "InvoiceDate", "LineTotal"), "transactions")
+    for n in (0, 1, 1, 2):
+        rollups.add_rows(tx.where(F.col("InvoiceNo").cast("bigint") % 3 == n), path, f"delivery {n}", AS_OF)
+    half = F.col("day").between(F.lit("1997-01-01").cast("date"), F.lit("1997-06-30").cast("date"))
+    parts = [
+        ("month", F.date_format("day", "yyyy-MM"), None),
+        ("week", F.date_trunc("week", "day").cast("date").cast("string"), None),
+        ("1997, first half", F.lit("all"), half),
+    ]
+    found = [
+        rollups.distinct_customers(spark, path, period, where).select(F.lit(name).alias("kind"), "period", "tx_rows", "customers")
+        for name, period, where in parts
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
