@@ -9,7 +9,7 @@ from veritill.catalogue.adapters import AS_OF, plain
 from veritill.catalogue.oracle import FACT_COLUMNS, with_ctes
 from veritill.catalogue.registry import query
 from veritill.model import CUSTOMER_KEY, ROW_ID, TRANSACTION_KEY
-from veritill.operators import cleaning, deliveries, rollups
+from veritill.operators import cleaning, deliveries, reconcile, rollups, wide_keys
 from veritill.plans import fact_upkeep
 from veritill.session import scratch_dir
 from veritill.sources import snapshots
@@ -108,3 +108,45 @@ def g03_rollup(spark, sf):
         for name, period, where in parts
     ]
     return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query(
+    "q02_wide_keys",
+    with_ctes(
+        """SELECT COUNT(*) AS duplicate_keys, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows FROM (
+             SELECT COUNT(*) AS n FROM raw_tx GROUP BY "StockCode", "Description", "Quantity", "Status", "Country", "PaymentMethod"
+             HAVING COUNT(*) > 1)""",
+        "raw_tx",
+    ),
+)
+def q02_wide(spark, sf):
+    """Duplicates of a key of six columns, by fingerprints first."""
+    raw = frames.stored(adapters.raw_transactions(spark, sf).drop(ROW_ID), "raw")
+    return wide_keys.surplus_of(raw, ["StockCode", "Description", "Quantity", "Status", "Country", "PaymentMethod"])
+
+
+@query(
+    "r17_reconciliation",
+    with_ctes(
+        """SELECT 'transactions_clean' AS layer, (SELECT COUNT(*) FROM clean_tx) AS expected_rows,
+             (SELECT COUNT(*) FROM clean_tx) AS stored_rows, 'true' AS same_rows
+           UNION ALL SELECT 'transactions_rejected', n, n, 'true' FROM (SELECT COUNT(*) AS n FROM tagged_tx WHERE "_reject_reason" <> '')
+           UNION ALL SELECT 'transactions_duplicate', n - c, n - c, 'true' FROM (SELECT COUNT(*) AS n,
+             (SELECT COUNT(*) FROM clean_tx) AS c FROM tagged_tx WHERE "_reject_reason" = '')
+           UNION ALL SELECT 'customers_clean', n, n, 'false' FROM (SELECT COUNT(*) AS n FROM clean_cu)
+           UNION ALL SELECT 'customers_rejected', n, n, 'true' FROM (SELECT COUNT(*) AS n FROM typed_cu WHERE "CustomerID" IS NULL)
+           UNION ALL SELECT 'customers_duplicate', n, n, 'false' FROM (SELECT COUNT("CustomerID") - (SELECT COUNT(*) FROM clean_cu) AS n FROM typed_cu)""",
+        "clean_tx",
+        "clean_cu",
+    ),
+)
+def r17_reconciliation(spark, sf):
+    """Stored layers against their raw rows.  In the stored customers the segments of one country were changed: counts agree, rows do not."""
+    raw_tx, raw_cu = frames.stored(adapters.raw_transactions(spark, sf), "raw"), frames.stored(adapters.raw_customers(spark, sf), "raw")
+    tx, cu = cleaning.clean_transactions(raw_tx, AS_OF), cleaning.clean_customers(raw_cu)
+    odd = cu.clean.withColumn("Segment", F.when(F.col("Country") == "Germany", F.lit("other")).otherwise(F.col("Segment")))
+    found = reconcile.reconcile(
+        raw_tx, lambda raw: cleaning.clean_transactions(raw, AS_OF), frames.stored(tx.clean, "clean"), frames.stored(tx.rejected, "rejected"),
+        "transactions",
+    ).unionByName(reconcile.reconcile(raw_cu, cleaning.clean_customers, frames.stored(odd, "clean"), frames.stored(cu.rejected, "rejected"), "customers"))
+    return plain(found)
