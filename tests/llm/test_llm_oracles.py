@@ -16,5 +16,5 @@ def test_query(spark, sf, key):
 
 def test_one_query_for_each_operator():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if name.startswith("op") and name[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if name.startswith("op") and name[2].isdigit()}
     assert "pipeline" in names
