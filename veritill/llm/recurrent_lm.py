@@ -13,10 +13,11 @@ classes of equal mass with a softmax of their own inside, and the tail classes.
 unigram model of the counts.
 
 **Training** is truncated backpropagation in numpy: windows of ``WINDOW`` steps over ``LANES``
-documents side by side, whose states are carried from window to window and reset where a document
-starts.  In each of ``ROUNDS`` rounds every task learns from its share of the documents, starting at
-the current weights; the weights are then averaged by tokens, in two levels, so that no task reads
-the weights of all tasks.  Every training document is learned from once.
+documents side by side, whose states are carried from window to window and reset where a document, or
+a stretch of ``STRETCH`` tokens of a longer one, starts.  In each of ``ROUNDS`` rounds every task learns
+from its share of the documents, starting at the current weights; the weights are then averaged by
+tokens, in two levels, so that no task reads the weights of all tasks.  Every training document is
+learned from once.
 
 **Scoring** carries the state across windows too, so a document's score is the log-likelihood of all
 its tokens, whatever its length.
@@ -30,34 +31,52 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritill.llm.common import STEP_ROWS, shuffle_partitions, stored
 
 #: Bounds of the model, fixed whatever the corpus.
-VOCABULARY, CLASSES, TAILS = 4096, 64, 4
-EMBEDDING, HIDDEN = 16, 24
-WINDOW, LANES, ROUNDS = 24, 192, 4
+VOCABULARY, CLASSES, TAILS = 2048, 40, 4
+EMBEDDING, HIDDEN = 16, 16
+WINDOW, LANES, ROUNDS = 32, 256, 4
 RATE = 0.1
+#: Longer documents are learned in stretches of so many tokens, so that lanes end together.
+STRETCH = 2048
+#: Tokens that a task learns from in one round, about; its weights then count as much as they cost to send.
+TASK_TOKENS = 4_000_000
 #: Words that hold more than one in so many tokens are looked up inside the tasks.
-SHARES = 100_000
-#: Distinct words that a task counts before it hands them on, and tokens that it works on at once.
-COUNTED, BUFFER = 200_000, 2_000_000
+SHARES = 500_000
+#: Rows whose words a task counts at once, and tokens that it learns from or scores at once.
+COUNTED, BUFFER = 5_000, 4_000_000
 
 END = b""
 ALL = slice(None)
+#: A last character that is a mark.
+_MARK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]$"
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words of a text in UTF-8; white space is exactly the six ASCII characters that bytes are split at."""
-    return text.lower().split()
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of some texts; and for each word in turn its place among them and its row."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(texts), ""))
+    flat, rows = pc.list_flatten(lists), pc.list_parent_indices(lists)
+    there = pc.greater(pc.binary_length(flat), 0)
+    coded = pc.dictionary_encode(flat.filter(there))
+    return coded.dictionary, coded.indices.to_numpy(), rows.filter(there).to_numpy()
+
+
+def tails_of(words: pa.Array) -> np.ndarray:
+    """``tail_of`` for all of them."""
+    is_ascii = pc.equal(pc.utf8_length(words), pc.binary_length(words)).to_numpy(zero_copy_only=False)
+    marked = pc.match_substring_regex(words, _MARK).to_numpy(zero_copy_only=False)
+    return 2 * is_ascii.astype(np.int32) + marked.astype(np.int32)
 
 
 def tail_of(word: bytes) -> int:
@@ -71,25 +90,19 @@ def tail_of(word: bytes) -> int:
 def word_counts(df: DataFrame, learn: Column, text_column: str = "text") -> DataFrame:
     """Each word with its tail class, its count ``n`` in rows to learn from, and ``all_n`` in all rows."""
 
-    def flush(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
-        words = list(counts[0].keys() | counts[1].keys())
-        own = [counts[1][w] for w in words]
-        return pa.RecordBatch.from_pydict({
-            "word": pa.array(words, pa.binary()), "tail": pa.array([tail_of(w) for w in words], pa.int32()),
-            "n": pa.array(own, pa.int64()), "all_n": pa.array([counts[0][w] + n for w, n in zip(words, own)], pa.int64()),
-        })
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
         for batch in batches:
-            for text, learned in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-                own = counts[bool(learned)]
-                own.update(words_of(text or b""))
-                own[END] += 1
-                if len(own) > COUNTED:
-                    yield flush(counts)
-                    counts = (Counter(), Counter())
-        yield flush(counts)
+            for start in range(0, batch.num_rows, COUNTED):
+                part = batch.slice(start, COUNTED)
+                words, at, row = words_in(part.column(0))
+                learned = pc.fill_null(part.column(1), False).to_numpy(zero_copy_only=False)
+                own = np.bincount(at, minlength=len(words))
+                n = np.bincount(at[learned[row]], minlength=len(words))
+                ends = [pa.array([value], kind) for value, kind in (
+                    (END, pa.binary()), (tail_of(END), pa.int32()), (int(learned.sum()), pa.int64()), (part.num_rows, pa.int64()))]
+                columns = [words.cast(pa.binary()), pa.array(tails_of(words)), pa.array(n, pa.int64()), pa.array(own, pa.int64())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays(pair) for pair in zip(columns, ends)], names=["word", "tail", "n", "all_n"])
 
     found = df.select(F.col(text_column), learn).mapInArrow(run, "word binary, tail int, n bigint, all_n bigint")
     return found.groupBy("word", "tail").agg(F.sum("n").alias("n"), F.sum("all_n").alias("all_n"))
@@ -116,9 +129,9 @@ class Vocabulary(NamedTuple):
 def vocabulary(counts: DataFrame) -> Vocabulary:
     sums = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.sum("all_n").alias("all_n"), F.count_if(F.col("n") > 0).alias("kinds")).collect()
     total, all_total, kinds = (sum(row[c] for row in sums) for c in ("n", "all_n", "kinds"))
-    rows = counts.where((F.col("all_n") * SHARES > all_total) & (F.col("word") != F.lit(END))).collect()
+    rows = counts.where((F.col("all_n") * SHARES > all_total) & (F.col("word") != F.lit(END))).select("n", "word").toArrow()
     end = counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = sorted(((row["n"], bytes(row["word"])) for row in rows), key=lambda r: (-r[0], r[1]))
+    frequent = sorted(zip(*(column.to_pylist() for column in rows.columns)), key=lambda r: (-r[0], r[1]))
     model = [pair for pair in frequent if pair[0]][: VOCABULARY - 1]
     tail_n, tail_kinds = np.zeros(TAILS), np.zeros(TAILS)
     for row in sums:
@@ -142,33 +155,41 @@ def encoded(df: DataFrame, known: Vocabulary, held_out: Column, learn: Column, i
     ``logs`` sums log10(count + 0.5) over the frequent words, ``tail_score`` over those of them in
     tail classes less the divisor, which it has for the rare words too.
     """
+    names = ("doc", "held_out", "learn", "tokens", "n_tokens", "n_known", "logs", "tail_score", "rare", "times")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {word: at for at, word in enumerate(known.words)}.get
-        in_tail, first_tail = known.tokens >= len(known.counts), len(known.counts)
-        tail_logs = np.where(in_tail, known.logs, 0.0)
-        names = ("tokens", "n_tokens", "n_known", "logs", "tail_score", "rare", "times")
-        for batch in (whole.slice(start, STEP_ROWS) for whole in batches for start in range(0, whole.num_rows, STEP_ROWS)):
-            out: dict[str, list] = {name: [] for name in names}
-            for text in batch.column(3).cast(pa.binary()).to_pylist():
-                words = words_of(text or b"")
-                words.append(END)
-                at = np.array([place(word, -1) for word in words], np.int64)
-                there = at >= 0
-                found = at[there]
-                tokens = np.empty(len(words), np.uint16)
-                tokens[there] = known.tokens[found]
-                missing = [words[i] for i in np.flatnonzero(~there).tolist()]
-                tokens[~there] = [first_tail + tail_of(word) for word in missing]
-                tails = np.bincount(tokens[tokens >= first_tail] - first_tail, minlength=TAILS)
-                rare = Counter(missing)
-                values = (tokens.tobytes(), len(words), int(known.known[found].sum()), float(known.logs[found].sum()),
-                          float(tail_logs[found].sum() - tails @ known.tail_logs), list(rare), list(rare.values()))
-                for name, value in zip(names, values):
-                    out[name].append(value)
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-            arrays = [pa.array(out[name], kind) for name, kind in zip(names, types)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(3)], *arrays], names=["doc", "held_out", "learn", *names])
+        first_tail = len(known.counts)
+        in_tail = np.where(known.tokens >= first_tail, known.logs, 0.0)
+        for part in (whole.slice(start, STEP_ROWS) for whole in batches for start in range(0, whole.num_rows, STEP_ROWS)):
+            n_rows, (words, at, row) = part.num_rows, words_in(part.column(3))
+            kinds, tails = len(words), tails_of(words).astype(np.int64)
+            found = np.fromiter(map(place, words.cast(pa.binary()).to_pylist(), repeat(-1)), np.int64, kinds)
+            held = found >= 0
+            # what a word adds, by its place among the distinct ones
+            tokens = np.where(held, known.tokens[found], first_tail + tails)
+            logs = np.where(held, known.logs[found], 0.0)
+            scores = np.where(held, in_tail[found], 0.0) - np.where(tokens >= first_tail, known.tail_logs[tails], 0.0)
+            summed = [np.bincount(row, weights=value[at], minlength=n_rows) for value in (logs, scores, held & known.known[found])]
+
+            n_tokens = np.bincount(row, minlength=n_rows) + 1
+            ends = np.cumsum(n_tokens)
+            stream = np.zeros(len(at) + n_rows, np.uint16)  # 0 is the end token
+            stream[np.arange(len(at)) + row] = tokens[at]
+            packed = pa.Array.from_buffers(
+                pa.large_binary(), n_rows, [None, pa.py_buffer((2 * np.r_[0, ends]).astype(np.int64)), pa.py_buffer(stream)]
+            ).cast(pa.binary())
+
+            missing = ~held[at]
+            pairs, times = np.unique(row[missing].astype(np.int64) * kinds + at[missing], return_counts=True)
+            offsets = pa.array(np.r_[0, np.cumsum(np.bincount(pairs // max(kinds, 1), minlength=n_rows))].astype(np.int32))
+            rare = pc.take(words.cast(pa.binary()), pa.array(pairs % max(kinds, 1)))
+            arrays = [
+                packed, pa.array(n_tokens, pa.int64()), pa.array(summed[2].astype(np.int64) + int(known.known[0])),
+                pa.array(summed[0] + known.logs[0]), pa.array(summed[1]),
+                pa.ListArray.from_arrays(offsets, rare), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(3)], *arrays], names=list(names))
 
     schema = "doc bigint, held_out boolean, learn boolean, tokens binary, n_tokens bigint, n_known bigint, logs double, "
     schema += "tail_score double, rare array<binary>, times array<bigint>"
@@ -181,7 +202,7 @@ def rare_sums(found: DataFrame, counts: DataFrame) -> DataFrame:
     rare = found.select("row", F.explode(F.arrays_zip("rare", "times")).alias("one"))
     rare = rare.select("row", F.col("one.rare").alias("word"), F.col("one.times").alias("times"))
     n = F.coalesce("n", F.lit(0))
-    joined = rare.join(counts.select("word", "n"), "word", "left")
+    joined = rare.join(counts.select("word", "n").hint("shuffle_hash"), "word", "left")
     return joined.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(n + 0.5)).alias("rare_logs"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known")
     )
@@ -230,6 +251,12 @@ class Lanes:
         return found
 
 
+def _rows(after: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """States one after the other, those of real places only."""
+    turned = after.transpose(0, 2, 1)
+    return turned.reshape(-1, after.shape[1]) if real.all() else turned[real]
+
+
 def _sigmoid(x: np.ndarray) -> None:
     """In place."""
     x *= np.float32(0.5)
@@ -286,7 +313,7 @@ class Network:
             arrays.append(own)
         return Network(self.bounds, *arrays)
 
-    def states(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray):
+    def states(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, back: bool = True):
         """States (steps, hidden, lanes) after each step, and what the backward pass needs.
 
         Lanes come last, so that a gate of all lanes is one run of memory.
@@ -294,12 +321,13 @@ class Network:
         p, h, (steps, lanes) = self.parts, HIDDEN, inputs.shape
         given = p["embedding"][inputs]
         bias, fresh_at = p["gate_bias"][:, None], fresh.any(axis=1)
-        gates, after = np.empty((steps, 3 * h, lanes), np.float32), np.empty((steps, h, lanes), np.float32)
-        carried, turned = np.empty_like(after), np.empty_like(after)
+        kept = steps if back else 1
+        gates, after = np.empty((kept, 3 * h, lanes), np.float32), np.empty((steps, h, lanes), np.float32)
+        carried, turned = (np.empty((kept, h, lanes), np.float32) for _ in range(2))
         for t in range(steps):
             if fresh_at[t]:
                 state = np.where(fresh[t], np.float32(0), state)
-            mixed, own = p["recurrent"] @ state, gates[t]
+            mixed, own = p["recurrent"] @ state, gates[t % kept]
             np.matmul(p["inner"], given[t].T, out=own)
             own += bias
             both, new = own[: 2 * h], own[2 * h :]
@@ -307,7 +335,8 @@ class Network:
             _sigmoid(both)
             new += own[:h] * mixed[2 * h :]
             np.tanh(new, out=new)
-            carried[t], turned[t] = state, mixed[2 * h :]
+            if back:
+                carried[t], turned[t] = state, mixed[2 * h :]
             np.subtract(state, new, out=after[t])
             after[t] *= own[h : 2 * h]
             after[t] += new
@@ -346,7 +375,7 @@ class Network:
         p, h, grads = self.parts, HIDDEN, []
         after, (given, gates, carried, turned) = self.states(inputs, fresh, state)
         d_after = np.zeros((*inputs.shape, h), np.float32)
-        found, d_after[real] = self.log_likelihood(after.transpose(0, 2, 1)[real], targets[real], grads)
+        found, d_after[real] = self.log_likelihood(_rows(after, real), targets[real], grads)
         d_gate, flowing, d_bias = np.empty_like(gates[0]), np.zeros_like(after[0]), np.zeros(3 * h, np.float32)
         d_recurrent, d_inner, d_given = np.zeros_like(p["recurrent"]), np.zeros_like(p["inner"]), np.empty_like(given)
         for t in range(len(after) - 1, -1, -1):
@@ -384,7 +413,7 @@ class Network:
             self.parts[name][rows] += grad * (scale[:, None] if grad.ndim == 2 else scale)
 
     def learn(self, documents: list[np.ndarray]) -> None:
-        lanes = Lanes(documents, LANES)
+        lanes = Lanes([d[at : at + STRETCH] for d in documents for at in range(0, len(d), STRETCH)], LANES)
         state = np.zeros((HIDDEN, len(lanes.lengths)), np.float32)
         for n, at, real in lanes.windows(WINDOW):
             grads, _, state = self.gradients(lanes.inputs[at], lanes.targets[at], lanes.fresh[at], real, state[:, :n])
@@ -395,9 +424,9 @@ class Network:
         lanes = Lanes(documents, LANES)
         state, values = np.zeros((HIDDEN, len(lanes.lengths)), np.float32), np.zeros(len(lanes.targets))
         for n, at, real in lanes.windows(WINDOW):
-            after, _ = self.states(lanes.inputs[at], lanes.fresh[at], state[:, :n])
-            places = at[real]
-            values[places] = self.log_likelihood(after.transpose(0, 2, 1)[real], lanes.targets[places])[0]
+            after, _ = self.states(lanes.inputs[at], lanes.fresh[at], state[:, :n], back=False)
+            places = at.ravel() if real.all() else at[real]
+            values[places] = self.log_likelihood(_rows(after, real), lanes.targets[places])[0]
             state = after[-1]
         return lanes.per_document(values) / math.log(10)
 
@@ -450,6 +479,7 @@ def _summed(frame: DataFrame) -> DataFrame:
 
 def train(found: DataFrame, network: Network) -> Network:
     """``ROUNDS`` rounds over the rows to learn from, each row in one of them."""
+    tasks = 1 + (found.where("learn").agg(F.sum("n_tokens")).first()[0] or 0) // (ROUNDS * TASK_TOKENS)
     for turn in range(ROUNDS):
         share = found.where(F.col("learn") & (F.pmod(F.col("row"), F.lit(ROUNDS)) == turn)).select("tokens", "n_tokens")
 
@@ -462,7 +492,7 @@ def train(found: DataFrame, network: Network) -> Network:
                 yield pa.RecordBatch.from_pydict({"n": pa.array([tokens]), "weights": pa.array([own.packed().tobytes()])})
 
         groups = math.isqrt(shuffle_partitions(found)) + 1
-        learned = share.mapInArrow(run, "n bigint, weights binary").repartition(groups)
+        learned = share.coalesce(tasks).mapInArrow(run, "n bigint, weights binary").repartition(groups)
         average = _summed(_summed(learned).repartition(1)).first()
         if average is not None:
             network = network.unpacked(np.frombuffer(average["weights"], np.float32))
