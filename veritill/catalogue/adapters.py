@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritill.functions import lookup
+from veritill.functions import lookup, strip
 from veritill.model import COUNTRY_ISO2, ROW_ID
 
 #: The explicit "now" of all registered queries; all order dates lie before it.
@@ -59,12 +59,14 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.select("n_nationkey", name.alias("country"))
 
 
-_LINE_COLUMNS = (
-    "l_orderkey",
-    "l_partkey",
-    "l_linenumber",
+#: Texts are made above all joins, so the joins shuffle the narrow columns they are made of.
+_TRANSACTION_COLUMNS = (
     "cast(l_orderkey as string) as InvoiceNo",
     "cast(l_partkey as string) as StockCode",
+    """case p_partkey % 3
+         when 0 then upper(p_name)
+         when 1 then concat('  ', p_name, ' ')
+         else concat(replace(p_name, ' ', '-'), ' 3d') end as Description""",
     """case when l_orderkey % 101 = 0 then 'dozen'
             when l_returnflag = 'R' then cast(-cast(l_quantity as int) as string)
             else cast(cast(l_quantity as int) as string) end as Quantity""",
@@ -78,57 +80,40 @@ _LINE_COLUMNS = (
             when l_orderkey % 89 = 0 then '-1.50'
             else cast(cast((cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) * 0.01
                            as decimal(14, 2)) as string) end as UnitPrice""",
-    "if(l_linestatus = 'O', 'card', ' PayPal') as PaymentMethod",
-    f"struct({', '.join(LINE_ORDER)}) as {ROW_ID}",
-)
-_ORDER_COLUMNS = (
-    "o_orderkey",
+    """case when o_custkey % 31 = 0 then null
+            when o_custkey % 29 = 0 then concat('GHOST', o_custkey)
+            when l_linenumber = 3 then concat(' ', o_custkey, '  ')
+            else cast(o_custkey as string) end as CustomerID""",
+    "country as Country",
     """case when o_custkey % 23 = 0 then 'On Hold'
             when o_orderkey % 11 = 0 then null
             when o_orderkey % 7 = 0 then ' Completed'
             when o_orderstatus = 'O' then 'done'
             when o_orderstatus = 'F' then 'VOID '
-            else 'return' end as Status""",
-    """case when o_custkey % 31 = 0 then null
-            when o_custkey % 29 = 0 then concat('GHOST', o_custkey)
-            else cast(o_custkey as string) end as customer_id""",
-    "country as Country",
-    "o_custkey % 31 <> 0 and o_custkey % 29 <> 0 as plain_id",
-)
-_PART_COLUMNS = (
-    "p_partkey",
-    """case p_partkey % 3
-         when 0 then upper(p_name)
-         when 1 then concat('  ', p_name, ' ')
-         else concat(replace(p_name, ' ', '-'), ' 3d') end as Description""",
-)
-_TRANSACTION_COLUMNS = (
-    "InvoiceNo",
-    "StockCode",
-    "Description",
-    "Quantity",
-    "InvoiceDate",
-    "UnitPrice",
-    "if(l_linenumber = 3 and plain_id, concat(' ', customer_id, '  '), customer_id) as CustomerID",
-    "Country",
-    "Status",
-    "PaymentMethod",
-    ROW_ID,
+            when o_orderkey is not null then 'return' end as Status""",
+    "if(l_linestatus = 'O', 'card', ' PayPal') as PaymentMethod",
+    f"struct({', '.join(LINE_ORDER)}) as {ROW_ID}",
 )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as a raw transactions export: all text, with dirty values."""
+    """Line items as a raw transactions export: all text, with dirty values.
+
+    The last shuffled join is keyed on the trimmed invoice number, by which cleaning de-duplicates: rows of an invoice
+    then lie together and are not shuffled once more for it.
+    """
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"), "left")
-        .join(_nations(spark, sf_dir), F.expr("c_nationkey = n_nationkey"), "left")
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+        .join(customer, F.expr("o_custkey = c_custkey"), "left").drop("c_custkey")
     )
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    invoice, order = (strip(F.col(key).cast("string")) for key in ("l_orderkey", "o_orderkey"))
     return (
         table(spark, sf_dir, "lineitem")
-        .selectExpr(*_LINE_COLUMNS)
-        .join(orders.selectExpr(*_ORDER_COLUMNS), F.expr("l_orderkey = o_orderkey"), "left")
-        .join(table(spark, sf_dir, "part").selectExpr(*_PART_COLUMNS), F.expr("l_partkey = p_partkey"), "left")
+        .join(part, F.expr("l_partkey = p_partkey"), "left")
+        .join(orders, invoice == order, "left")
+        .join(F.broadcast(_nations(spark, sf_dir)), F.expr("c_nationkey = n_nationkey"), "left")
         .selectExpr(*_TRANSACTION_COLUMNS)
     )
 

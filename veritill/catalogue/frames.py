@@ -10,7 +10,7 @@ from veritill.catalogue import adapters
 from veritill.catalogue.adapters import AS_OF
 from veritill.operators import cleaning, enrich
 from veritill.session import scratch_dir
-from veritill.sources.sinks import in_parallel, save_layer
+from veritill.sources.sinks import in_parallel, save_fact, save_layer
 
 
 def typed_tx(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,6 +38,13 @@ def fact(spark: SparkSession, sf: str, holidays: bool = True) -> DataFrame:
     return enrich.build_fact(clean_tx(spark, sf), clean_cu(spark, sf), calendar)
 
 
+def saved_fact(spark: SparkSession, sf: str, path: str) -> int:
+    """The fact table as a run saves it, by year and month."""
+    joined = enrich.join_customers(clean_tx(spark, sf), clean_cu(spark, sf))
+    calendar = adapters.holidays(spark, sf)
+    return save_fact(joined, path, lambda rows: enrich.finish_fact(rows, calendar))
+
+
 class Layers(NamedTuple):
     transactions: DataFrame
     customers: DataFrame

@@ -188,7 +188,7 @@ def s06(spark, sf):
 )
 def s07(spark, sf):
     path = scratch_dir(spark, "fact")
-    sinks.save_fact(frames.fact(spark, sf), path)
+    frames.saved_fact(spark, sf, path)
     days = files.read_fact(spark, path).groupBy("date", "TxYear")
     return plain(days.agg(F.count(F.lit(1)).alias("row_count")))
 
@@ -307,7 +307,7 @@ def k03(spark, sf):
 )
 def k05(spark, sf):
     path = scratch_dir(spark, "fact")
-    sinks.save_fact(frames.fact(spark, sf), path)
+    frames.saved_fact(spark, sf, path)
     months = spark.read.parquet(path).groupBy("TxYear", "TxMonth")
     return months.agg(F.count(F.lit(1)).alias("row_count"))
 

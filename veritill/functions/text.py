@@ -25,7 +25,7 @@ def strip(c: Column) -> Column:
     then still begins or ends outside printable ASCII.
     """
     plain = F.trim(c)
-    printable = F.ascii(plain).between(33, 126) & F.ascii(F.right(plain, F.lit(1))).between(33, 126)
+    printable = F.ascii(plain).between(33, 126) & F.ascii(F.substring(plain, -1, 1)).between(33, 126)
     return F.when(printable, plain).otherwise(F.btrim(c, F.lit(_SPACE)))
 
 

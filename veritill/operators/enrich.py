@@ -62,12 +62,17 @@ def enrich_holidays(
     holidays: DataFrame | None,
     iso2: Mapping[str, str] = COUNTRY_ISO2,
 ) -> DataFrame:
-    """``is_holiday`` and ``holiday_name`` by invoice day and transaction country."""
+    """``is_holiday`` and ``holiday_name`` by invoice day and transaction country.
+
+    Only days of the mapped countries can match, one row each, so the calendar is broadcast and no transaction
+    is shuffled for it.
+    """
     if holidays is None:
         return df.withColumns({"is_holiday": F.lit(False), "holiday_name": F.lit(None).cast("string")})
     country = lookup(F.col("Country"), iso2) if "Country" in df.columns else F.lit(None).cast("string")
     keyed = df.withColumns({"_iso2": country, "_day": F.to_date("InvoiceDate")})
-    matched = left_lookup(keyed, holiday_lookup(holidays), ["_iso2", "_day"])
+    days = holiday_lookup(holidays.where(F.col("country_code").isin(*set(iso2.values()))))
+    matched = keyed.join(F.broadcast(days), ["_iso2", "_day"], "left")
     return matched.select(*df.columns, F.col("holiday_name").isNotNull().alias("is_holiday"), "holiday_name")
 
 
@@ -95,7 +100,11 @@ def build_fact(
 
     ``salted`` concerns the customer join; pass stored ``transactions`` with it.
     """
-    joined = join_customers(transactions, customers, strict_reference, salted)
+    return finish_fact(join_customers(transactions, customers, strict_reference, salted), holidays, iso2)
+
+
+def finish_fact(joined: DataFrame, holidays: DataFrame | None = None, iso2: Mapping[str, str] = COUNTRY_ISO2) -> DataFrame:
+    """The second half of ``build_fact``, which shuffles nothing: ``save_fact`` does it after its shuffle."""
     return derive_columns(enrich_holidays(joined, holidays, iso2), iso2)
 
 

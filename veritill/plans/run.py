@@ -14,7 +14,7 @@ from veritill.model import HOLIDAY_COUNTRIES
 from veritill.operators.anomalies import run_anomaly_detection
 from veritill.operators.checks import dq_table
 from veritill.operators.cleaning import clean_customers, clean_transactions
-from veritill.operators.enrich import build_fact
+from veritill.operators.enrich import finish_fact, join_customers
 from veritill.operators.quality import run_quality_checks
 from veritill.operators.validation import validate_raw
 from veritill.plans.report import counts_table, report_tables, run_verdict, save_report
@@ -127,10 +127,10 @@ def _run(
 
     tx = stored(f"{interim}/transactions_clean")
     cu = stored(f"{interim}/customers_clean")
-    fact_rows = build_fact(tx, cu, holidays, salted=salted)
-    counts["fact"] = sinks.save_fact(fact_rows, f"{out}/processed/fct_transactions")
+    joined, finish = join_customers(tx, cu, salted=salted), partial(finish_fact, holidays=holidays)
+    counts["fact"] = sinks.save_fact(joined, f"{out}/processed/fct_transactions", finish)
     # a fact table without rows has no file to take the columns from
-    fact = spark.read.schema(fact_rows.schema).parquet(f"{out}/processed/fct_transactions")
+    fact = spark.read.schema(finish(joined).schema).parquet(f"{out}/processed/fct_transactions")
 
     loads: dict[str, int] = {}
     if warehouse:

@@ -93,13 +93,15 @@ def save_layer(df: DataFrame, path: str) -> int:
     return _write(df, path, "overwrite")
 
 
-def save_fact(fact: DataFrame, path: str) -> int:
+def save_fact(fact: DataFrame, path: str, finish: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """K5: fact rows by year and month, so reports prune to the months they read.
 
     Rebalancing gathers a month's rows before the write, so a task does not leave a small file
-    in every month; adaptive execution splits a month that is too large for one task.
+    in every month; adaptive execution splits a month that is too large for one task.  ``finish`` adds columns
+    that need no shuffle of their own, so they are not shuffled either.
     """
-    counted, seen = _counted(fact.hint("rebalance", "TxYear", "TxMonth"))
+    gathered = fact.hint("rebalance", "TxYear", "TxMonth")
+    counted, seen = _counted(finish(gathered) if finish else gathered)
     counted.write.mode("overwrite").partitionBy("TxYear", "TxMonth").parquet(path)
     return int(seen.get["rows"])
 
