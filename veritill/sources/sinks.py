@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 from typing import NamedTuple, TypeVar
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
@@ -136,14 +137,10 @@ class Load(NamedTuple):
     unfit: int
 
 
-def _misfits(df: DataFrame, schema: T.StructType) -> Column:
-    """Names of the columns whose value is there but does not fit."""
-    given = [f for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
-    typed = {f.name: c for f, c in zip(schema.fields, _conformed(df, schema))}
-    lost = [
-        F.when(F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull(), F.lit(f.name)) for f in given
-    ]
-    return F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+def _misfits(df: DataFrame, schema: T.StructType, typed: str) -> dict[str, Column]:
+    """By column name, whether its value is there but does not fit; typed values have the prefix ``typed``."""
+    given = [f.name for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    return {c: F.col(f"`{c}`").isNotNull() & F.col(f"`{typed}{c}`").isNull() for c in given}
 
 
 def _stage(df: DataFrame, warehouse: str, table: str, key: str | None = None) -> snapshots.Part:
@@ -159,19 +156,27 @@ class _Staged(NamedTuple):
 
 
 def _staged(df: DataFrame, warehouse: str, table: str, operation: str, loaded_at) -> _Staged:
-    """Typed rows and the ones set aside, written but not published; an empty frame changes nothing."""
+    """Typed rows and the ones set aside, written but not published; an empty frame changes nothing.
+
+    The write of the typed rows counts the others, which are only scanned for if there are any.
+    """
     if df.isEmpty():
         return _Staged(Load(0, 0), {})
-    schema = TABLE_SCHEMAS[table]
-    marked = df.withColumn("unfit_columns", _misfits(df, schema))
-    typed = conform(marked.where(F.size("unfit_columns") == 0), schema)
-    aside = marked.where(F.size("unfit_columns") > 0)
+    schema, prefix = TABLE_SCHEMAS[table], "_typed_"
+    both = df.select("*", *[c.alias(f"{prefix}{f.name}") for f, c in zip(schema.fields, _conformed(df, schema))])
+    lost = _misfits(df, schema, prefix)
+    unfit = reduce(or_, lost.values(), F.lit(False))
+    seen = Observation()
+    typed = both.observe(seen, F.count_if(unfit).alias("unfit")).where(~unfit)
+    typed = typed.select(*[F.col(f"`{prefix}{c}`").alias(c) for c in schema.names])
+    names = [F.when(is_lost, F.lit(c)) for c, is_lost in lost.items()]
+    named = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+    aside = both.where(unfit).withColumn("unfit_columns", named).select(*df.columns, "unfit_columns")
     if loaded_at is not None:
         typed = typed.withColumn(LOADED_AT, as_timestamp(loaded_at))
         aside = aside.withColumn(LOADED_AT, as_timestamp(loaded_at))
-    parts = in_parallel(
-        lambda: _stage(typed, warehouse, table), lambda: _stage(aside, warehouse, f"rejected_{table}")
-    )
+    kept = _stage(typed, warehouse, table)
+    parts = (kept, _stage(aside if seen.get["unfit"] else aside.limit(0), warehouse, f"rejected_{table}"))
     changes = {t: snapshots.Change(operation, (part,)) for t, part in zip((table, f"rejected_{table}"), parts)}
     return _Staged(Load(*(part.rows for part in parts)), changes)
 
