@@ -58,10 +58,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_layers(spark: SparkSession, sf: str) -> Layers:
+def stored_raw(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Both raw exports as a run lands them, for queries that read them several times."""
+    tx, cu = in_parallel(
+        lambda: stored(adapters.raw_transactions(spark, sf), "raw-transactions"),
+        lambda: stored(adapters.raw_customers(spark, sf), "raw-customers"),
+    )
+    return tx, cu
+
+
+def stored_layers(spark: SparkSession, sf: str, raw: tuple[DataFrame, DataFrame] | None = None) -> Layers:
     """Clean and fact tables as a run stores them, for suites that read each several times."""
+    raw_tx, raw_cu = raw or (adapters.raw_transactions(spark, sf), adapters.raw_customers(spark, sf))
     tx, cu = in_parallel(
-        lambda: stored(clean_tx(spark, sf), "transactions"), lambda: stored(clean_cu(spark, sf), "customers")
+        lambda: stored(cleaning.clean_transactions(raw_tx, AS_OF).clean, "transactions"),
+        lambda: stored(cleaning.clean_customers(raw_cu).clean, "customers"),
     )
     fact_rows = enrich.build_fact(tx, cu, adapters.holidays(spark, sf))
     return Layers(tx, cu, stored(fact_rows, "fact"))

@@ -328,12 +328,12 @@ def r19(spark, sf):
 
 
 # --------------------------------------------------------------------------- run report
-def _results(spark, sf):
-    """All results of a run over the adapted tables, as one stored table."""
-    tx_raw, cu_raw = adapters.raw_transactions(spark, sf), adapters.raw_customers(spark, sf)
-    tx, cu, fact = frames.stored_layers(spark, sf)
+def _results(spark, sf, raw=None):
+    """All results of a run over the adapted tables, as one stored table; every check reads stored tables."""
+    raw = raw or frames.stored_raw(spark, sf)
+    tx, cu, fact = frames.stored_layers(spark, sf, raw)
     found = (
-        validation.validate_raw(tx_raw, cu_raw, AS_OF, RUN_DATE)
+        validation.validate_raw(*raw, AS_OF, RUN_DATE)
         .unionByName(quality.run_quality_checks(tx, cu, fact, AS_OF, RUN_DATE))
         .unionByName(run_anomaly_detection(fact, AS_OF, RUN_DATE))
     )
@@ -387,14 +387,12 @@ def r20(spark, sf):
 )
 def r21(spark, sf):
     """The sections of a report below each other; triggered detectors only."""
+    raw = frames.stored_raw(spark, sf)
     counted = [
         df.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("row_count"))
-        for name, df in (
-            ("transactions", adapters.raw_transactions(spark, sf)),
-            ("customers", adapters.raw_customers(spark, sf)),
-        )
+        for name, df in zip(("transactions", "customers"), raw)
     ]
-    sections = report.report_tables(_results(spark, sf), counted[0].unionByName(counted[1]))
+    sections = report.report_tables(_results(spark, sf, raw), counted[0].unionByName(counted[1]))
     checks = [sections[s].select(F.lit(s).alias("section"), "check", "status", "severity") for s in ("validation", "quality")]
     hits = sections["anomalies"].selectExpr("'anomaly' as section", "detector as check", "label as status", "severity")
     rows = sections["ingestion"].selectExpr(
