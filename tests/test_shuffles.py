@@ -8,6 +8,7 @@ import pytest
 
 from veritill.catalogue import adapters
 from veritill.operators import cleaning, enrich
+from veritill.plans import fact_upkeep
 from veritill.sources import sinks
 
 DAY = dt.datetime(1997, 3, 1)
@@ -70,3 +71,26 @@ def test_saved_fact_is_finished_behind_its_shuffle(spark, tmp_path, rows):
     assert sinks.save_fact(tx, f"{tmp_path}/fact", lambda df: enrich.finish_fact(df, days)) == 1
     found = rows(spark.read.parquet(f"{tmp_path}/fact"))[0]
     assert (found["holiday_name"], found["CountryISO2"], found["TxWeek"], found["TxYear"], found["TxMonth"]) == ("a", "DE", 9, 1997, 3)
+
+
+def test_a_load_scans_for_unfit_rows_only_if_there_are_any(spark, tmp_path, monkeypatch):
+    staged, stage = [], sinks._stage
+    monkeypatch.setattr(sinks, "_stage", lambda df, *given: staged.append(df) or stage(df, *given))
+    tx = spark.createDataFrame([("I1", 2.0), ("I2", 2.5), ("I3", None)], "InvoiceNo string, Quantity double")
+    tx.write.parquet(f"{tmp_path}/tx")
+    tx = spark.read.parquet(f"{tmp_path}/tx")
+    load = lambda df: sinks.replace_table(df, f"{tmp_path}/warehouse", "stg_transactions", "2024-01-01")
+    assert load(tx) == (2, 1) and staged[1].collect()[0]["unfit_columns"] == ["Quantity"]
+    assert load(tx.where("InvoiceNo <> 'I2'")) == (2, 0)
+    assert "FileScan" in plan(staged[2]) and "FileScan" not in plan(staged[3]) and staged[3].columns == staged[1].columns
+
+
+def test_new_holidays_shuffle_no_fact(unhinted, rows):
+    row = ("I1", "C1", "Germany", DAY, 1997, 3, "x", True, False, None, None, 9, "DE")
+    fact = unhinted.createDataFrame([row], """InvoiceNo string, CustomerID string, Country string, InvoiceDate timestamp,
+        TxYear int, TxMonth int, CustomerSegment string, is_known_customer boolean, is_holiday boolean,
+        holiday_name string, customer_tenure_days int, TxWeek int, CountryISO2 string""").drop("customer_tenure_days")
+    days = unhinted.createDataFrame([("DE", DAY.date(), "a")], "_iso2 string, _day date, holiday_name string")
+    found = fact_upkeep._rebuilt(fact, None, days, {"Germany": "DE"})
+    assert "TxYear" not in "".join(line for line in plan(found).split("\n") if "Exchange" in line) and "CustomerID#" not in plan(found).split("Exchange", 1)[-1]
+    assert rows(found)[0] == fact.collect()[0].asDict() | {"is_holiday": True, "holiday_name": "a"}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from veritill.functions import lookup, strip
 from veritill.model import COUNTRY_ISO2
-from veritill.operators.enrich import build_fact, customer_dimension, holiday_lookup
+from veritill.operators.enrich import customer_dimension, finish_fact, holiday_lookup, join_customers
 from veritill.session import scratch_dir
 from veritill.sources import sinks, snapshots
 
@@ -38,11 +38,16 @@ def month_key() -> Column:
     return F.when(F.col("TxYear").isNotNull() & F.col("TxMonth").isNotNull(), key).otherwise(F.lit(_NO_MONTH))
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """The rows of a month together, so that a task does not leave a small file in every month."""
+    return rows.hint("rebalance", "TxYear", "TxMonth")
+
+
 def _stage_months(fact: DataFrame, warehouse: str) -> list[snapshots.Part]:
-    """Write rows into one folder per month, each a part of its own."""
+    """Write rows, gathered by month, into one folder per month, each a part of its own."""
     spark, path = fact.sparkSession, snapshots.new_part(warehouse, FACT)
     keyed = fact.withColumn("month_key", month_key())
-    sinks._write(keyed.hint("rebalance", "month_key"), path, "errorifexists", ("month_key",))
+    sinks._write(keyed, path, "errorifexists", ("month_key",))
     try:
         # row counts come from the files' footers; one row per month
         counts = spark.read.parquet(path).groupBy(F.col("month_key").cast("string")).count().collect()
@@ -63,7 +68,7 @@ def create(
     iso2: Mapping[str, str] = COUNTRY_ISO2,
 ) -> Refreshed:
     """Build the whole fact and keep it with what it was built from."""
-    fact = build_fact(transactions, customers, holidays, iso2)
+    fact = finish_fact(_gathered(join_customers(transactions, customers)), holidays, iso2)
     parts = _stage_months(fact, warehouse)
     changes = {
         FACT: snapshots.Change("replace", tuple(parts)),
@@ -128,7 +133,8 @@ def _refresh(spark, warehouse, published_at, customers, holidays, iso2) -> Refre
     if months:
         held = {part.key: f"{warehouse}/{FACT}/{part.path}" for part in version.tables[FACT]}
         own = spark.read.schema(fact.schema).parquet(*[held[month] for month in months])
-        parts = _stage_months(_rebuilt(own, sides[CUSTOMERS][0], sides[HOLIDAYS][0], iso2), warehouse)
+        changed = sides[CUSTOMERS][0] if customers is not None else None
+        parts = _stage_months(_rebuilt(own, changed, sides[HOLIDAYS][0], iso2), warehouse)
     changes = {FACT: snapshots.Change("replace_key", tuple(parts))}
     for table, given in ((CUSTOMERS, customers), (HOLIDAYS, holidays)):
         if given is not None:
@@ -137,14 +143,21 @@ def _refresh(spark, warehouse, published_at, customers, holidays, iso2) -> Refre
     return Refreshed(months, sum(part.rows for part in parts))
 
 
-def _rebuilt(fact: DataFrame, dimension: DataFrame, days: DataFrame, iso2: Mapping[str, str]) -> DataFrame:
-    """The same transactions with the columns that the other tables give them made anew."""
-    plain = dimension.drop("_matched")
-    given = [c for c in plain.columns if c != "CustomerID"]
-    made = {*given, "is_known_customer", "is_holiday", "holiday_name", "customer_tenure_days", "TxWeek", "CountryISO2"}
-    own = fact.select(*[c for c in fact.columns if c not in made])
+def _rebuilt(fact: DataFrame, dimension: DataFrame | None, days: DataFrame, iso2: Mapping[str, str]) -> DataFrame:
+    """The same transactions with the columns that the other tables give them made anew.
+
+    Without a new ``dimension`` the customer columns stay as they are, and so do the rows: files of a month are
+    read and written without a shuffle.
+    """
+    made = {"is_holiday", "holiday_name", "customer_tenure_days", "TxWeek", "CountryISO2"}
     calendar = days.select(F.col("_iso2").alias("country_code"), F.col("_day").alias("date"), F.col("holiday_name").alias("name"))
-    return build_fact(own, plain, calendar, iso2).select(*fact.columns)
+    if dimension is None:
+        own = fact.select(*[c for c in fact.columns if c not in made])
+    else:
+        plain = dimension.drop("_matched")
+        given = {*plain.columns, "is_known_customer"} - {"CustomerID"}
+        own = _gathered(join_customers(fact.select(*[c for c in fact.columns if c not in made | given]), plain))
+    return finish_fact(own, calendar, iso2).select(*fact.columns)
 
 
 def read_fact(spark: SparkSession, warehouse: str, version: int | None = None) -> DataFrame:
