@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veritill.session import compile_small
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -14,13 +17,22 @@ _SQL: dict[str, str] = {}
 _MODULES = ("layers", "raw_checks", "cleaning", "enrichment", "views", "quality", "anomalies", "reports", "upkeep")
 
 
+def _compiled_small(fn: Query) -> Query:
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        compile_small(spark)
+        return fn(spark, sf)
+
+    return run
+
+
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and, where SQL can express it, the statement that checks it."""
 
     def register(fn: Query) -> Query:
         if key in _QUERIES:
             raise ValueError(f"query {key} is registered twice")
-        _QUERIES[key] = fn
+        _QUERIES[key] = _compiled_small(fn)
         if sql is not None:
             _SQL[key] = sql
         return fn
