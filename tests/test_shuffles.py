@@ -6,8 +6,8 @@ import datetime as dt
 
 import pytest
 
-from veritill.catalogue import adapters
-from veritill.operators import cleaning, enrich
+from veritill.catalogue import adapters, frames
+from veritill.operators import cleaning, enrich, quality
 from veritill.plans import fact_upkeep
 from veritill.sources import sinks
 
@@ -94,3 +94,13 @@ def test_new_holidays_shuffle_no_fact(unhinted, rows):
     found = fact_upkeep._rebuilt(fact, None, days, {"Germany": "DE"})
     assert "TxYear" not in "".join(line for line in plan(found).split("\n") if "Exchange" in line) and "CustomerID#" not in plan(found).split("Exchange", 1)[-1]
     assert rows(found)[0] == fact.collect()[0].asDict() | {"is_holiday": True, "holiday_name": "a"}
+
+
+def test_suites_store_only_what_they_check(unhinted, tables, rows):
+    whole, narrow = frames.stored_layers(unhinted, tables), frames.checked_layers(unhinted, tables)
+    assert [set(layer.columns) for layer in narrow] == [
+        set(quality.CHECKED_TRANSACTIONS), set(quality.CHECKED_CUSTOMERS), set(quality.CHECKED_FACT)
+    ]
+    for suite in (quality.run_quality_checks, quality.run_dashboard_checks):
+        found = [rows(suite(*layers, adapters.AS_OF), "position") for layers in (whole, narrow)]
+        assert found[0] == found[1] and len(found[0]) >= 9

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veritill.catalogue import adapters
 from veritill.catalogue.adapters import AS_OF
-from veritill.operators import cleaning, enrich
+from veritill.operators import cleaning, enrich, quality
 from veritill.session import scratch_dir
 from veritill.sources.sinks import in_parallel, save_fact, save_layer
 
@@ -78,6 +78,17 @@ def stored_layers(spark: SparkSession, sf: str, raw: tuple[DataFrame, DataFrame]
     return Layers(tx, cu, stored(fact_rows, "fact"))
 
 
+def checked_layers(spark: SparkSession, sf: str) -> Layers:
+    """All rows of the three layers, stored with the columns that the quality suites read: no other one is shuffled."""
+    used = dict.fromkeys((*quality.CHECKED_TRANSACTIONS, *quality.CHECKED_FACT))
+    tx, cu = in_parallel(
+        lambda: stored(clean_tx(spark, sf).select(*used), "transactions"),
+        lambda: stored(clean_cu(spark, sf).select(*quality.CHECKED_CUSTOMERS), "customers"),
+    )
+    fact_rows = enrich.build_fact(tx, cu, adapters.holidays(spark, sf)).select(*quality.CHECKED_FACT)
+    return Layers(tx.select(*quality.CHECKED_TRANSACTIONS), cu, stored(fact_rows, "fact"))
+
+
 def stored_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The fact table alone, for suites that read nothing else."""
     return stored(fact(spark, sf), "fact")

@@ -163,7 +163,7 @@ def q07(spark, sf):
 
 @query("q08_suite", _sql(SUITE))
 def q08(spark, sf):
-    tx, cu, fact = frames.stored_layers(spark, sf)
+    tx, cu, fact = frames.checked_layers(spark, sf)
     return brief(quality.run_quality_checks(tx, cu, fact, AS_OF))
 
 
@@ -175,13 +175,13 @@ def q08(spark, sf):
     ),
 )
 def q09(spark, sf):
-    tx, cu, fact = frames.stored_layers(spark, sf)
+    tx, cu, fact = frames.checked_layers(spark, sf)
     return plain(dq_table(quality.run_quality_checks(tx, cu, fact, AS_OF, RUN_DATE)))
 
 
 @query("q10_strict_suite", _sql(_DASHBOARD))
 def q10(spark, sf):
-    tx, cu, fact = frames.stored_layers(spark, sf)
+    tx, cu, fact = frames.checked_layers(spark, sf)
     return brief(quality.run_dashboard_checks(tx, cu, fact, AS_OF))
 
 
@@ -282,7 +282,7 @@ def q19(spark, sf):
 )
 def q20(spark, sf):
     """Two runs in the history; the newer one is summarised."""
-    tx, cu, fact = frames.stored_layers(spark, sf)
+    tx, cu, fact = frames.checked_layers(spark, sf)
     found = dq_table(quality.run_quality_checks(tx, cu, fact, AS_OF, RUN_DATE))
     runs = F.explode(F.array(F.col("run_date"), F.date_add("run_date", 1)))
     return plain(views.sql_latest_run_summary(found.withColumn("run_date", runs)))

@@ -20,6 +20,10 @@ from veritill.operators.checks import Rule, Verdict, run_rules, union_results
 from veritill.operators.validation import counted, duplicate_verdict, skipped
 
 STAGE = "quality"
+#: Every column that the suites below read, by layer.
+CHECKED_TRANSACTIONS = ("InvoiceNo", "StockCode", "InvoiceDate", "UnitPrice", "Status")
+CHECKED_CUSTOMERS = ("CustomerID", "Country")
+CHECKED_FACT = ("CustomerID", "Quantity", "LineTotal")
 
 
 # --------------------------------------------------------------------------- rules
