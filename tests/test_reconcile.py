@@ -64,3 +64,12 @@ def test_keys_that_occur_once_are_not_shuffled(spark):
     assert wide_keys.recurring(df, ["a"]).count() == 1
     found = wide_keys.duplicate_keys(df, ["a"]).collect()
     assert [(r["a"], r["row_count"]) for r in found] == [("x0", 10)]
+
+
+def test_sums_of_hashes_are_exact_and_need_no_decimal_per_row(spark):
+    found = [-(1 << 63), (1 << 63) - 1, -1, 0, 5, (1 << 62) + 12345, -(1 << 62) - 777, (1 << 63) - 1]
+    df = spark.createDataFrame([(h,) for h in found], "h bigint").repartition(3)
+    total = df.agg(reconcile._sum_of(F.col("h")).alias("t"))
+    assert int(total.first()["t"]) == sum(found) % reconcile.MODULUS
+    partial = next(line for line in total._jdf.queryExecution().executedPlan().toString().splitlines() if "partial_sum" in line)
+    assert "decimal" not in partial

@@ -104,3 +104,11 @@ def test_suites_store_only_what_they_check(unhinted, tables, rows):
     for suite in (quality.run_quality_checks, quality.run_dashboard_checks):
         found = [rows(suite(*layers, adapters.AS_OF), "position") for layers in (whole, narrow)]
         assert found[0] == found[1] and len(found[0]) >= 9
+
+
+def test_exports_are_joined_by_the_number(unhinted, tables, rows):
+    """No sort works out a text; the rows are the same."""
+    by_text, by_number = (adapters.raw_transactions(unhinted, tables, exported=e) for e in (False, True))
+    sorts = [line for line in plan(by_number).splitlines() if "Sort [" in line]
+    assert sorts and not any("as string" in line for line in sorts)
+    assert rows(by_text, "InvoiceNo", "_row_id") == rows(by_number, "InvoiceNo", "_row_id")

@@ -96,11 +96,12 @@ _TRANSACTION_COLUMNS = (
 )
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, exported: bool = False) -> DataFrame:
     """Line items as a raw transactions export: all text, with dirty values.
 
     The last shuffled join is keyed on the trimmed invoice number, by which cleaning de-duplicates: rows of an invoice
-    then lie together and are not shuffled once more for it.
+    then lie together and are not shuffled once more for it.  A sort works that text out for every comparison, so
+    rows that are ``exported``, and shuffled again when they are read back, are joined by the number itself.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = (
@@ -108,7 +109,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(customer, F.expr("o_custkey = c_custkey"), "left").drop("c_custkey")
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    invoice, order = (strip(F.col(key).cast("string")) for key in ("l_orderkey", "o_orderkey"))
+    invoice, order = F.col("l_orderkey"), F.col("o_orderkey")
+    if not exported:
+        invoice, order = (strip(key.cast("string")) for key in (invoice, order))
     return (
         table(spark, sf_dir, "lineitem")
         .join(part, F.expr("l_partkey = p_partkey"), "left")

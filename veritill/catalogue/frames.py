@@ -61,7 +61,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def stored_raw(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Both raw exports as a run lands them, for queries that read them several times."""
     tx, cu = in_parallel(
-        lambda: stored(adapters.raw_transactions(spark, sf), "raw-transactions"),
+        lambda: stored(adapters.raw_transactions(spark, sf, exported=True), "raw-transactions"),
         lambda: stored(adapters.raw_customers(spark, sf), "raw-customers"),
     )
     return tx, cu

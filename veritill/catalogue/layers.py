@@ -34,7 +34,7 @@ def _write_csv(df: DataFrame, path: str) -> None:
 def _delivery(spark, sf, label: str) -> str:
     """The adapted tables as a delivery folder: two CSV exports and a JSON calendar."""
     folder = scratch_dir(spark, label)
-    _write_csv(adapters.raw_transactions(spark, sf).drop("_row_id"), f"{folder}/transactions.csv")
+    _write_csv(adapters.raw_transactions(spark, sf, exported=True).drop("_row_id"), f"{folder}/transactions.csv")
     _write_csv(adapters.raw_customers(spark, sf).drop("_row_id"), f"{folder}/customers.csv")
     _write_holidays(spark, sf, f"{folder}/holidays")
     return folder
@@ -477,7 +477,7 @@ _CALENDAR = """(SELECT * FROM holidays WHERE country_code IN ('GB', 'DE', 'FR',
 def p01_empty(spark, sf):
     """An export with a header and no rows, after a run of the same day that had rows."""
     folder = scratch_dir(spark, "empty-run")
-    tx = adapters.raw_transactions(spark, sf).drop("_row_id")
+    tx = adapters.raw_transactions(spark, sf, exported=True).drop("_row_id")
     _write_csv(adapters.raw_customers(spark, sf).drop("_row_id"), f"{folder}/customers.csv")
     _write_csv(tx, f"{folder}/transactions.csv")
     run_pipeline(spark, folder, f"{folder}/out", RUN_DATE, AS_OF, warehouse=False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from veritill.catalogue import adapters, frames
@@ -13,6 +15,7 @@ from veritill.operators import cleaning, deliveries, reconcile, rollups, wide_ke
 from veritill.plans import fact_upkeep
 from veritill.session import scratch_dir
 from veritill.sources import snapshots
+from veritill.sources.sinks import in_parallel
 
 
 def _delivered(spark, rows, keys, number):
@@ -142,11 +145,12 @@ def q02_wide(spark, sf):
 )
 def r17_reconciliation(spark, sf):
     """Stored layers against their raw rows.  In the stored customers the segments of one country were changed: counts agree, rows do not."""
-    raw_tx, raw_cu = frames.stored(adapters.raw_transactions(spark, sf), "raw"), frames.stored(adapters.raw_customers(spark, sf), "raw")
+    raw_tx, raw_cu = frames.stored_raw(spark, sf)
     tx, cu = cleaning.clean_transactions(raw_tx, AS_OF), cleaning.clean_customers(raw_cu)
     odd = cu.clean.withColumn("Segment", F.when(F.col("Country") == "Germany", F.lit("other")).otherwise(F.col("Segment")))
+    layers = {"clean": tx.clean, "rejected": tx.rejected, "odd": odd, "rejected-customers": cu.rejected}
+    clean, rejected, odd, no_id = in_parallel(*[partial(frames.stored, df, label) for label, df in layers.items()])
     found = reconcile.reconcile(
-        raw_tx, lambda raw: cleaning.clean_transactions(raw, AS_OF), frames.stored(tx.clean, "clean"), frames.stored(tx.rejected, "rejected"),
-        "transactions",
-    ).unionByName(reconcile.reconcile(raw_cu, cleaning.clean_customers, frames.stored(odd, "clean"), frames.stored(cu.rejected, "rejected"), "customers"))
+        raw_tx, lambda raw: cleaning.clean_transactions(raw, AS_OF), clean, rejected, "transactions"
+    ).unionByName(reconcile.reconcile(raw_cu, cleaning.clean_customers, odd, no_id, "customers"))
     return plain(found)

@@ -18,11 +18,20 @@ from pyspark.sql import functions as F
 
 #: Sums of hashes are taken modulo this.
 MODULUS = 1 << 64
+#: The 22 lowest bits of a long.
+LOW_BITS = (1 << 22) - 1
 
 
 def _sum_of(h: Column) -> Column:
-    total = F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-    return F.pmod(total, F.lit(str(MODULUS)).cast("decimal(38,0)")).cast("string")
+    """Sum of 64-bit hashes modulo 2^64, from long sums of three parts: a wide decimal per row takes far longer.
+
+    Parts have 22 bits at most, so their sums fit up to 2^41 rows.
+    """
+    wide, total = "decimal(38,0)", F.lit(0).cast("decimal(38,0)")
+    for place in (44, 22, 0):
+        part = F.shiftright(h, place) if place == 44 else F.shiftright(h, place).bitwiseAND(F.lit(LOW_BITS))
+        total = total + F.coalesce(F.sum(part), F.lit(0)).cast(wide) * F.lit(str(1 << place)).cast(wide)
+    return F.pmod(total, F.lit(str(MODULUS)).cast(wide)).cast("string")
 
 
 def digest(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
