@@ -49,3 +49,23 @@ def test_short_lines_and_lines_without_blanks(frame):
     for i in range(1, 10):
         assert not {unspaced, tabs, menu} & set(kept[i].split("\n"))
     assert all(chance in kept[i].split("\n") for i in range(10, 15))
+
+
+def test_texts_are_masked_once(frame):
+    """The scan of all texts works each pattern out once a line; the filter on blank lines does not repeat them."""
+    docs = frame([(0, "a 1\n\nb")]).selectExpr("doc_id as doc", "doc_id as tag", "text as body")
+    plan = line_templates._lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(line") == 1
+    assert "lambdafunction" not in plan
+
+
+def test_white_space_of_any_kind_parts_tokens(frame):
+    """All of the listed characters, and no other one, are white space within a line."""
+    spaces = {9, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}
+    codes = [c for c in range(1, 0x11000) if c not in (10, 32) and not 0xD800 <= c < 0xE000]
+    docs = frame([(c, f"{chr(c)}  {chr(c)}a{chr(c)}b ") for c in codes]).selectExpr("doc_id as doc", "doc_id as tag", "text as body")
+    found = {r["doc"]: (r["n"], r["spaced"]) for r in line_templates._lines(docs).collect()}
+    for c in codes:
+        token = "<*>" if chr(c) in "0123456789" else None
+        whole = token or f"{chr(c)}a{chr(c)}b"
+        assert found[c] == ((2, "a b") if c in spaces else (2, f"{token or chr(c)} {whole}")), hex(c)

@@ -44,8 +44,12 @@ TOKEN_SHARE, FIXED_SHARE = 0.2, 0.7
 FILTER_SIZE = 1 << 18
 #: Lines with fewer than MIN_TOKENS tokens and this many bytes recur by chance: they go from this share of all documents on
 BRIEF_BYTES, BRIEF_SHARE = 24, 0.05
-#: White space within a line, besides the blank
-OTHER_SPACE = "[\\t\\x0B\\f\\r\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+#: White space within a line, besides the blank.  What lies beyond Latin-1 is looked at only for characters of one range: a
+#: union is tried member by member for every character of every text.
+OTHER_SPACE = (
+    "[\\t\\x0B\\f\\r\\x{85}\\x{A0}[\\x{1680}-\\x{3000}&&"
+    "[\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]]]"
+)
 
 
 def _split(text: Column) -> Column:
@@ -53,24 +57,31 @@ def _split(text: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, tag, i, whole, firm, tokens, n) of every line that is not blank; ``whole`` is what recurs of it as it is."""
-    spaced = F.when(F.col("body").rlike(OTHER_SPACE), F.regexp_replace("body", OTHER_SPACE, " ")).otherwise(F.col("body"))
+    """(doc, tag, i, whole, firm, spaced, n) of every line that is not blank; ``whole`` is what recurs of it as it is.
+
+    ``spaced`` has the n masked tokens with one blank between them: tokens are counted in it and the leading ones cut off
+    it, so only lines of leaves that can hold a template are split into arrays.
+    """
+    body = F.when(F.col("body").rlike(OTHER_SPACE), F.regexp_replace("body", OTHER_SPACE, " ")).otherwise(F.col("body"))
     digits = F.col("line").rlike("[0-9]")
     masked = F.when(digits, F.regexp_replace("line", "[^ ]*[0-9][^ ]*", "<*>")).otherwise(F.col("line"))
-    firm = ~F.col("digits") | (F.size(F.filter("tokens", lambda t: t != "<*>")) >= FIXED_SHARE * F.col("n"))
+    single = F.when(F.col("masked").contains("  "), F.regexp_replace("masked", " {2,}", " ")).otherwise(F.col("masked"))
+    blanks = F.octet_length("spaced") - F.octet_length(F.replace(F.col("spaced"), F.lit(" "), F.lit("")))
+    fixed = F.size(F.array_remove(F.split("spaced", " "), "<*>"))
     return (
-        docs.select("doc", "tag", F.posexplode(_split(spaced)).alias("i", "line"))
+        docs.select("doc", "tag", F.posexplode(_split(body)).alias("i", "line"))
+        # a line without a token has blanks only; asked of the line itself, the filter works nothing out twice
+        .where(F.trim("line") != "")
         .select("doc", "tag", "i", "line", digits.alias("digits"), masked.alias("masked"))
-        .withColumn("tokens", F.filter(F.split("masked", " "), lambda t: t != ""))
-        .withColumn("n", F.size("tokens"))
-        .where(F.col("n") > 0)
-        .withColumn("firm", firm)
+        .withColumn("spaced", F.trim(single))
+        .withColumn("n", blanks + 1)
+        .withColumn("firm", ~F.col("digits") | (fixed >= FIXED_SHARE * F.col("n")))
         .withColumn("whole", F.when(F.col("firm"), F.col("masked")).otherwise(F.col("line")))
     )
 
 
 def _leaf(salt: int) -> Column:
-    return F.xxhash64(F.lit(salt), "n", *[F.get(F.col("tokens"), F.lit(i)) for i in range(LEADING)])
+    return F.xxhash64(F.lit(salt), "n", F.substring_index("spaced", " ", LEADING))
 
 
 def _recurring(lines: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
@@ -152,11 +163,11 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     lines, leaf = _lines(docs), ["leaf1", "leaf2"]
     in_tree = F.col("n") >= TREE_TOKENS
     brief = (F.col("n") < MIN_TOKENS) & (F.octet_length("whole") < BRIEF_BYTES)
-    # cutting lines into tokens is the costly part; what is counted is kept as hashes
+    # texts are read and masked once; what is counted is kept as hashes, beside it the tokens of lines that may go down the tree
     hashed = stored(
         lines.select(
             "doc", "tag", "i", "firm", brief.alias("brief"), F.xxhash64("whole").alias("h1"), F.xxhash64(F.lit(1), "whole").alias("h2"),
-            F.when(in_tree, _leaf(1)).alias("leaf1"), F.when(in_tree, _leaf(2)).alias("leaf2"),
+            F.when(in_tree, _leaf(1)).alias("leaf1"), F.when(in_tree, _leaf(2)).alias("leaf2"), F.when(in_tree, F.col("spaced")).alias("spaced"),
         ),
         "line-hashes",
     )
@@ -165,7 +176,6 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     exact = _recurring_whole(hashed, everyone, min_docs)
     as_they_are = _dropped(hashed, exact, whole)
 
-    longer = lines.where(in_tree).withColumn("leaf1", _leaf(1)).withColumn("leaf2", _leaf(2))
     leaves = stored(
         hashed.where(F.col("leaf1").isNotNull()).groupBy(*leaf).agg(F.count("*").alias("lines"))
         .where(F.col("lines") >= min_docs),
@@ -174,8 +184,12 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     slot = F.pmod(F.col("leaf1"), F.lit(FILTER_SIZE))
     slots = leaves.select(slot.alias("slot")).distinct()
     # at most FILTER_SIZE numbers, whatever the corpus
-    near = longer.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
-    held = stored(near.select("doc", "tag", "i", "n", "firm", "whole", "tokens", *leaf).join(leaves, leaf), "leaf-lines")
+    near = hashed.where(F.col("leaf1").isNotNull()).join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
+    held = stored(
+        near.select("doc", "tag", "i", "firm", *whole, "spaced", *leaf).join(leaves, leaf)
+        .withColumn("tokens", F.split("spaced", " ")).withColumn("n", F.size("tokens")).drop("spaced"),
+        "leaf-lines",
+    )
 
     places = held.select(*leaf, "lines", F.posexplode("tokens").alias("p", "token"))
     counted = places.groupBy(*leaf, "lines", "p", "token").agg(F.count("*").alias("c"))
@@ -187,7 +201,8 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         "tokens",
         lambda t, p: F.when(F.array_contains(F.get(F.col("by_place"), p)["fixed"], t), t).otherwise(F.lit("<*>")),
     )
-    generalised = (
+    # stored: it is read for what recurs and once more for the lines to drop
+    generalised = stored(
         held.join(per_leaf, leaf)
         .select("doc", "tag", "i", "n", template.alias("template"), *leaf)
         .where(F.size(F.filter("template", lambda t: t != "<*>")) >= FIXED_SHARE * F.col("n"))
@@ -195,14 +210,14 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             "doc", "tag", "i",
             F.xxhash64("leaf1", F.array_join("template", " ")).alias("h1"),
             F.xxhash64(F.lit(1), "leaf2", F.array_join("template", " ")).alias("h2"),
-        )
+        ),
+        "generalised-lines",
     )
     by_tree = _dropped(generalised, _recurring(generalised, ["h1", "h2"], min_docs), ["h1", "h2"])
     # lines that recur as they are need no template, and are no evidence for one of others
     others = hashed.where(F.col("leaf1").isNotNull() & F.col("firm")).join(exact, whole, "left_anti")
     several = stored(_kinds(others, leaf, min_docs), "contested-leaves")
     contested = held.where("firm").join(several, leaf, "left_semi")
-    contested = contested.withColumn("h1", F.xxhash64("whole")).withColumn("h2", F.xxhash64(F.lit(1), "whole"))
     by_groups = _by_groups(contested.join(exact, whole, "left_anti"), min_docs)
     dropped = functools.reduce(DataFrame.unionAll, by_groups, as_they_are.unionAll(by_tree))
     gone = stored(
@@ -211,7 +226,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         ),
         "recurring-lines",
     )
-    discard(hashed, leaves, held, several, *by_groups)
+    discard(hashed, leaves, held, generalised, several, *by_groups)
     return gone
 
 
