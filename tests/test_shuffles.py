@@ -6,7 +6,7 @@ import datetime as dt
 
 import pytest
 
-from veritill.catalogue import adapters, frames
+from veritill.catalogue import adapters, frames, reports
 from veritill.operators import cleaning, enrich, quality
 from veritill.plans import fact_upkeep
 from veritill.sources import sinks
@@ -112,3 +112,16 @@ def test_exports_are_joined_by_the_number(unhinted, tables, rows):
     sorts = [line for line in plan(by_number).splitlines() if "Sort [" in line]
     assert sorts and not any("as string" in line for line in sorts)
     assert rows(by_text, "InvoiceNo", "_row_id") == rows(by_number, "InvoiceNo", "_row_id")
+
+
+def test_report_figures_are_joined_by_the_number(unhinted, tables, rows, monkeypatch):
+    """No sort below the headline figures or the rejected rows works out the invoice number's text."""
+    seen = []
+    monkeypatch.setattr(reports.analytics, "kpis", lambda fact, rejected: seen.extend((fact, rejected)) or unhinted.sql(
+        "select 1 as tx_rows, 1 as total_revenue, 1 as rejected_rows"
+    ))
+    reports.r01_rejected(unhinted, tables)
+    for found in seen:
+        sorts = [line for line in plan(found).splitlines() if "Sort [" in line]
+        assert sorts and not any("l_orderkey" in line and "as string" in line for line in sorts)
+    assert rows(seen[0], "InvoiceNo") == rows(frames.fact(unhinted, tables), "InvoiceNo")

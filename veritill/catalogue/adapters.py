@@ -100,8 +100,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str, exported: bool = False) -
     """Line items as a raw transactions export: all text, with dirty values.
 
     The last shuffled join is keyed on the trimmed invoice number, by which cleaning de-duplicates: rows of an invoice
-    then lie together and are not shuffled once more for it.  A sort works that text out for every comparison, so
-    rows that are ``exported``, and shuffled again when they are read back, are joined by the number itself.
+    then lie together and are not shuffled once more for it.  A sort works that text out for every comparison, the more
+    often the longer the numbers are, so rows that are ``exported`` are joined by the number itself and shuffled again later.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = (

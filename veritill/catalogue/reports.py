@@ -36,7 +36,7 @@ def _fact(body: str) -> str:
     ),
 )
 def r01(spark, sf):
-    return plain(analytics.kpis(frames.fact(spark, sf)))
+    return plain(analytics.kpis(frames.numbered_fact(spark, sf)))
 
 
 @query(
@@ -49,7 +49,7 @@ def r01(spark, sf):
     ),
 )
 def r01_rejected(spark, sf):
-    found = analytics.kpis(frames.fact(spark, sf), frames.split_tx(spark, sf).rejected)
+    found = analytics.kpis(frames.numbered_fact(spark, sf), frames.numbered_tx(spark, sf).rejected)
     return plain(found.select("tx_rows", "total_revenue", "rejected_rows"))
 
 
@@ -65,7 +65,7 @@ def r01_rejected(spark, sf):
 def r03_large(spark, sf):
     """Totals far beyond a warehouse column; none drops out of the sums."""
     total = F.when(F.col("InvoiceNo").cast("bigint") % 5 == 0, F.col("LineTotal") * 1e7).otherwise(F.col("LineTotal"))
-    return plain(analytics.top_countries_by_revenue(frames.fact(spark, sf).withColumn("LineTotal", total)))
+    return plain(analytics.top_countries_by_revenue(frames.numbered_fact(spark, sf).withColumn("LineTotal", total)))
 
 
 @query(
@@ -83,7 +83,7 @@ def r02(spark, sf):
     _fact(f'SELECT "Country", CAST({_REVENUE} AS DOUBLE) AS revenue FROM fact GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10'),
 )
 def r03(spark, sf):
-    return plain(analytics.top_countries_by_revenue(frames.fact(spark, sf)))
+    return plain(analytics.top_countries_by_revenue(frames.numbered_fact(spark, sf)))
 
 
 @query(
@@ -94,7 +94,7 @@ def r03(spark, sf):
     ),
 )
 def r04(spark, sf):
-    return analytics.status_distribution(frames.fact(spark, sf)).withColumn("pct", F.round("pct", 6))
+    return analytics.status_distribution(frames.numbered_fact(spark, sf)).withColumn("pct", F.round("pct", 6))
 
 
 # --------------------------------------------------------------------------- histograms
@@ -140,7 +140,7 @@ def r05_median(spark, sf):
     ),
 )
 def r06(spark, sf):
-    return plain(analytics.monthly_revenue(frames.fact(spark, sf)))
+    return plain(analytics.monthly_revenue(frames.numbered_fact(spark, sf)))
 
 
 @query(
@@ -165,7 +165,7 @@ def r07(spark, sf):
     ),
 )
 def r08(spark, sf):
-    return plain(analytics.segment_revenue(frames.fact(spark, sf)))
+    return plain(analytics.segment_revenue(frames.numbered_fact(spark, sf)))
 
 
 _DOW = "CASE isodow " + " ".join(f"WHEN {i + 1} THEN '{d}'" for i, d in enumerate(WEEKDAYS)) + " END"
@@ -294,12 +294,12 @@ _AUDIT = """
 def r17(spark, sf):
     tx = cleaning.transaction_counters(frames.typed_tx(spark, sf), AS_OF)
     cu = cleaning.customer_counters(cleaning.type_customers(adapters.raw_customers(spark, sf)))
-    return analytics.layer_audit(tx, cu, frames.fact(spark, sf))
+    return analytics.layer_audit(tx, cu, frames.numbered_fact(spark, sf))
 
 
 @query("r18_holiday_count", _fact("SELECT COUNT(*) FILTER (WHERE is_holiday) AS holiday_rows FROM fact"))
 def r18(spark, sf):
-    return analytics.holiday_count(frames.fact(spark, sf))
+    return analytics.holiday_count(frames.numbered_fact(spark, sf))
 
 
 _TYPES = {
