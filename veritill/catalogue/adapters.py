@@ -59,6 +59,14 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.select("n_nationkey", name.alias("country"))
 
 
+#: Slices of the orders whose lines are joined one after the other, where the rows are stored.
+ORDER_SLICES = 2
+
+
+def _of_slice(df: DataFrame, key: str, n: int | None) -> DataFrame:
+    return df if n is None else df.where(F.pmod(F.xxhash64(key), F.lit(ORDER_SLICES)) == n)
+
+
 #: Texts are made above all joins, so the joins shuffle the narrow columns they are made of.
 _TRANSACTION_COLUMNS = (
     "cast(l_orderkey as string) as InvoiceNo",
@@ -96,16 +104,18 @@ _TRANSACTION_COLUMNS = (
 )
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str, exported: bool = False) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, exported: bool = False, nth: int | None = None) -> DataFrame:
     """Line items as a raw transactions export: all text, with dirty values.
 
     The last shuffled join is keyed on the trimmed invoice number, by which cleaning de-duplicates: rows of an invoice
     then lie together and are not shuffled once more for it.  A sort works that text out for every comparison, the more
     often the longer the numbers are, so rows that are ``exported`` are joined by the number itself and shuffled again later.
+
+    ``nth`` names one slice of the invoices, of ``ORDER_SLICES``; together the slices are all rows.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = (
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+        _of_slice(table(spark, sf_dir, "orders"), "o_orderkey", nth).select("o_orderkey", "o_custkey", "o_orderstatus")
         .join(customer, F.expr("o_custkey = c_custkey"), "left").drop("c_custkey")
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -113,7 +123,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str, exported: bool = False) -
     if not exported:
         invoice, order = (strip(key.cast("string")) for key in (invoice, order))
     return (
-        table(spark, sf_dir, "lineitem")
+        _of_slice(table(spark, sf_dir, "lineitem"), "l_orderkey", nth)
         .join(part, F.expr("l_partkey = p_partkey"), "left")
         .join(orders, invoice == order, "left")
         .join(F.broadcast(_nations(spark, sf_dir)), F.expr("c_nationkey = n_nationkey"), "left")

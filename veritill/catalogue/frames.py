@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veritill.catalogue import adapters
 from veritill.catalogue.adapters import AS_OF
+from veritill.functions import strip
 from veritill.operators import cleaning, enrich, quality
-from veritill.session import scratch_dir
-from veritill.sources.sinks import in_parallel, save_fact, save_layer
+from veritill.session import drop_scratch, scratch_dir
+from veritill.sources.sinks import FACT_SLICES, in_parallel, save_fact, save_layer
 
 
 def typed_tx(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,6 +33,17 @@ def clean_tx(spark: SparkSession, sf: str) -> DataFrame:
     return split_tx(spark, sf).clean
 
 
+def raw_slices(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The raw transactions in slices, for steps that store them: the shuffle files of one slice lie on disk at a time."""
+    return [adapters.raw_transactions(spark, sf, exported=True, nth=n) for n in range(adapters.ORDER_SLICES)]
+
+
+def clean_slices(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """``clean_tx`` in slices; the rows of an invoice lie in one of them, so each is de-duplicated by itself."""
+    raw = [adapters.raw_transactions(spark, sf, nth=n) for n in range(adapters.ORDER_SLICES)]
+    return [cleaning.clean_transactions(rows, AS_OF).clean for rows in raw]
+
+
 def clean_cu(spark: SparkSession, sf: str) -> DataFrame:
     return split_cu(spark, sf).clean
 
@@ -49,10 +64,20 @@ def numbered_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def saved_fact(spark: SparkSession, sf: str, path: str) -> int:
-    """The fact table as a run saves it, by year and month."""
-    joined = enrich.join_customers(clean_tx(spark, sf), clean_cu(spark, sf))
-    calendar = adapters.holidays(spark, sf)
-    return save_fact(joined, path, lambda rows: enrich.finish_fact(rows, calendar))
+    """The fact table as a run saves it, by year and month, from stored clean tables and a stored calendar."""
+    first, *others = clean_slices(spark, sf)
+    with passing(first, "transactions", *others) as tx:
+        cu, calendar = in_parallel(
+            lambda: stored(clean_cu(spark, sf), "customers"), lambda: stored(adapters.holidays(spark, sf), "holidays")
+        )
+        joined = enrich.join_customers(tx, cu)
+        return save_fact(joined, path, lambda rows: enrich.finish_fact(rows, calendar), FACT_SLICES)
+
+
+def clean_parts(raw: DataFrame) -> list[DataFrame]:
+    """Clean transactions of a stored raw table, in slices by the number that de-duplication sees."""
+    part = F.pmod(F.xxhash64(strip(F.col("InvoiceNo"))), F.lit(adapters.ORDER_SLICES))
+    return [cleaning.clean_transactions(raw.where(part == n), AS_OF).clean for n in range(adapters.ORDER_SLICES)]
 
 
 class Layers(NamedTuple):
@@ -61,41 +86,59 @@ class Layers(NamedTuple):
     fact: DataFrame
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows of a frame as a stored table in the shared scratch folder."""
+def stored(df: DataFrame, label: str, *more: DataFrame) -> DataFrame:
+    """The rows of a frame, and of those after it, as a stored table in the shared scratch folder."""
     path = scratch_dir(df.sparkSession, label)
-    save_layer(df, path)
+    save_layer(df, path, *more)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(df: DataFrame, label: str, *more: DataFrame) -> Iterator[DataFrame]:
+    """As ``stored``, but the table goes when the block ends: no later step reads it."""
+    path = scratch_dir(df.sparkSession, label)
+    try:
+        save_layer(df, path, *more)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        drop_scratch(df.sparkSession, path)
+
+
 def stored_raw(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Both raw exports as a run lands them, for queries that read them several times."""
+    first, *others = raw_slices(spark, sf)
     tx, cu = in_parallel(
-        lambda: stored(adapters.raw_transactions(spark, sf, exported=True), "raw-transactions"),
+        lambda: stored(first, "raw-transactions", *others),
         lambda: stored(adapters.raw_customers(spark, sf), "raw-customers"),
     )
     return tx, cu
 
 
-def stored_layers(spark: SparkSession, sf: str, raw: tuple[DataFrame, DataFrame] | None = None) -> Layers:
+def stored_layers(spark: SparkSession, sf: str) -> Layers:
     """Clean and fact tables as a run stores them, for suites that read each several times."""
-    raw_tx, raw_cu = raw or (adapters.raw_transactions(spark, sf), adapters.raw_customers(spark, sf))
     tx, cu = in_parallel(
-        lambda: stored(cleaning.clean_transactions(raw_tx, AS_OF).clean, "transactions"),
-        lambda: stored(cleaning.clean_customers(raw_cu).clean, "customers"),
+        lambda: stored(clean_tx(spark, sf), "transactions"), lambda: stored(clean_cu(spark, sf), "customers")
     )
     fact_rows = enrich.build_fact(tx, cu, adapters.holidays(spark, sf))
     return Layers(tx, cu, stored(fact_rows, "fact"))
 
 
-def checked_layers(spark: SparkSession, sf: str) -> Layers:
-    """All rows of the three layers, stored with the columns that the quality suites read: no other one is shuffled."""
-    used = dict.fromkeys((*quality.CHECKED_TRANSACTIONS, *quality.CHECKED_FACT))
+def checked_layers(
+    spark: SparkSession, sf: str, raw: tuple[DataFrame, DataFrame] | None = None, besides: Sequence[str] = ()
+) -> Layers:
+    """All rows of the three layers, stored with the columns that the quality suites read: no other one is shuffled.
+
+    ``besides`` are columns of the transactions that other checks read from the fact table.
+    """
+    raw_cu = raw[1] if raw else adapters.raw_customers(spark, sf)
+    first, *others = clean_parts(raw[0]) if raw else clean_slices(spark, sf)
+    checked_fact = tuple(dict.fromkeys((*quality.CHECKED_FACT, *besides)))
+    used = dict.fromkeys((*quality.CHECKED_TRANSACTIONS, *checked_fact))
     tx, cu = in_parallel(
-        lambda: stored(clean_tx(spark, sf).select(*used), "transactions"),
-        lambda: stored(clean_cu(spark, sf).select(*quality.CHECKED_CUSTOMERS), "customers"),
+        lambda: stored(first.select(*used), "transactions", *[rows.select(*used) for rows in others]),
+        lambda: stored(cleaning.clean_customers(raw_cu).clean.select(*quality.CHECKED_CUSTOMERS), "customers"),
     )
-    fact_rows = enrich.build_fact(tx, cu, adapters.holidays(spark, sf)).select(*quality.CHECKED_FACT)
+    fact_rows = enrich.build_fact(tx, cu, adapters.holidays(spark, sf)).select(*checked_fact)
     return Layers(tx.select(*quality.CHECKED_TRANSACTIONS), cu, stored(fact_rows, "fact"))
 
 

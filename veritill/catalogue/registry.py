@@ -8,7 +8,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritill.session import compile_small
+from veritill.session import compile_small, shuffles_freed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,8 @@ def _compiled_small(fn: Query) -> Query:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf: str) -> DataFrame:
         compile_small(spark)
-        return fn(spark, sf)
+        with shuffles_freed(spark):
+            return fn(spark, sf)
 
     return run
 

@@ -12,7 +12,7 @@ from veritill.catalogue.oracle import NOW, day_text, exact_ratio, ts_text, union
 from veritill.catalogue.registry import query
 from veritill.model import HOUR_BINS, WEEKDAYS
 from veritill.operators import analytics, cleaning, quality, validation
-from veritill.operators.anomalies import run_anomaly_detection
+from veritill.operators.anomalies import CHECKED, run_anomaly_detection
 from veritill.plans import report
 
 _REVENUE = 'SUM(CAST("LineTotal" AS DECIMAL(14, 4)))'
@@ -331,7 +331,7 @@ def r19(spark, sf):
 def _results(spark, sf, raw=None):
     """All results of a run over the adapted tables, as one stored table; every check reads stored tables."""
     raw = raw or frames.stored_raw(spark, sf)
-    tx, cu, fact = frames.stored_layers(spark, sf, raw)
+    tx, cu, fact = frames.checked_layers(spark, sf, raw, CHECKED)
     found = (
         validation.validate_raw(*raw, AS_OF, RUN_DATE)
         .unionByName(quality.run_quality_checks(tx, cu, fact, AS_OF, RUN_DATE))

@@ -28,6 +28,8 @@ from veritill.operators.validation import counted
 STAGE = "anomaly"
 LABELS = ("NORMAL", "ANOMALY")
 TABLE = "fct_transactions"
+#: Every column that the detectors of a run read.
+CHECKED = ("InvoiceDate", "UnitPrice", "Status", "CustomerID")
 
 
 # --------------------------------------------------------------------------- z-scores
