@@ -15,7 +15,7 @@ from veritill.operators import cleaning, deliveries, reconcile, rollups, wide_ke
 from veritill.plans import fact_upkeep
 from veritill.session import scratch_dir
 from veritill.sources import snapshots
-from veritill.sources.sinks import in_parallel
+from veritill.sources.sinks import FACT_SLICES, in_parallel
 
 
 def _delivered(spark, rows, keys, number):
@@ -66,13 +66,18 @@ def c23_deliveries(spark, sf):
 def j12_late(spark, sf):
     """A fact built from some customers and some holidays, then brought up to the whole files, which come late."""
     path = scratch_dir(spark, "upkeep")
-    tx, cu = frames.stored(frames.clean_tx(spark, sf), "transactions"), frames.stored(frames.clean_cu(spark, sf), "customers")
+    cu = frames.stored(frames.clean_cu(spark, sf), "customers")
     days = frames.stored(adapters.holidays(spark, sf), "holidays")
     number = F.col("CustomerID").cast("bigint")
     early = cu.where(number % 7 != 0).withColumn("Segment", F.when(number % 5 == 0, F.lit("old")).otherwise(F.col("Segment")))
-    fact_upkeep.create(tx, early, days.where(F.month("date") % 2 == 0), path, "2001-12-31 00:00:00")
+    first, *others = frames.clean_slices(spark, sf)
+    with frames.passing(first, "transactions", *others) as tx:
+        fact_upkeep.create(tx, early, days.where(F.month("date") % 2 == 0), path, "2001-12-31 00:00:00", slices=FACT_SLICES)
     fact_upkeep.refresh(spark, path, "2001-12-31 12:00:00", customers=cu)
+    # earlier versions are not asked for again; only their parts that the newest has not go
+    snapshots.expire(spark, path, keep=1)
     fact_upkeep.refresh(spark, path, AS_OF, holidays=days)
+    snapshots.expire(spark, path, keep=1)
     return plain(fact_upkeep.read_fact(spark, path))
 
 

@@ -65,11 +65,17 @@ def _whole(df: DataFrame, warehouse: str, table: str) -> snapshots.Change:
 
 def create(
     transactions: DataFrame, customers: DataFrame, holidays: DataFrame, warehouse: str, published_at: str | datetime,
-    iso2: Mapping[str, str] = COUNTRY_ISO2,
+    iso2: Mapping[str, str] = COUNTRY_ISO2, slices: int = 1,
 ) -> Refreshed:
-    """Build the whole fact and keep it with what it was built from."""
-    fact = finish_fact(_gathered(join_customers(transactions, customers)), holidays, iso2)
-    parts = _stage_months(fact, warehouse)
+    """Build the whole fact and keep it with what it was built from.
+
+    Several ``slices`` of the months are built one after the other, as ``sinks.save_fact`` does; pass stored tables then.
+    """
+    parts: list[snapshots.Part] = []
+    for n in range(slices):
+        own = transactions if slices == 1 else transactions.where(sinks.month_slice(slices) == n)
+        parts += _stage_months(finish_fact(_gathered(join_customers(own, customers)), holidays, iso2), warehouse)
+    parts.sort(key=lambda part: part.key)
     changes = {
         FACT: snapshots.Change("replace", tuple(parts)),
         CUSTOMERS: _whole(customer_dimension(customers), warehouse, CUSTOMERS),
@@ -132,9 +138,12 @@ def _refresh(spark, warehouse, published_at, customers, holidays, iso2) -> Refre
     parts: list[snapshots.Part] = []
     if months:
         held = {part.key: f"{warehouse}/{FACT}/{part.path}" for part in version.tables[FACT]}
-        own = spark.read.schema(fact.schema).parquet(*[held[month] for month in months])
         changed = sides[CUSTOMERS][0] if customers is not None else None
-        parts = _stage_months(_rebuilt(own, changed, sides[HOLIDAYS][0], iso2), warehouse)
+        # some months at a time: the shuffle files of the others are not on the executors' disks meanwhile
+        for n in range(min(sinks.FACT_SLICES, len(months))):
+            own = spark.read.schema(fact.schema).parquet(*[held[month] for month in months[n :: sinks.FACT_SLICES]])
+            parts += _stage_months(_rebuilt(own, changed, sides[HOLIDAYS][0], iso2), warehouse)
+        parts.sort(key=lambda part: part.key)
     changes = {FACT: snapshots.Change("replace_key", tuple(parts))}
     for table, given in ((CUSTOMERS, customers), (HOLIDAYS, holidays)):
         if given is not None:
