@@ -26,16 +26,22 @@ from veritill.sources import files, sinks, snapshots
 _NEXT_DATE = "2002-01-02"
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
-    writer = df.write.option("header", True).option("escape", '"')
+def _write_csv(df: DataFrame, path: str, compression: str = "none", mode: str = "errorifexists") -> None:
+    writer = df.write.mode(mode).option("header", True).option("escape", '"').option("compression", compression)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
+def _write_exports(spark, sf, folder: str) -> None:
+    """Both CSV exports of a delivery, packed: a task reads a file, and there is one for every task that wrote rows."""
+    for rows in frames.raw_slices(spark, sf):
+        _write_csv(rows.drop("_row_id"), f"{folder}/transactions.csv", "gzip", "append")
+    _write_csv(adapters.raw_customers(spark, sf).drop("_row_id"), f"{folder}/customers.csv", "gzip")
+
+
 def _delivery(spark, sf, label: str) -> str:
     """The adapted tables as a delivery folder: two CSV exports and a JSON calendar."""
     folder = scratch_dir(spark, label)
-    _write_csv(adapters.raw_transactions(spark, sf, exported=True).drop("_row_id"), f"{folder}/transactions.csv")
-    _write_csv(adapters.raw_customers(spark, sf).drop("_row_id"), f"{folder}/customers.csv")
+    _write_exports(spark, sf, folder)
     _write_holidays(spark, sf, f"{folder}/holidays")
     return folder
 
@@ -477,11 +483,10 @@ _CALENDAR = """(SELECT * FROM holidays WHERE country_code IN ('GB', 'DE', 'FR',
 def p01_empty(spark, sf):
     """An export with a header and no rows, after a run of the same day that had rows."""
     folder = scratch_dir(spark, "empty-run")
-    tx = adapters.raw_transactions(spark, sf, exported=True).drop("_row_id")
-    _write_csv(adapters.raw_customers(spark, sf).drop("_row_id"), f"{folder}/customers.csv")
-    _write_csv(tx, f"{folder}/transactions.csv")
+    _write_exports(spark, sf, folder)
     run_pipeline(spark, folder, f"{folder}/out", RUN_DATE, AS_OF, warehouse=False)
-    header = spark.createDataFrame([(",".join(tx.columns),)], "value string")
+    names = adapters.raw_transactions(spark, sf, exported=True).drop("_row_id").columns
+    header = spark.createDataFrame([(",".join(names),)], "value string")
     header.coalesce(1).write.mode("overwrite").text(f"{folder}/transactions.csv")
     result = run_pipeline(spark, folder, f"{folder}/out", RUN_DATE, AS_OF, warehouse=False)
     names = ("customers", "customers_clean", "transactions", "transactions_clean", "fact")

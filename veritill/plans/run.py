@@ -18,6 +18,7 @@ from veritill.operators.enrich import finish_fact, join_customers
 from veritill.operators.quality import run_quality_checks
 from veritill.operators.validation import validate_raw
 from veritill.plans.report import counts_table, report_tables, run_verdict, save_report
+from veritill.session import shuffles_freed
 from veritill.sources import files, sinks
 
 log = logging.getLogger(__name__)
@@ -59,12 +60,13 @@ def run_pipeline(
     now = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     day = run_date or date.today().isoformat()
     try:
-        return _run(
-            spark, source_dir, out, day, now, holidays_path, holiday_countries, holiday_year,
-            warehouse, invoice_severity, multiline, salted,
-            {"include_current": include_current, **({"window": window} if window else {}),
-             **({"z_threshold": z_threshold} if z_threshold is not None else {})},
-        )
+        with shuffles_freed(spark):
+            return _run(
+                spark, source_dir, out, day, now, holidays_path, holiday_countries, holiday_year,
+                warehouse, invoice_severity, multiline, salted,
+                {"include_current": include_current, **({"window": window} if window else {}),
+                 **({"z_threshold": z_threshold} if z_threshold is not None else {})},
+            )
     except Exception:  # the contract of a run is a status code
         log.exception("run of %s aborted", day)
         return RunResult(2, {}, out)
@@ -128,7 +130,7 @@ def _run(
     tx = stored(f"{interim}/transactions_clean")
     cu = stored(f"{interim}/customers_clean")
     joined, finish = join_customers(tx, cu, salted=salted), partial(finish_fact, holidays=holidays)
-    counts["fact"] = sinks.save_fact(joined, f"{out}/processed/fct_transactions", finish)
+    counts["fact"] = sinks.save_fact(joined, f"{out}/processed/fct_transactions", finish, sinks.FACT_SLICES)
     # a fact table without rows has no file to take the columns from
     fact = spark.read.schema(finish(joined).schema).parquet(f"{out}/processed/fct_transactions")
 
